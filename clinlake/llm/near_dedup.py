@@ -7,8 +7,9 @@ a pair with Jaccard similarity 0.85 shares a band with probability 1 - (1 - 0.85
 
 Documents with equal shingle sets form a class, whose representative is its smallest doc_id. In each
 bucket, candidates are not all pairs: members are first compared with one centre, which joins most of a
-large group; buckets that still hold several components get other centres, chosen by hash, and what is
-left after CENTRES rounds is compared across components only. Links are confirmed on full sets, fetched
+large group; buckets that still hold several components get other centres, chosen by hash. After CENTRES
+rounds, shingles that only one of the remaining sets has bound what it can share with any other; pairs
+that the bounds and sizes allow are compared across components. Links are confirmed on full sets, fetched
 for the representatives that have candidates.
 
 Nulls: a null or wordless text has no shingles and is linked with nothing; a row with a null doc_id is
@@ -34,7 +35,9 @@ PERCENT = 85
 BANDS, ROWS = 32, 8
 POSITIONS = 1 << 22
 #: Rounds in which each unresolved bucket gets one more centre.
-CENTRES = 4
+CENTRES = 2
+#: Ids that may be broadcast (8 bytes each); more are joined by a shuffle.
+MAX_IDS = 1_000_000
 #: Shingles whose table slices are held at once.
 SLICES = 512
 
@@ -128,13 +131,26 @@ def _roots(members: DataFrame, comp: DataFrame | None) -> DataFrame:
     return members.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+def shareable(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(s_node, most): how many of a set's shingles any other of these nodes has."""
+    nodes = members.select(F.col("node").alias("doc_id")).distinct()
+    each = sets.join(common.checked_broadcast(nodes, MAX_IDS), "doc_id", "left_semi").select("doc_id", F.explode("extra").alias("shingle"))
+    alone = each.groupBy("shingle").agg(F.count("*").alias("c"), F.min("doc_id").alias("node")).filter("c = 1")
+    lone = alone.groupBy("node").agg(F.count("*").alias("lone"))
+    size = sets.groupBy("doc_id").agg(F.max("n").alias("n"))
+    return nodes.join(size, "doc_id").join(lone, F.col("doc_id") == F.col("node"), "left").select(F.col("doc_id").alias("s_node"), (F.col("n") - F.coalesce("lone", F.lit(0))).alias("most"))
+
+
 def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(node, root) for the representatives that are linked with others. classes: node, n, extra (band hashes)."""
     spread = classes.select("node", "n", F.explode("extra").alias("band"))
-    shared = spread.groupBy("band").agg(F.count("*").alias("c")).filter("c > 1").select("band")
-    members = common.materialize(spread.join(shared, "band", "left_semi"), "members")
+    shared = spread.groupBy("band").agg(F.count("*").alias("c")).filter("c > 1")
+    members = common.materialize(spread.join(shared, "band"), "buckets")
+    # A text that others were made from is in the largest bucket of every band: it is the centre to begin with.
+    weight = members.groupBy(F.col("node").alias("w_node")).agg(F.sum("c").alias("weight"))
+    members = common.materialize(members.join(weight, F.col("node") == F.col("w_node")).select("node", "n", "band", "weight"), "members")
     wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    sets = shingle_sets(docs.join(wanted, "doc_id", "left_semi")).join(classes.select(F.col("set_id").alias("c_set"), F.col("node").alias("c_node")), (F.col("doc_id") == F.col("c_node")) & (F.col("set_id") == F.col("c_set")), "left_semi")
+    sets = shingle_sets(docs.join(common.checked_broadcast(wanted, MAX_IDS), "doc_id", "left_semi")).join(classes.select(F.col("set_id").alias("c_set"), F.col("node").alias("c_node")), (F.col("doc_id") == F.col("c_node")) & (F.col("set_id") == F.col("c_set")), "left_semi")
     sets = common.materialize(sets.dropDuplicates(["doc_id", "set_id"]), "sets")
     close = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
     found, tried, comp = None, None, None
@@ -142,15 +158,21 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFr
         rows = _roots(members, comp)
         if turn:
             mixed = rows.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b").select("band")
-            members = common.materialize(rows.join(mixed, "band", "left_semi").select("node", "n", "band"), "members")
+            members = common.materialize(rows.join(mixed, "band", "left_semi").select("node", "n", "band", "weight"), "members")
             rows = _roots(members, comp)
         if turn < CENTRES:
-            order = F.col("node") if turn == 0 else F.xxhash64(F.lit(turn), F.col("node"))
-            centre = rows.groupBy("band").agg(F.min_by(F.struct("node", "n", "root"), order).alias("c"))
+            order = F.struct("weight", -F.col("node")) if turn == 0 else F.struct(F.xxhash64(F.lit(turn), F.col("node")), "node")
+            centre = rows.groupBy("band").agg(F.max_by(F.struct("node", "n", "root"), order).alias("c"))
             pairs = rows.join(centre, "band").select(F.col("c.node").alias("u"), F.col("node").alias("v"), F.col("c.n").alias("nu"), F.col("n").alias("nv"), F.col("c.root").alias("ru"), F.col("root").alias("rv"))
         else:
-            other = rows.select("band", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("root").alias("ru"))
-            pairs = rows.select("band", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("root").alias("rv")).join(other, "band").filter("u < v")
+            most = common.materialize(shareable(members, sets), "shareable")
+            rows = rows.join(most, F.col("node") == F.col("s_node"))
+            # A set must share 85 % of itself, or it has no partner; then both must allow the overlap that their sizes ask for.
+            rows = common.materialize(rows.filter(100 * F.col("most") >= percent * F.col("n")).drop("s_node"), "open")
+            other = rows.select("band", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("root").alias("ru"), F.col("most").alias("mu"))
+            mine = rows.select("band", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("root").alias("rv"), F.col("most").alias("mv"))
+            meet = (mine["band"] == other["band"]) & (F.col("u") < F.col("v")) & (F.col("ru") != F.col("rv")) & close(F.col("nu"), F.col("nv"))
+            pairs = mine.join(other, meet & ((100 + percent) * F.least("mu", "mv") >= percent * (F.col("nu") + F.col("nv"))))
         pairs = pairs.filter((F.col("ru") != F.col("rv")) & close(F.col("nu"), F.col("nv"))).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["u", "v"], "left_anti")
