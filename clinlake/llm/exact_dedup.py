@@ -29,6 +29,8 @@ FANOUT = 4
 SHARD_ROWS = 500_000
 #: Bytes of text that a task remembers for the local part of the byte check.
 SEEN_BYTES = 64 << 20
+#: Digests that may be broadcast, of some 100 bytes each; more are joined by a shuffle.
+MAX_HITS = 200_000
 
 ENTRY = pa.schema([("digest", pa.binary()), ("has_id", pa.bool_()), ("doc_id", pa.int64()), ("uid", pa.int64()), ("n", pa.int64())])
 ENTRY_SQL = "digest binary, has_id boolean, doc_id bigint, uid bigint, n bigint"
@@ -227,7 +229,7 @@ def _distinct_texts(width: int):
 def collisions(docs: DataFrame, hits: DataFrame, width: int = 32) -> DataFrame:
     """The digests among the hits whose rows are not all equal, byte for byte."""
     bodies = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_distinct_texts(width), "digest binary, body binary")
-    same = bodies.join(hits.select("digest"), "digest", "left_semi").groupBy("digest").agg(F.min("body").alias("low"), F.max("body").alias("high"))
+    same = bodies.join(common.checked_broadcast(hits.select("digest"), MAX_HITS), "digest", "left_semi").groupBy("digest").agg(F.min("body").alias("low"), F.max("body").alias("high"))
     return same.filter(F.col("low") != F.col("high")).select("digest")
 
 
