@@ -271,7 +271,7 @@ def kept_documents(docs: DataFrame, keep: str = "smallest") -> DataFrame:
     """The rows that stay, with all their columns. Rows that go are found by id and text; of repeated rows one stays."""
     verdict = common.materialize(exact_dedup(docs, keep), "verdicts")
     gone = verdict.filter(~F.col("kept")).groupBy("doc_id", "text_sha256").agg(F.max((F.col("doc_id").eqNullSafe(F.col("keep_id"))).cast("int")).alias("again"))
-    gone = common.checked_broadcast(gone.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("again").alias("__again")))
+    gone = common.checked_broadcast(gone.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("again").alias("__again")), MAX_HITS)
     names = [f"`{c}`" for c in docs.columns]
     at = docs.columns.index("text")
 
