@@ -225,7 +225,7 @@ def scan(docs: DataFrame, forest: Forest | None = None, threshold: float = THRES
                     where.append((chars, chars + stop - start))
                     digest.append(hashlib.sha256(text[start:stop]).hexdigest())
                     rows.append(describe(text, start, stop, path))
-            score = shared.value.score(np.array(rows).reshape(len(rows), -1))
+            score = shared.value.score(np.array(rows))
             start, stop = zip(*where) if where else ((), ())
             yield pa.record_batch([pa.array(who, pa.int64()), pa.array(start, pa.int32()), pa.array(stop, pa.int32()), pa.array(digest, pa.string()), pa.array(score, pa.float64()), pa.array(score >= threshold, pa.bool_())], names=["doc_id", "start", "stop", "value_sha256", "score", "is_secret"])
 
