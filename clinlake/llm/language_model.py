@@ -8,8 +8,10 @@ its position, and the score of a class is its product with the class's own vecto
 class a word has its smoothed share of the class's counts, with one share for unseen words. Class
 probabilities are normalised by batched matrix products over all contexts, once for each worker.
 
-Every task trains on all training texts of its partition, from the parameters of the round before, and
-the parameters are averaged with the tokens as weights; there are ROUNDS rounds.
+Every text is cut into words once; its classes (a byte for each token) are written to the shared folder,
+and training and scoring read them from there. Every task trains on all training texts of its partition,
+from the parameters of the round before, and the parameters are averaged with the tokens as weights; there
+are ROUNDS rounds.
 
 Counts of FREQUENT words (a fixed number) are broadcast. Other words of a text are joined with the table
 of counts, in which none of them is common, so that no key is hot.
@@ -142,12 +144,12 @@ class Trainer:
         good = 1 / (1 + np.exp(-((h * r).sum(1) + m.bias[t] - self.shift[t]))) - 1
         bad = 1 / (1 + np.exp(-(h @ rn.T + m.bias[noise] - self.shift[noise])))
         dh = good[:, None] * r + bad @ rn
-        add = lambda at, rows: np.stack([np.bincount(at, rows[:, k], CLASSES) for k in range(WIDTH)], 1)
+        add = lambda at, rows: np.bincount((at[:, None] * WIDTH + np.arange(WIDTH)).ravel(), rows.ravel(), CLASSES * WIDTH).reshape(CLASSES, WIDTH)
         target = add(t, good[:, None] * h)
         np.add.at(target, noise, bad.T @ h)
         bias = np.bincount(t, good, CLASSES)
         np.add.at(bias, noise, bad.sum(0))
-        context = add(c1, dh * m.position[0]) + add(c2, dh * m.position[1])
+        context = add(c1, dh) * m.position[0] + add(c2, dh) * m.position[1]
         position = np.stack([(dh * q1).sum(0), (dh * q2).sum(0)])
         n = np.float32(np.sqrt(len(t)))
         for name, grad in (("target", target), ("bias", bias), ("context", context), ("position", position)):
@@ -208,9 +210,13 @@ def class_totals(counts: DataFrame, lexicon: Lexicon) -> tuple[np.ndarray, np.nd
     return total, kinds
 
 
-def train_model(train: DataFrame, lexicon: Lexicon, share: np.ndarray, rounds: int = ROUNDS, seed: int = 0) -> Model:
+def sequences(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(b, np.uint8).astype(np.int64) for b in column.to_pylist()]
+
+
+def train_model(train: DataFrame, share: np.ndarray, rounds: int = ROUNDS, seed: int = 0) -> Model:
+    """A model trained on the classes of all texts of a table (one column, cls)."""
     sc = train.sparkSession.sparkContext
-    words = sc.broadcast(lexicon)  # a fixed number of words
     model = Model(seed)
     for turn in range(rounds):
         start = sc.broadcast(model.flat())
@@ -218,7 +224,7 @@ def train_model(train: DataFrame, lexicon: Lexicon, share: np.ndarray, rounds: i
         def run(batches, start=start, turn=turn):
             trainer = Trainer(Model().load(start.value), share, 1 + turn)
             for batch in batches:
-                trainer.train([indexed(tokens(t), words.value)[1] for t in common.byte_rows(batch.column(1))])
+                trainer.train(sequences(batch.column(0)))
             if trainer.seen:
                 yield pa.record_batch([pa.array([float(trainer.seen)]), pa.array([trainer.m.flat().astype(float)], pa.list_(pa.float64()))], names=["w", "p"])
 
@@ -240,16 +246,15 @@ def _norm(model: Model) -> np.ndarray:
     return _norms[key]
 
 
-PARTS = "doc_id bigint, n_tokens bigint, n_known bigint, logs double, classes double, rare array<binary>, rare_n array<int>"
+PARTS = "doc_id bigint, n_tokens bigint, n_known bigint, logs double, cls binary, rare array<binary>, rare_n array<int>"
 
 
-def scored_parts(docs: DataFrame, lexicon: Lexicon, model: Model, log_size: np.ndarray) -> DataFrame:
-    """What a text gives without the counts of its rare words, and these words."""
-    sc = docs.sparkSession.sparkContext
-    words, net = sc.broadcast(lexicon), sc.broadcast(model)
+def read_texts(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """What a text gives without the counts of its rare words; the classes of its tokens; and these words."""
+    words = docs.sparkSession.sparkContext.broadcast(lexicon)  # a fixed number of words
 
     def run(batches):
-        lex, norm = words.value, _norm(net.value)
+        lex = words.value
         for batch in batches:
             out = []
             for text in common.byte_rows(batch.column(1)):
@@ -257,14 +262,29 @@ def scored_parts(docs: DataFrame, lexicon: Lexicon, model: Model, log_size: np.n
                 at, cls, rare = indexed(found, lex)
                 many = Counter(rare)
                 known = at[at >= 0]
-                value = float(net.value.log_prob(cls, norm).sum() - log_size[cls].sum())
-                out.append((len(found), int(lex.known[known].sum()), float(lex.log[known].sum()), value, list(many), list(many.values())))
-            n, k, logs, value, rare, rare_n = zip(*out) if out else ((),) * 6
-            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(logs, pa.float64()), pa.array(value, pa.float64()), pa.array(rare, pa.list_(pa.binary())), pa.array(rare_n, pa.list_(pa.int32()))], names=["doc_id", "n_tokens", "n_known", "logs", "classes", "rare", "rare_n"])
+                out.append((len(found), int(lex.known[known].sum()), float(lex.log[known].sum()), cls.astype(np.uint8).tobytes(), list(many), list(many.values())))
+            n, k, logs, cls, rare, rare_n = zip(*out) if out else ((),) * 6
+            yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(logs, pa.float64()), pa.array(cls, pa.binary()), pa.array(rare, pa.list_(pa.binary())), pa.array(rare_n, pa.list_(pa.int32()))], names=["doc_id", "n_tokens", "n_known", "logs", "cls", "rare", "rare_n"])
 
     return _text(docs).mapInArrow(run, PARTS)
 
 
+SCORED = "uid bigint, doc_id bigint, n_tokens bigint, n_known bigint, logs double, classes double"
+
+
+def class_scores(parts: DataFrame, model: Model, log_size: np.ndarray) -> DataFrame:
+    """The texts with log10 of the probability of their classes, and of an even share in each."""
+    net = parts.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        norm = _norm(net.value)
+        for batch in batches:
+            value = [float(net.value.log_prob(c, norm).sum() - log_size[c].sum()) for c in sequences(batch.column(5))]
+            yield pa.record_batch([*batch.columns[:5], pa.array(value, pa.float64())], names=["uid", "doc_id", "n_tokens", "n_known", "logs", "classes"])
+
+    return parts.select("uid", "doc_id", "n_tokens", "n_known", "logs", "cls").mapInArrow(run, SCORED)
+
+
 def score(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, most: int = FREQUENT, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
     common.tune(docs.sparkSession)
@@ -273,13 +293,12 @@ def score(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT, most: i
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     lexicon = frequent(counts, most)
     total, kinds = class_totals(counts, lexicon)
-    model = train_model(train, lexicon, total, rounds)
-    # One more share in each class for words that were never seen.
-    parts = scored_parts(docs, lexicon, model, np.log10(total + kinds + 1)).withColumn("uid", F.monotonically_increasing_id())
-    parts = common.materialize(parts, "scored")
+    parts = common.materialize(read_texts(docs, lexicon).withColumn("uid", F.monotonically_increasing_id()), "classes")
+    model = train_model(parts.filter(common.fold("doc_id", folds) != held_out).select("cls"), total, rounds)
     rare = parts.select("uid", F.explode(F.arrays_zip("rare", "rare_n")).alias("r")).select("uid", F.col("r.rare").alias("word"), F.col("r.rare_n").alias("k"))
     found = rare.join(counts, "word").groupBy("uid").agg(F.sum("k").alias("more"), F.sum(F.col("k") * F.log10(F.col("c") + 1)).alias("more_logs"))
-    rows = parts.drop("rare", "rare_n").join(found, "uid", "left")
+    # One more share in each class for words that were never seen.
+    rows = class_scores(parts, model, np.log10(total + kinds + 1)).join(found, "uid", "left")
     logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0))
     return rows.select(
         "doc_id",
