@@ -169,10 +169,14 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFr
             rows = rows.join(most, F.col("node") == F.col("s_node"))
             # A set must share 85 % of itself, or it has no partner; then both must allow the overlap that their sizes ask for.
             rows = common.materialize(rows.filter(100 * F.col("most") >= percent * F.col("n")).drop("s_node"), "open")
-            other = rows.select("band", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("root").alias("ru"), F.col("most").alias("mu"))
-            mine = rows.select("band", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("root").alias("rv"), F.col("most").alias("mv"))
+            # A pair meets in the first band that its sets share, and in no other.
+            own = rows.groupBy(F.col("node").alias("b_node")).agg(F.collect_set("band").alias("bands"))
+            rows = rows.join(own, F.col("node") == F.col("b_node"))
+            other = rows.select("band", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("root").alias("ru"), F.col("most").alias("mu"), F.col("bands").alias("bu"))
+            mine = rows.select("band", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("root").alias("rv"), F.col("most").alias("mv"), F.col("bands").alias("bv"))
             meet = (mine["band"] == other["band"]) & (F.col("u") < F.col("v")) & (F.col("ru") != F.col("rv")) & close(F.col("nu"), F.col("nv"))
-            pairs = mine.join(other, meet & ((100 + percent) * F.least("mu", "mv") >= percent * (F.col("nu") + F.col("nv"))))
+            meet = meet & ((100 + percent) * F.least("mu", "mv") >= percent * (F.col("nu") + F.col("nv")))
+            pairs = mine.join(other, meet & (F.array_min(F.array_intersect("bu", "bv")) == mine["band"]))
         pairs = pairs.filter((F.col("ru") != F.col("rv")) & close(F.col("nu"), F.col("nv"))).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["u", "v"], "left_anti")
