@@ -105,7 +105,7 @@ _LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BYTE = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Bytes hashed at once; a longer text is cut at white space.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def _powers(base: int, n: int) -> np.ndarray:
