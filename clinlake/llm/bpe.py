@@ -35,10 +35,13 @@ ABREAST = 8_192
 LONG_WORD = 256
 #: Texts whose words are looked up together.
 TEXTS = 250
-MEMO = 350_000
+MEMO = 100_000
 #: The words of this family of vocabularies: letters, digits or signs with a space before, English endings, white space.
 WORDS = r" ?\p{L}++| ?\p{N}++|'(?:s|t|re|ve|m|ll|d)| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+"
 
+#: Columns that encoding and decoding append.
+ENCODED, DECODED = [("ids", "binary"), ("n_tokens", "bigint")], [("decoded", "string")]
+
 _NEVER = 1 << 60
 
 
@@ -239,42 +242,52 @@ def _little(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def _map(df: DataFrame, source: str, added: list[tuple[str, str]], work) -> DataFrame:
-    """Append columns made from one column, batch by batch."""
+def _map(df: DataFrame, source: str, added: list[tuple[str, str]], work, drop: bool = False) -> DataFrame:
+    """Append columns made from one column, batch by batch. drop: leave the one column out."""
     common.tune(df.sparkSession)
     taken = {c for c, _ in added}
     df = df.select(*[f"`{c}`" for c in df.columns if c not in taken or c == source])
     at = df.columns.index(source)
+    kept = [n for n in range(len(df.columns)) if n != at or not drop]
 
     def run(batches):
         for batch in batches:
             columns = work(batch.column(at))
-            yield pa.record_batch([*batch.columns, *columns], names=[*batch.schema.names, *(c for c, _ in added)])
+            yield pa.record_batch([*(batch.column(n) for n in kept), *columns], names=[*(batch.schema.names[n] for n in kept), *(c for c, _ in added)])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + "".join(f", `{c}` {kind}" for c, kind in added)
-    return df.mapInArrow(run, schema)
+    schema = [f"`{df.schema[n].name}` {df.schema[n].dataType.simpleString()}" for n in kept] + [f"`{c}` {kind}" for c, kind in added]
+    return df.mapInArrow(run, ", ".join(schema))
 
 
-def encode(df: DataFrame, vocabulary, column: str = "text") -> DataFrame:
-    """Append ids (binary: little-endian unsigned 32-bit integers) and n_tokens. vocabulary: from load()."""
+def _encoded(bpe: Bpe, texts: pa.Array) -> list[pa.Array]:
+    rows = [t.decode("utf-8", "replace") for t in common.byte_rows(texts)]
+    ids = [i for n in range(0, len(rows), TEXTS) for i in bpe.encode(rows[n : n + TEXTS])]
+    return [pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())]
 
-    def work(texts: pa.Array) -> list[pa.Array]:
-        bpe = _bpe(vocabulary)
-        rows = [t.decode("utf-8", "replace") for t in common.byte_rows(texts)]
-        ids = [i for n in range(0, len(rows), TEXTS) for i in bpe.encode(rows[n : n + TEXTS])]
-        return [pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())]
 
-    return _map(df, column, [("ids", "binary"), ("n_tokens", "bigint")], work)
+def _decoded(bpe: Bpe, ids: pa.Array) -> pa.Array:
+    return pa.array([bpe.decode(np.frombuffer(raw or b"", "<u4").tolist()) for raw in ids.to_pylist()], pa.string())
+
+
+def encode(df: DataFrame, vocabulary, column: str = "text") -> DataFrame:
+    """Append ids (binary: little-endian unsigned 32-bit integers) and n_tokens. vocabulary: from load()."""
+    return _map(df, column, ENCODED, lambda texts: _encoded(_bpe(vocabulary), texts))
 
 
 def decode(df: DataFrame, vocabulary, column: str = "ids") -> DataFrame:
     """Append decoded, the text of the ids with special tokens written out."""
+    return _map(df, column, DECODED, lambda ids: [_decoded(_bpe(vocabulary), ids)])
 
-    def work(column: pa.Array) -> list[pa.Array]:
+
+def round_trip(df: DataFrame, vocabulary, column: str = "text", drop: bool = False) -> DataFrame:
+    """Append ids, n_tokens and decoded, as encode() and then decode() do, in one worker a task instead of two. drop: leave the text out."""
+
+    def work(texts: pa.Array) -> list[pa.Array]:
         bpe = _bpe(vocabulary)
-        return [pa.array([bpe.decode(np.frombuffer(raw or b"", "<u4").tolist()) for raw in column.to_pylist()], pa.string())]
+        columns = _encoded(bpe, texts)
+        return [*columns, _decoded(bpe, columns[0])]
 
-    return _map(df, column, [("decoded", "string")], work)
+    return _map(df, column, ENCODED + DECODED, work, drop)
 
 
 def default_path() -> str:
@@ -286,7 +299,6 @@ def default_path() -> str:
 def query(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     vocabulary = load(spark, path or default_path())
     docs = common.read(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = encode(docs, vocabulary).select("doc_id", "n_tokens", "ids")
-    return decode(encoded, vocabulary).select(
+    return round_trip(docs, vocabulary, drop=True).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
     )

@@ -42,7 +42,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids (little-endian unsigned 32-bit integers), and whether decoding gives the text back."""
     vocabulary = bpe.load(spark, bpe.default_path())
     rows = docs.select("doc_id", "source", common.text_of().alias("text"))
-    out = bpe.decode(bpe.encode(rows, vocabulary), vocabulary)
+    out = bpe.round_trip(rows, vocabulary)
     return out.select("doc_id", "source", "n_tokens", "ids", (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 

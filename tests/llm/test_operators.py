@@ -91,6 +91,10 @@ def test_bpe(spark, docs, rows):
         want = model.encode(r.text or "", add_special_tokens=False).ids
         assert np.frombuffer(bytes(r.ids), "<u4").tolist() == want and r.n_tokens == len(want)
         assert r.decoded == model.decode(want, skip_special_tokens=False)
+    once = bpe.round_trip(docs, vocabulary)
+    whole = ("text", "n_tokens", "ids", "decoded")
+    assert Counter(once.select(*whole).collect()) == Counter(tuple(r[c] for c in whole) for r in got)
+    assert "text" not in bpe.round_trip(docs, vocabulary, drop=True).columns
     with open(bpe.default_path(), "rb") as file:
         own = bpe.Bpe(file.read())
     rng = random.Random(0)
