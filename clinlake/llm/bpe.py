@@ -35,7 +35,7 @@ ABREAST = 8_192
 LONG_WORD = 256
 #: Texts whose words are looked up together.
 TEXTS = 250
-MEMO = 100_000
+MEMO = 350_000
 #: The words of this family of vocabularies: letters, digits or signs with a space before, English endings, white space.
 WORDS = r" ?\p{L}++| ?\p{N}++|'(?:s|t|re|ve|m|ll|d)| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+"
 
@@ -180,9 +180,9 @@ class Bpe:
                     heapq.heappush(heap, (r, i, parts[i], parts[after[i]]))
         return [p for p in parts if p >= 0]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        self.memo.turn(MEMO)
+    def encode(self, texts: list[str], memo: int = MEMO) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers. memo: words remembered, up to twice."""
+        self.memo.turn(memo)
         get, out = self.memo.__getitem__, []
         cut = [[p if n % 2 else self.find(p) for n, p in enumerate(self.cut.split(t) if self.cut else [t])] for t in texts]
         self.learn(set(chain.from_iterable(p for pieces in cut for p in pieces[::2])))
@@ -259,9 +259,9 @@ def _map(df: DataFrame, source: str, added: list[tuple[str, str]], work, drop: b
     return df.mapInArrow(run, ", ".join(schema))
 
 
-def _encoded(bpe: Bpe, texts: pa.Array) -> list[pa.Array]:
+def _encoded(bpe: Bpe, texts: pa.Array, memo: int) -> list[pa.Array]:
     rows = [t.decode("utf-8", "replace") for t in common.byte_rows(texts)]
-    ids = [i for n in range(0, len(rows), TEXTS) for i in bpe.encode(rows[n : n + TEXTS])]
+    ids = [i for n in range(0, len(rows), TEXTS) for i in bpe.encode(rows[n : n + TEXTS], memo)]
     return [pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())]
 
 
@@ -269,9 +269,9 @@ def _decoded(bpe: Bpe, ids: pa.Array) -> pa.Array:
     return pa.array([bpe.decode(np.frombuffer(raw or b"", "<u4").tolist()) for raw in ids.to_pylist()], pa.string())
 
 
-def encode(df: DataFrame, vocabulary, column: str = "text") -> DataFrame:
-    """Append ids (binary: little-endian unsigned 32-bit integers) and n_tokens. vocabulary: from load()."""
-    return _map(df, column, ENCODED, lambda texts: _encoded(_bpe(vocabulary), texts))
+def encode(df: DataFrame, vocabulary, column: str = "text", memo: int = MEMO) -> DataFrame:
+    """Append ids (binary: little-endian unsigned 32-bit integers) and n_tokens. vocabulary: from load(); memo: words a worker remembers, up to twice."""
+    return _map(df, column, ENCODED, lambda texts: _encoded(_bpe(vocabulary), texts, memo))
 
 
 def decode(df: DataFrame, vocabulary, column: str = "ids") -> DataFrame:
@@ -279,12 +279,12 @@ def decode(df: DataFrame, vocabulary, column: str = "ids") -> DataFrame:
     return _map(df, column, DECODED, lambda ids: [_decoded(_bpe(vocabulary), ids)])
 
 
-def round_trip(df: DataFrame, vocabulary, column: str = "text", drop: bool = False) -> DataFrame:
+def round_trip(df: DataFrame, vocabulary, column: str = "text", drop: bool = False, memo: int = MEMO) -> DataFrame:
     """Append ids, n_tokens and decoded, as encode() and then decode() do, in one worker a task instead of two. drop: leave the text out."""
 
     def work(texts: pa.Array) -> list[pa.Array]:
         bpe = _bpe(vocabulary)
-        columns = _encoded(bpe, texts)
+        columns = _encoded(bpe, texts, memo)
         return [*columns, _decoded(bpe, columns[0])]
 
     return _map(df, column, ENCODED + DECODED, work, drop)

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from clinlake.llm import bpe, common, exact_dedup, factorisation, mixing, near_dedup
 
 
+#: Words that a worker remembers while it encodes: fewer than by default, as its memory stays taken in other stages.
+MEMO = 100_000
+
+
 def _columns(df: DataFrame, docs: DataFrame) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in docs.columns])
 
@@ -42,7 +46,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids (little-endian unsigned 32-bit integers), and whether decoding gives the text back."""
     vocabulary = bpe.load(spark, bpe.default_path())
     rows = docs.select("doc_id", "source", common.text_of().alias("text"))
-    out = bpe.round_trip(rows, vocabulary)
+    out = bpe.round_trip(rows, vocabulary, memo=MEMO)
     return out.select("doc_id", "source", "n_tokens", "ids", (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 
