@@ -2,8 +2,9 @@
 
 Two permutations make the whole signature: the first spreads the shingles over POSITIONS places, the
 second gives each place its rank, and coordinate k reads it shifted circularly by k. All coordinates of a
-document are therefore minima over slices of one table. BANDS bands of ROWS coordinates give candidates:
-a pair with Jaccard similarity 0.85 shares a band with probability 1 - (1 - 0.85**8)**32 > 0.99996.
+document are therefore minima over slices of one table. Bands of coordinates give candidates; their shape
+follows the limit, so that a pair just at it shares no band with probability MISSED at most: at 85 %,
+32 bands of 8 coordinates, (1 - 0.85**8)**32 < 4e-5; at 80 %, 34 bands of 6, (1 - 0.8**6)**34 < 4e-5.
 
 Documents with equal shingle sets form a class, whose representative is its smallest doc_id. In each
 bucket, candidates are not all pairs: members are first compared with one centre, which joins most of a
@@ -20,6 +21,7 @@ linked or equal. An empty table gives an empty result. Extra columns are left ou
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,11 @@ from clinlake.llm import common
 from clinlake.llm.graph import components
 
 WORDS = 5
-PERCENT = 85
-BANDS, ROWS = 32, 8
+#: Least similarity that links, unless a caller gives another; the query of op5 gives CONTRACT.
+PERCENT = 80
+CONTRACT = 85
+#: Coordinates of a signature and rows of a band at most, and the share of pairs at the limit that may share no band.
+COORDINATES, ROWS, MISSED = 256, 8, 4e-5
 POSITIONS = 1 << 22
 #: Rounds in which each unresolved bucket gets one more centre.
 CENTRES = 2
@@ -42,7 +47,20 @@ MAX_IDS = 1_000_000
 SLICES = 512
 
 _SEEDS = np.random.Generator(np.random.PCG64(5)).integers(1, 2**62, 2 * WORDS + ROWS + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_table: list[np.ndarray] = []
+_table: dict[int, np.ndarray] = {}
+
+
+def shape(percent: int) -> tuple[int, int]:
+    """Bands and rows for a limit: as many rows as COORDINATES allow for the bands that MISSED asks for; one row at least."""
+    if not 0 < percent <= 100:
+        raise ValueError(f"percent must be above 0 and at most 100: {percent}")
+    best = None
+    for rows in range(1, ROWS + 1):
+        hit = (percent / 100) ** rows
+        count = 1 if hit == 1 else math.ceil(math.log(MISSED) / math.log1p(-hit))
+        if best is None or count * rows <= COORDINATES:
+            best = count, rows
+    return best
 
 
 def shingles(words: np.ndarray, width: int = WORDS) -> np.ndarray:
@@ -61,29 +79,30 @@ def shingles(words: np.ndarray, width: int = WORDS) -> np.ndarray:
     return np.unique(common.mix(total))
 
 
-def _ranks() -> np.ndarray:
-    """The second permutation, continued circularly, as slices of all coordinates by place."""
-    if not _table:
+def _ranks(count: int) -> np.ndarray:
+    """The second permutation, continued circularly, as slices of `count` coordinates by place."""
+    if count not in _table:
         ranks = np.random.Generator(np.random.PCG64(23)).permutation(POSITIONS).astype(np.uint32)
-        _table.append(sliding_window_view(np.concatenate([ranks, ranks[: BANDS * ROWS - 1]]), BANDS * ROWS))
-    return _table[0]
+        _table.clear()
+        _table[count] = sliding_window_view(np.concatenate([ranks, ranks[: count - 1]]), count)
+    return _table[count]
 
 
-def signature(found: np.ndarray) -> np.ndarray:
-    """Circulant MinHash of a set of shingles, which must not be empty."""
+def signature(found: np.ndarray, count: int) -> np.ndarray:
+    """Circulant MinHash, of `count` coordinates, of a set of shingles, which must not be empty."""
     places = (common.mix(found * _SEEDS[-1]) >> np.uint64(42)).astype(np.int64)
-    table = _ranks()
+    table = _ranks(count)
     low = table[places[:SLICES]].min(0)
     for at in range(SLICES, len(places), SLICES):
         np.minimum(low, table[places[at : at + SLICES]].min(0), out=low)
     return low
 
 
-def bands(low: np.ndarray) -> np.ndarray:
-    rows = low.reshape(BANDS, ROWS).astype(np.uint64)
-    total = np.arange(BANDS, dtype=np.uint64)
-    for k in range(ROWS):
-        total = common.mix((total ^ rows[:, k]) * _SEEDS[2 * WORDS + k])
+def bands(low: np.ndarray, count: int, rows: int) -> np.ndarray:
+    each = low.reshape(count, rows).astype(np.uint64)
+    total = np.arange(count, dtype=np.uint64)
+    for k in range(rows):
+        total = common.mix((total ^ each[:, k]) * _SEEDS[2 * WORDS + k])
     return total.view(np.int64)
 
 
@@ -104,9 +123,10 @@ def _with_sets(docs: DataFrame, more) -> DataFrame:
     return rows.mapInArrow(lambda batches: _sets(batches, more), "doc_id bigint, n bigint, set_id binary, extra array<bigint>")
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n, set_id, extra: the size and a 128-bit name of each shingle set, and its band hashes."""
-    return _with_sets(docs, lambda found: bands(signature(found)) if len(found) else None)
+    count, rows = shape(percent)
+    return _with_sets(docs, lambda found: bands(signature(found, count * rows), count, rows) if len(found) else None)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -167,7 +187,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFr
         else:
             most = common.materialize(shareable(members, sets), "shareable")
             rows = rows.join(most, F.col("node") == F.col("s_node"))
-            # A set must share 85 % of itself, or it has no partner; then both must allow the overlap that their sizes ask for.
+            # A set must share `percent` of itself, or it has no partner; then both must allow the overlap that their sizes ask for.
             rows = common.materialize(rows.filter(100 * F.col("most") >= percent * F.col("n")).drop("s_node"), "open")
             # A pair meets in the first band that its sets share, and in no other.
             own = rows.groupBy(F.col("node").alias("b_node")).agg(F.collect_set("band").alias("bands"))
@@ -196,7 +216,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFr
 def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id that can be reached), kept, for every row."""
     common.tune(docs.sparkSession)
-    drawn = common.materialize(sketches(docs), "sketches")
+    drawn = common.materialize(sketches(docs, percent), "sketches")
     usable = drawn.filter(F.col("set_id").isNotNull() & F.col("doc_id").isNotNull())
     classes = common.materialize(usable.groupBy("set_id").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("extra").alias("extra"), F.count("*").alias("rows")), "classes")
     comp = links(docs, classes, percent)
@@ -209,7 +229,7 @@ def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return near_dedup(common.read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return near_dedup(common.read(spark, sf_dir, "documents").select("doc_id", "text"), CONTRACT)
 
 
 ORACLE = r"""

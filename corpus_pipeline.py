@@ -31,7 +31,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates, the document with the smallest doc_id."""
+    """Of near duplicates (a similarity of 0.8 links), the document with the smallest doc_id."""
     gone = near_dedup.near_dedup(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
     gone = common.checked_broadcast(common.materialize(gone, "gone"), near_dedup.MAX_IDS)
     return _columns(docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti"), docs)

@@ -175,6 +175,29 @@ def test_near_dedup(docs, rows, empty):
     assert near_dedup.near_dedup(empty).count() == 0
 
 
+def test_near_dedup_links_from_80_percent(spark):
+    """A word changed in the middle of a text: 49 to 65 words give a similarity of 0.80 to 0.849."""
+    import corpus_pipeline as p
+
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(8))
+    rows = []
+    for n in (48, 49, 57, 64):
+        text = [word() for _ in range(n)]
+        rows += [(2 * n, " ".join(text)), (2 * n + 1, " ".join([*text[: n // 2], "other", *text[n // 2 + 1 :]]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = lambda df: {r.doc_id for r in df.collect() if r.kept}
+    assert {r.doc_id for r in p.near(spark, docs, "").collect()} == kept(near_dedup.near_dedup(docs)) == {96, 97, 98, 114, 128}
+    assert kept(near_dedup.near_dedup(docs, near_dedup.CONTRACT)) == {r[0] for r in rows}
+
+
+@pytest.mark.parametrize("percent", [20, 50, 70, 80, 85, 95, 100])
+def test_bands_follow_the_limit(percent):
+    count, rows = near_dedup.shape(percent)
+    assert (1 - (percent / 100) ** rows) ** count <= 4e-5 and count * rows <= 256
+    assert near_dedup.shape(85) == (32, 8)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 90), (95, 90), (95, 99)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
