@@ -2,8 +2,8 @@
 
 Lines are normalised (white space squeezed, A-Z lower-cased by SQL `lower`, digits as 0) and hashed.
 On each host, the documents that hold a line are counted; exact copies of a text count as one document.
-A line in more documents than the limit is boilerplate and is removed; a document that loses more than
-DEPLETED of its words is rejected. The limit is MIN_DOCS documents, or SHARE of the host's documents if
+A line in more documents than the limit is boilerplate and is removed (`cleaned` gives the text that is
+left); a document that loses more than DEPLETED of its words is rejected. The limit is MIN_DOCS documents, or SHARE of the host's documents if
 that is more. Hosts are the values of `source`.
 
 All of it is decided for each distinct (host, text), which keeps large groups of copies small: they are
@@ -61,17 +61,22 @@ def base(docs: DataFrame) -> DataFrame:
     )
 
 
+def normal(line: str) -> str:
+    """SQL for a normalised line."""
+    return rf"trim(regexp_replace(regexp_replace(lower({line}), r'[{common.SPACE}]+', ' '), '[0-9]', '0'))"
+
+
 def text_lines(docs: DataFrame) -> DataFrame:
     """host, text_hash, line, n_words: the distinct normalised lines of each distinct text of a host, with the words that they hold there."""
-    normal = rf"transform(filter(split(coalesce(text, ''), '\n', -1), l -> l rlike r'[^{common.SPACE}]'), l -> trim(regexp_replace(regexp_replace(lower(l), r'[{common.SPACE}]+', ' '), '[0-9]', '0')))"
-    marks = F.expr(f"transform({normal}, l -> struct(xxhash64(l) as line, regexp_count(l, '[^ ]+') as n))")
+    lines = rf"transform(filter(split(coalesce(text, ''), '\n', -1), l -> l rlike r'[^{common.SPACE}]'), l -> {normal('l')})"
+    marks = F.expr(f"transform({lines}, l -> struct(xxhash64(l) as line, regexp_count(l, '[^ ]+') as n))")
     texts = docs.select(F.col("source").alias("host"), common.text_of().alias("text")).select("host", F.xxhash64("text", F.length("text")).alias("text_hash"), marks.alias("marks"))
     one = texts.groupBy("host", "text_hash").agg(F.first("marks").alias("marks"))
     return one.select("host", "text_hash", F.explode("marks").alias("m")).groupBy("host", "text_hash", F.col("m.line").alias("line")).agg(F.sum("m.n").alias("n_words"))
 
 
-def rejected(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED) -> DataFrame:
-    """host, text_hash of the texts that lose more than `depleted` of their words to lines above the limit."""
+def losses(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED, named: bool = False) -> DataFrame:
+    """host, text_hash, gone, depleted of the texts that lose words to lines above the limit; if named, the hashes of these lines."""
     lines = common.materialize(text_lines(docs), "lines")
     texts = lines.groupBy("host").agg(F.count_distinct("text_hash").alias("texts"))
     limit = F.greatest(F.lit(float(min_docs)), F.col("texts") * share)
@@ -80,17 +85,34 @@ def rejected(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, de
     above = held.filter(F.col("docs") > min_docs).join(common.checked_broadcast(texts.withColumnRenamed("host", "t_host")), same).filter(F.col("docs") > limit)
     above = above.select(F.col("host").alias("a_host"), F.col("line").alias("a_line"))
     marked = lines.join(common.checked_broadcast(common.materialize(above, "boilerplate")), (F.col("line") == F.col("a_line")) & F.col("host").eqNullSafe(F.col("a_host")), "left")
-    lost = marked.groupBy("host", "text_hash").agg(F.sum("n_words").alias("all"), F.sum(F.when(F.col("a_line").isNotNull(), F.col("n_words")).otherwise(0)).alias("gone"))
-    return lost.filter(F.col("gone") > depleted * F.col("all")).select("host", "text_hash", "gone")
+    more = [F.collect_list("a_line").alias("lines")] if named else []
+    lost = marked.groupBy("host", "text_hash").agg(F.sum("n_words").alias("all"), F.sum(F.when(F.col("a_line").isNotNull(), F.col("n_words")).otherwise(0)).alias("gone"), *more)
+    return lost.filter("gone > 0").withColumn("depleted", F.col("gone") > depleted * F.col("all")).drop("all")
+
+
+def _judged(docs: DataFrame, rows: DataFrame, named: bool, limits: dict) -> DataFrame:
+    """The rows with boilerplate_words and kept; if named, with the hashes of boilerplate lines in __lines."""
+    lost = common.materialize(losses(docs, named=named, **limits), "losses")
+    lost = lost.withColumnsRenamed({"host": "b_host", "text_hash": "b_hash", "lines": "__lines"})
+    judged = rows.join(common.checked_broadcast(lost), (F.col("__hash") == F.col("b_hash")) & F.col("source").eqNullSafe(F.col("b_host")), "left")
+    judged = judged.withColumn("boilerplate_words", F.coalesce("gone", F.lit(0)).cast("bigint"))
+    return judged.withColumn("kept", ~F.col("base_failed") & ~F.coalesce("depleted", F.lit(False))).drop("__hash", "b_host", "b_hash", "gone", "depleted")
+
+
+def _base(docs: DataFrame) -> DataFrame:
+    return base(docs.select("doc_id", "text", "source", F.xxhash64(common.text_of(), F.length(common.text_of())).alias("__hash")))
 
 
 def judge(docs: DataFrame, **limits) -> DataFrame:
     """The columns of base(), boilerplate_words and kept, for every row of doc_id, text, source."""
-    rows = base(docs.select("doc_id", "text", "source", F.xxhash64(common.text_of(), F.length(common.text_of())).alias("__hash"))).drop("text")
-    bad = common.materialize(rejected(docs, **limits), "rejected")
-    bad = bad.select(F.col("host").alias("b_host"), F.col("text_hash").alias("b_hash"), "gone")
-    judged = rows.join(common.checked_broadcast(bad), (F.col("__hash") == F.col("b_hash")) & F.col("source").eqNullSafe(F.col("b_host")), "left")
-    return judged.withColumn("boilerplate_words", F.coalesce("gone", F.lit(0)).cast("bigint")).withColumn("kept", ~F.col("base_failed") & F.col("b_hash").isNull()).drop("__hash", "b_host", "b_hash", "gone")
+    return _judged(docs, _base(docs).drop("text"), False, limits)
+
+
+def cleaned(docs: DataFrame, **limits) -> DataFrame:
+    """As judge(), with the text that is left without its boilerplate lines; other lines stay as they are."""
+    rows = _judged(docs, _base(docs), True, limits)
+    left = F.expr(rf"array_join(filter(split(text, '\n', -1), l -> not array_contains(__lines, xxhash64({normal('l')}))), '\n')")
+    return rows.withColumn("text", F.when(F.col("__lines").isNull(), F.col("text")).otherwise(left)).drop("__lines")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

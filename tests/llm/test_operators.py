@@ -143,6 +143,23 @@ def test_line_quality(docs, rows, empty):
     assert line_quality.judge(empty).count() == 0
 
 
+def test_line_quality_removes_lines(spark):
+    """A text that loses 60 % of its words is kept, without the shared line; one that loses 90 % is rejected."""
+    shared = "This line 2024 stands in many texts"
+    body = lambda i, n: " ".join(f"w{chr(97 + i)}{chr(97 + k)}" for k in range(n))
+    rows = [(i, f"{body(i, 5)}\n\n {shared.upper().replace('2024', str(1000 + i))}\t\n{body(i, 2)[::-1]}", "h") for i in range(8)]
+    rows += [(8, f"{shared}\n{shared}\n{shared}\none two", "h"), (9, f"{shared}\nother words", "g"), (10, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in line_quality.cleaned(docs, min_docs=5, share=0.0).collect()}
+    judged = {r.doc_id: r for r in line_quality.judge(docs, min_docs=5, share=0.0).collect()}
+    assert len(got) == len(judged) == len(rows)
+    for i in range(8):
+        assert got[i].text == f"{body(i, 5)}\n\n{body(i, 2)[::-1]}" and got[i].kept
+    assert got[8].text == "one two" and not got[8].kept and got[9].text == rows[9][1] and got[10].text is None
+    assert [judged[i].boilerplate_words for i in range(11)] == [7] * 8 + [21, 0, 0]
+    assert all((judged[i].kept, judged[i].boilerplate_words) == (got[i].kept, got[i].boilerplate_words) for i in got)
+
+
 def shingle_set(text):
     w = lower(text).split()
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
