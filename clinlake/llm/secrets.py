@@ -50,16 +50,41 @@ def _kind(c: int) -> int:
     return 0 if 48 <= c < 58 else 1 if 65 <= c < 91 else 2 if 97 <= c < 123 else 3
 
 
-def coverage(value: bytes, text: bytes, start: int, stop: int) -> tuple[float, float]:
+class Pieces:
+    """How often each four-letter piece (a-z) stands in a text, for all its candidates."""
+
+    def __init__(self, text: bytes):
+        self.held = np.sort(_codes(text.lower()))
+
+    def outside(self, text: bytes, start: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the candidate's pieces in it, and which of them stand in the rest of the text too."""
+        codes = _codes(text[start:stop].lower(), -1)
+        at = np.flatnonzero(codes >= 0)
+        wanted = codes[at]
+        # Pieces that reach into the candidate are its own.
+        own = np.sort(_codes(text[max(0, start - 3) : stop + 3].lower()))
+        count = lambda held: np.searchsorted(held, wanted, "right") - np.searchsorted(held, wanted, "left")
+        return at, count(self.held) > count(own)
+
+
+def _codes(low: bytes, other: int | None = None) -> np.ndarray:
+    """The pieces of a lower-cased text as numbers; those with other bytes are left out, or given as `other`."""
+    c = np.frombuffer(low, np.uint8).astype(np.int32) - 97
+    if len(c) < 4:
+        return np.zeros(0, np.int32)
+    letter = (c >= 0) & (c < 26)
+    whole = letter[:-3] & letter[1:-2] & letter[2:-1] & letter[3:]
+    codes = ((c[:-3] * 26 + c[1:-2]) * 26 + c[2:-1]) * 26 + c[3:]
+    return codes[whole] if other is None else np.where(whole, codes, other)
+
+
+def coverage(value: bytes, text: bytes, start: int, stop: int, pieces: Pieces | None = None) -> tuple[float, float]:
     """Shares of the candidate covered by four-letter pieces of the rest of the text, and by words of identifiers."""
     low = value.lower()
     hit = np.zeros(len(low), bool)
-    pieces = [(i, low[i : i + 4]) for i in range(len(low) - 3) if low[i : i + 4].isalpha()]
-    if pieces:
-        rest = (text[max(0, start - 20_000) : start] + b" " + text[stop : stop + 20_000]).lower()
-        for i, piece in pieces:
-            if piece in rest:
-                hit[i : i + 4] = True
+    at, found = (pieces or Pieces(text)).outside(text, start, stop)
+    for i in at[found]:
+        hit[i : i + 4] = True
     word = np.zeros(len(low), bool)
     for w in _DICTIONARY:
         at = low.find(w)
@@ -69,7 +94,7 @@ def coverage(value: bytes, text: bytes, start: int, stop: int) -> tuple[float, f
     return float(hit.mean()), float(word.mean())
 
 
-def describe(text: bytes, start: int, stop: int, path: str | None) -> list[float]:
+def describe(text: bytes, start: int, stop: int, path: str | None, pieces: Pieces | None = None) -> list[float]:
     value = text[start:stop]
     n = len(value)
     kinds = [_kind(c) for c in value]
@@ -80,7 +105,7 @@ def describe(text: bytes, start: int, stop: int, path: str | None) -> list[float
     hexes = sum(c in b"0123456789abcdefABCDEF" for c in value) / n
     return [
         float(min(n, 200)), *share, steps, float(-(count * np.log2(count)).sum()), float(count.max()), hexes,
-        float(n in (32, 40, 64, 96, 128)), *coverage(value, text, start, stop),
+        float(n in (32, 40, 64, 96, 128)), *coverage(value, text, start, stop, pieces),
         float(bool(path and _CODE.search(path))), float(bool(path and _TEST_PATH.search(path))),
         float(bool(_HINT.search(before))), float(bool(_ASSIGNED.search(before))), float(before[-1:] in (b'"', b"'", b"`")),
         float(bool(_DIGEST.search(before))), float(bool(_HARMLESS.search(before + value + after))), float(bool(re.match(rb"[A-Z]{3,5}[A-Z0-9]{12,}$|gh[pousr]_|sk-|xox[abp]-|eyJ", value))),
@@ -218,13 +243,15 @@ def scan(docs: DataFrame, forest: Forest | None = None, threshold: float = THRES
             who, where, digest, rows = [], [], [], []
             for doc_id, text, path in zip(batch.column(0).to_pylist(), common.byte_rows(batch.column(1)), batch.column(2).to_pylist()):
                 at = chars = 0
-                for start, stop in candidates(text):
+                spans = candidates(text)
+                pieces = Pieces(text) if spans else None
+                for start, stop in spans:
                     chars += len(text[at:start].decode("utf-8", "replace"))
                     at = start
                     who.append(doc_id)
                     where.append((chars, chars + stop - start))
                     digest.append(hashlib.sha256(text[start:stop]).hexdigest())
-                    rows.append(describe(text, start, stop, path))
+                    rows.append(describe(text, start, stop, path, pieces))
             score = shared.value.score(np.array(rows))
             start, stop = zip(*where) if where else ((), ())
             yield pa.record_batch([pa.array(who, pa.int64()), pa.array(start, pa.int32()), pa.array(stop, pa.int32()), pa.array(digest, pa.string()), pa.array(score, pa.float64()), pa.array(score >= threshold, pa.bool_())], names=["doc_id", "start", "stop", "value_sha256", "score", "is_secret"])

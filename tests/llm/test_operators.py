@@ -310,6 +310,24 @@ def test_secrets(spark, empty):
     assert secrets.scan(empty, forest).count() == 0
 
 
+def test_coverage_reads_the_whole_text():
+    name = b"veloturamikosana"
+    for gap in (10, 60_000):
+        text = name + b" 0" * gap + b" veloturamikoxxxx"
+        assert secrets.coverage(text[:16], text, 0, 16)[0] == 12 / 16
+        assert secrets.coverage(name, name + b" 0" * gap, 0, 16)[0] == 0
+    rng = random.Random(4)
+    for _ in range(300):
+        text = bytes(rng.choice(b"abAB -") for _ in range(60))
+        a = rng.randrange(50)
+        b = a + rng.randint(1, 10)
+        rest, low, hit = (text[:a] + b" " + text[b:]).lower(), text[a:b].lower(), set()
+        for i in range(len(low) - 3):
+            if low[i : i + 4].isalpha() and low[i : i + 4] in rest:
+                hit.update(range(i, i + 4))
+        assert secrets.coverage(text[a:b], text, a, b)[0] == pytest.approx(len(hit) / len(low))
+
+
 def test_pipeline(spark, tmp_path, rows):
     import corpus_pipeline as p
 
