@@ -1,6 +1,8 @@
 """Secret scan: candidate strings, and a random forest that removes false positives.
 
-Candidates are runs of at least SHORTEST characters of keys, tokens and hashes. The forest sees a
+Candidates are runs of at least SHORTEST characters of keys, tokens and hashes that no letter touches, and
+values of at least SHORTEST_VALUE printable characters that are assigned to names of passwords, secrets and
+tokens: up to the closing quote, or to white space if they have no quotes. The forest sees a
 candidate's length, shares of character kinds and transitions between them, how much of it is covered by a
 dictionary (the four-letter pieces of the rest of its text, and a few words of identifiers), the path of
 the document (its source) and the words around it. It is trained in numpy on labelled findings: those
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections import Counter
 from dataclasses import dataclass
 
@@ -25,25 +28,72 @@ from pyspark.sql import functions as F
 
 from clinlake.llm import common
 
-SHORTEST = 16
+SHORTEST, SHORTEST_VALUE = 16, 8
 THRESHOLD = 0.5
 FINDINGS = 4_000
 TREES, DEPTH, LEAF = 30, 9, 4
 #: Bytes on each side of a candidate whose words count as its neighbours.
 AROUND = 32
 
-_CANDIDATE = re.compile(rb"(?<![A-Za-z0-9+/_\-\x80-\xff])[A-Za-z0-9+/_\-]{%d,}(?![A-Za-z0-9+/_\-\x80-\xff])={0,2}" % SHORTEST)
-_HINT = re.compile(rb"pass(?:wd|word|phrase)?|secret|token|api.?key|auth|bearer|credential|private.?key|access.?key", re.I)
+_CANDIDATE = re.compile(rb"(?<![A-Za-z0-9+/_\-])([A-Za-z0-9+/_\-]{%d,})(?![A-Za-z0-9+/_\-])={0,2}" % SHORTEST)
+_NAMES = r"pass(?:wd|word|phrase)?|pwd|secret|token|api.?key|auth|bearer|credential|private.?key|access.?key|密码|密碼|口令"
+_HINT = re.compile(_NAMES.encode(), re.I)
+#: Every name holds one of these, so that most texts need no search for assignments.
+_STEMS = tuple(w.encode() for w in ("pass", "pwd", "secret", "token", "key", "auth", "bearer", "credential", "密码", "密碼", "口令"))
+_SIGN, _OPEN = r"(?:[:=]>?|：|＝)", r"(?:[\"'`]|“|‘)"
+_VALUE = re.compile(
+    (
+        rf"(?:{_NAMES})[A-Za-z0-9_.\-]{{0,40}}[\"'`\]]{{0,2}}[ \t]{{0,8}}{_SIGN}[ \t]{{0,8}}"
+        r"(?:\"([^\"\x00-\x1f\x7f]+)\"|'([^'\x00-\x1f\x7f]+)'|`([^`\x00-\x1f\x7f]+)`|“((?:(?!”)[^\x00-\x1f\x7f])+)”|‘((?:(?!’)[^\x00-\x1f\x7f])+)’"
+        rf"|(?!{_OPEN})([^\x00-\x20\x7f]+))"
+    ).encode(),
+    re.I,
+)
 _HARMLESS = re.compile(rb"example|sample|dummy|placeholder|your|xxxx|test|todo|changeme", re.I)
 _DIGEST = re.compile(rb"sha\d*|md5|checksum|digest|commit|integrity|uuid|revision|etag", re.I)
-_ASSIGNED = re.compile(rb"[:=]>?\s*[\"'`]?$")
+_ASSIGNED = re.compile(rf"{_SIGN}\s*{_OPEN}?$".encode())
+_QUOTED = re.compile(f"{_OPEN}$".encode())
 _DICTIONARY = (b"name", b"type", b"value", b"class", b"get", b"set", b"list", b"data", b"file", b"path", b"user", b"config", b"service", b"manager", b"factory", b"handler", b"test", b"index", b"model", b"error", b"http", b"html", b"image", b"version", b"abstract", b"default", b"request", b"response")
 _CODE = re.compile(r"\.(?:env|ya?ml|json|ini|conf|cfg|toml|properties|py|js|ts|java|go|rb|sh|tf)$", re.I)
 _TEST_PATH = re.compile(r"test|spec|fixture|example|sample|doc|mock", re.I)
 
 
+def _letter_at(text: bytes, start: int, stop: int, first: bool) -> bool:
+    """Whether the first or last character of a few bytes beside a run is a letter, digit or mark outside ASCII."""
+    near = text[start:stop].decode("utf-8", "ignore")
+    c = near[:1] if first else near[-1:]
+    return c > "\x7f" and (c.isalnum() or unicodedata.category(c)[0] == "M")
+
+
+def runs(text: bytes) -> list[tuple[int, int]]:
+    out = []
+    for m in _CANDIDATE.finditer(text):
+        start, end = m.span(1)
+        left = start > 0 and text[start - 1] > 127 and _letter_at(text, max(0, start - 4), start, False)
+        right = end < len(text) and text[end] > 127 and _letter_at(text, end, end + 4, True)
+        if not left and not right:
+            out.append(m.span())
+    return out
+
+
+def values(text: bytes) -> list[tuple[int, int]]:
+    """Values assigned to names of secrets; those without quotes lose closing punctuation."""
+    low = text.lower()
+    if not any(stem in low for stem in _STEMS):
+        return []
+    out = []
+    for m in _VALUE.finditer(text):
+        start, stop = m.span(m.lastindex)
+        if m.lastindex == 6:
+            stop = start + len(text[start:stop].rstrip(b",;)]}>\"'`"))
+        if len(text[start:stop].decode("utf-8", "replace")) >= SHORTEST_VALUE:
+            out.append((start, stop))
+    return out
+
+
 def candidates(text: bytes) -> list[tuple[int, int]]:
-    return [m.span() for m in _CANDIDATE.finditer(text)]
+    """Start and stop of all candidates, in order; a span that is both a run and a value counts once."""
+    return sorted({*runs(text), *values(text)})
 
 
 def _kind(c: int) -> int:
@@ -107,7 +157,7 @@ def describe(text: bytes, start: int, stop: int, path: str | None, pieces: Piece
         float(min(n, 200)), *share, steps, float(-(count * np.log2(count)).sum()), float(count.max()), hexes,
         float(n in (32, 40, 64, 96, 128)), *coverage(value, text, start, stop, pieces),
         float(bool(path and _CODE.search(path))), float(bool(path and _TEST_PATH.search(path))),
-        float(bool(_HINT.search(before))), float(bool(_ASSIGNED.search(before))), float(before[-1:] in (b'"', b"'", b"`")),
+        float(bool(_HINT.search(before))), float(bool(_ASSIGNED.search(before))), float(bool(_QUOTED.search(before))),
         float(bool(_DIGEST.search(before))), float(bool(_HARMLESS.search(before + value + after))), float(bool(re.match(rb"[A-Z]{3,5}[A-Z0-9]{12,}$|gh[pousr]_|sk-|xox[abp]-|eyJ", value))),
     ]
 
@@ -193,14 +243,18 @@ def labelled_findings(n: int = FINDINGS, seed: int = 0) -> list[tuple[bytes, int
         # Syllables of an invented language, so that the forest learns no vocabulary.
         syllables = [draw("bcdfghklmnprstvz", 1) + draw("aeiou", 1) + draw("lmnrst", int(rng.integers(2))) for _ in range(30)]
         word = lambda k: "".join(pick(syllables) for _ in range(k))  # noqa: B023, E731
+        # Chosen passwords mix kinds of characters; plain values are words, references and calls.
+        chosen = lambda k: word(1).capitalize()[: k - 4] + draw(low + up + num + "!#$%&*.?@^~", k)[: max(k - 4, 4)] + draw(num, 1) + draw("!#$%&*.?@^~", 1)  # noqa: B023, E731
+        plain = [lambda: word(4), lambda: word(2) + "." + word(2), lambda: f"{word(2)}.{word(2)}()", lambda: "${" + word(3).upper() + "}", lambda: f"<{word(3)}>", lambda: f"{word(2)} {word(2)} {word(1)}", lambda: word(2) + "_" + word(2)]  # noqa: B023
         label = i % 2
         if label:
             value = pick([
                 lambda: "AKIA" + draw(up + num, 16), lambda: draw("0123456789abcdef", pick([18, 20, 24, 32, 40, 64])),
                 lambda: draw(low + up + num, int(rng.integers(20, 60))), lambda: draw(low + up + num + "+/", pick([40, 64, 88])),
                 lambda: "ghp_" + draw(low + up + num, 36), lambda: draw(low + up + num + "_-", int(rng.integers(16, 44))),
+                lambda: chosen(int(rng.integers(8, 24))),
             ])()
-            lead = pick(["", "password=", "token = \"", "secret: ", "api_key=", "auth_token='", "Authorization: Bearer ", "passwd = "])
+            lead = pick(["", "password=", "token = \"", "secret: ", "api_key=", "auth_token='", "Authorization: Bearer ", "passwd = ", "token = “", "密码："])
             if not value.startswith(("AKIA", "ghp_")) and not lead:
                 lead = "token = \""
         else:
@@ -208,16 +262,18 @@ def labelled_findings(n: int = FINDINGS, seed: int = 0) -> list[tuple[bytes, int
                 lambda: word(int(rng.integers(6, 10))), lambda: word(7).upper(), lambda: draw(num, pick([16, 16, 18, 20])),
                 lambda: f"{draw('0123456789abcdef', 8)}-{draw('0123456789abcdef', 4)}-4{draw('0123456789abcdef', 3)}-a{draw('0123456789abcdef', 3)}-{draw('0123456789abcdef', 12)}",
                 lambda: "get" + "".join(word(2).capitalize() for _ in range(4)), lambda: "_".join(word(2) for _ in range(4)), lambda: "/".join(word(2) for _ in range(4)),
-                lambda: "x" * int(rng.integers(16, 40)), lambda: "your_api_key_" + word(3), lambda: draw("0123456789abcdef", pick([32, 40, 64])), lambda: "-" * int(rng.integers(16, 60)),
+                lambda: "x" * int(rng.integers(16, 40)), lambda: "your_api_key_" + word(3), lambda: pick(plain)(), lambda: draw("0123456789abcdef", pick([32, 40, 64])), lambda: "-" * int(rng.integers(16, 60)),
             ])()
             lead = "" if not re.fullmatch("[0-9a-f]{32,}", value) else pick(["sha256: ", "commit ", "md5=", "checksum: "])
             if value.startswith("your") or value[0] == "x":
                 lead = pick(["token = \"", "password=", ""])
-        if len(value) < SHORTEST:
+            if value[0] in "$<{(" or len(value) < SHORTEST or "." in value or " " in value:
+                lead = pick(["password=", "token = ", "secret: ", "password = \"", "token: ", "密码："])
+        if len(value) < SHORTEST_VALUE:
             value += draw(low, SHORTEST) if label else word(6)
         sentence = lambda: " ".join(word(int(rng.integers(1, 4))) for _ in range(int(rng.integers(8, 60))))
         head = f"{sentence()} {lead}".encode()
-        tail = (lead[-1] if lead.endswith(("'", '"')) else "") + " " + sentence()
+        tail = {"'": "'", '"': '"', "“": "”"}.get(lead[-1:], "") + " " + sentence()
         path = pick(["src/app.py", "deploy/prod.env", "conf/site.yaml", "tests/fixtures/a.json", "docs/readme.md", "notes.txt", ""])
         out.append((head + value.encode() + tail.encode(), len(head), len(head) + len(value), path, label))
     return out
@@ -249,7 +305,7 @@ def scan(docs: DataFrame, forest: Forest | None = None, threshold: float = THRES
                     chars += len(text[at:start].decode("utf-8", "replace"))
                     at = start
                     who.append(doc_id)
-                    where.append((chars, chars + stop - start))
+                    where.append((chars, chars + len(text[start:stop].decode("utf-8", "replace"))))
                     digest.append(hashlib.sha256(text[start:stop]).hexdigest())
                     rows.append(describe(text, start, stop, path, pieces))
             score = shared.value.score(np.array(rows))
