@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clinlake.functions import fhir
@@ -398,6 +398,22 @@ def _bundles(s, d):
     return out.join(src.patients(s, d).select("patient_id"), "patient_id", "left_semi")
 
 
+def everything_entries(s, d):
+    """Bundle entries of every patient, a row each: the patient as match, then the other resources as include."""
+    def entry(df, kind, rank, mode):
+        r = fhir.to_resource(df, kind)
+        who = F.col("id") if kind == "Patient" else F.substring_index("subject.reference", "/", -1)
+        return r.select(who.alias("patient_id"), F.lit(kind).alias("kind"), F.lit(rank).alias("rank"), "id", F.lit(mode).alias("search_mode"), fhir.to_json(r).alias("resource"))
+
+    out = entry(_fhir_patients(s, d), "Patient", 0, "match")
+    for rank, (kind, df) in enumerate([("Encounter", _fhir_visits(s, d)), ("MedicationRequest", _fhir_orders(s, d)), ("DiagnosticReport", src.lab_results(s, d))], 1):
+        out = out.unionByName(entry(df, kind, rank, "include"))
+    out = out.join(src.patients(s, d).select(F.col("patient_id").cast("string").alias("patient_id")), "patient_id", "left_semi")
+    totals = out.groupBy(F.col("patient_id").alias("t_id")).agg(F.count("*").alias("total"))
+    position = F.row_number().over(Window.partitionBy("patient_id").orderBy("rank", "id"))
+    return out.withColumn("position", position).join(totals, F.col("patient_id") == F.col("t_id")).select("patient_id", "position", "kind", "id", "search_mode", "resource", "total")
+
+
 def patient_everything(s, d):
     return _bundles(s, d).groupBy("patient_id", "kind").agg(F.count("*").alias("entries"))
 

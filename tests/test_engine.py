@@ -131,3 +131,21 @@ def test_retry():
 
     assert apply.supervise(start, policy, waits.append) == 2 and waits == [1, 2]
     assert policy.wait(100) == 60
+
+
+def test_everything_entries(spark):
+    import json
+
+    from clinlake.plans import queries as plans
+
+    d = "/root/testdata/sf0.001"
+    rows = plans.everything_entries(spark, d).collect()
+    counts, held = {}, {}
+    for r in rows:
+        made = json.loads(r.resource)
+        assert (made["resourceType"], made["id"]) == (r.kind, r.id) and r.search_mode == ("match" if r.kind == "Patient" else "include")
+        counts[r.patient_id, r.kind] = counts.get((r.patient_id, r.kind), 0) + 1
+        held.setdefault(r.patient_id, []).append((r.position, r.kind, r.total))
+    assert counts == {(str(r.patient_id), r.kind): r.entries for r in plans.patient_everything(spark, d).collect()}
+    for own in held.values():
+        assert sorted(p for p, _, _ in own) == list(range(1, len(own) + 1)) and min(own)[1] == "Patient" and {t for *_, t in own} == {len(own)}
