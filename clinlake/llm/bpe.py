@@ -10,7 +10,9 @@ The vocabulary file is read on the driver and broadcast (its size is that of the
 executors may not see the driver's folders. Special tokens are matched in the text before the words
 are cut, as the file's own library does by default.
 
-Nulls: a null text is empty, with no ids. Repeated rows stay repeated. Extra columns pass through.
+Nulls: a null text is empty, with no ids. Very long texts and words are encoded whole. Repeated rows stay repeated.
+An empty table gives an empty result. Extra columns pass through, but input columns that have the name of a new
+one (ids, n_tokens, decoded) are replaced by it, unless it is the column that is read.
 """
 
 from __future__ import annotations
@@ -38,6 +40,19 @@ TEXTS = 250
 MEMO = 350_000
 #: The words of this family of vocabularies: letters, digits or signs with a space before, English endings, white space.
 WORDS = r" ?\p{L}++| ?\p{N}++|'(?:s|t|re|ve|m|ll|d)| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+"
+#: Letters and numbers that came after Unicode 16, whose tables the public library has, as first and
+#: last code points. To it they are signs; the regular expressions here know them.
+LATER = (
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F), (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2),
+    (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7),
+    (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1), (0x1246F, 0x1246F), (0x12475, 0x1247F),
+    (0x12550, 0x12686), (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF6), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20),
+    (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24),
+    (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED),
+    (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF), (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F),
+)
+_LATER = "".join(f"{chr(a)}-{chr(b)}" for a, b in LATER)
+_HAS_LATER = regex.compile(f"[{_LATER}]")
 
 #: Columns that encoding and decoding append.
 ENCODED, DECODED = [("ids", "binary"), ("n_tokens", "bigint")], [("decoded", "string")]
@@ -79,13 +94,20 @@ class Bpe:
             self.bytes[i] = text.encode()
         longest = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if longest else None
-        self.find = regex.compile(WORDS).findall
+        self._words = regex.compile(WORDS).findall
+        known = [rf"(?:(?![{_LATER}])\p{{{c}}})++" for c in "LN"]
+        sign = rf"(?:[{_LATER}]|[^\s\p{{L}}\p{{N}}])++"
+        self._careful = regex.compile(WORDS.replace(r"\p{L}++|", known[0] + "|").replace(r"\p{N}++|", known[1] + "|").replace(r"[^\s\p{L}\p{N}]++", sign)).findall
         keys = sorted(self.rank)
         self.pair_key = np.array(keys, np.int64)
         self.pair_rank = np.array([self.rank[k] for k in keys], np.int64)
         self.first_np, self.made_np = np.array(self.first, np.int64), np.array(self.made, np.int64)
         self.memo = _Memo(self.word)
 
+    def find(self, text: str) -> list[str]:
+        """The words of a text without special tokens."""
+        return self._words(text) if text.isascii() or not _HAS_LATER.search(text) else self._careful(text)
+
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left << 32 | right
         at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)

@@ -5,10 +5,12 @@ turn prefixes; what an output adds to the one before is the span of the new turn
 not begin with the one before shows that the template rewrites history. A second rendering with a marker
 as the text of the turn shows which part of the span is the text, for the loss mask.
 
-A conversation of more than BLOCK turns is rendered in blocks, each from its own first turn, and the joined
-spans are compared with one rendering of the whole; if they differ, all prefixes are rendered in full.
+Every prefix of every conversation is rendered, whatever its length, so a template that rewrites at any one
+turn is caught. The work grows with the square of a conversation's turns, which is what looking at a
+template from outside costs; the template of this module remembers its turns, so that a prefix is one join.
 
 A conversation is one record and must fit into a worker's memory; conversations are streamed one by one.
+Very long texts are turns like others.
 Turns go by number (null first), then role, then text; repeated rows are repeated turns.
 Nulls: a null text or role is empty; a null conv_id is one conversation. An empty table gives an empty
 result. Extra columns are left out.
@@ -17,9 +19,9 @@ result. Extra columns are left out.
 from __future__ import annotations
 
 import hashlib
-import json
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,7 +29,6 @@ from pyspark.sql import functions as F
 
 from clinlake.llm import common
 
-BLOCK = 64
 MARKER = "\ue000\ue001"
 TRAINED = ("assistant",)
 
@@ -44,48 +45,59 @@ def unescape(text: str) -> str:
     return re.sub(r"<\\(\\*)\|", r"<\1|", text)
 
 
+#: Control strings of the template of this module.
+START, END, LINE = "<|im_start|>", "<|im_end|>", "<|nl|>"
+
+
+@lru_cache(maxsize=4096)
+def _turn(role: str, text: str) -> str:
+    return f"{START}{escape(role).replace(chr(10), LINE)}\n{escape(text)}{END}\n"
+
+
 def marked(turns: Turns) -> str:
     """The template of this module: each turn between control strings, which are escaped inside roles and texts."""
-    return "".join(f"<|im_start|>{escape(role).replace(chr(10), '<|nl|>')}\n{escape(text)}<|im_end|>\n" for role, text in turns)
+    return "".join([_turn(role, text) for role, text in turns])
+
 
+def parsed(formatted: str) -> list[tuple[str, str, int, int]]:
+    """The turns that a text of marked() says, found by its control strings alone: role, text, and where the escaped text starts and ends.
 
-def unmarked_role(header: str) -> str:
-    return unescape(header.removeprefix("<|im_start|>").removesuffix("\n").replace("<|nl|>", "\n"))
+    A text that marked() cannot have made is an error.
+    """
+    out, at = [], 0
+    while at < len(formatted):
+        line, stop = formatted.find("\n", at), formatted.find(END, at)
+        if not formatted.startswith(START, at) or line < 0 or stop <= line or formatted[stop + len(END) : stop + len(END) + 1] != "\n":
+            raise ValueError(f"no turn at {at}")
+        role, text = formatted[at + len(START) : line], formatted[line + 1 : stop]
+        if "<|" in role.replace(LINE, "") or "<|" in text:
+            raise ValueError(f"a control string inside the turn at {at}")
+        out.append((unescape(role.replace(LINE, "\n")), unescape(text), line + 1, stop))
+        at = stop + len(END) + 1
+    return out
 
 
-def _prefix_spans(turns: Turns, template: Template) -> tuple[list[tuple[str, int, int]], int | None]:
-    """(what the turn adds, start and end of its text in that), and the first turn that rewrites what stood before."""
-    before, spans, rewrites = template([]), [], None
+def spans(turns: Turns, template: Template = marked) -> tuple[str, list[tuple[str, int, int]], int | None]:
+    """The formatted conversation; for each turn what it adds, and start and end of its text in that; and the first turn
+    at which the template rewrites what stood before, if any."""
+    before, found = template([]), []
     for n, (role, text) in enumerate(turns):
         after = template(turns[: n + 1])
         if not after.startswith(before):
-            return spans, n
-        probe = template([*turns[:n], (role, MARKER)])
-        at = probe.find(MARKER, len(before)) if probe.startswith(before) else -1
+            return template(turns), found, n
+        mark = MARKER
+        while mark in role:
+            mark += MARKER
+        probe = template([*turns[:n], (role, mark)])
+        at = probe.find(mark, len(before)) if probe.startswith(before) else -1
         added = after[len(before) :]
         if at < 0:
-            spans.append((added, 0, 0))  # the text is not in the output: nothing to learn from
+            found.append((added, 0, 0))  # the text is not in the output: nothing to learn from
         else:
-            start, tail = at - len(before), len(probe) - at - len(MARKER)
-            spans.append((added, start, len(added) - tail))
+            start, tail = at - len(before), len(probe) - at - len(mark)
+            found.append((added, start, len(added) - tail))
         before = after
-    return spans, rewrites
-
-
-def spans(turns: Turns, template: Template = marked) -> tuple[str, list[tuple[str, int, int]], int | None]:
-    """The formatted conversation, its spans, and the first turn at which the template rewrites history, if any."""
-    whole = template(turns)
-    if len(turns) > BLOCK:
-        found, bad = [], None
-        for at in range(0, len(turns), BLOCK):
-            some, bad = _prefix_spans(turns[at : at + BLOCK], template)
-            found += some
-            if bad is not None:
-                break
-        if bad is None and template([]) + "".join(x[0] for x in found) == whole:
-            return whole, found, None
-    found, bad = _prefix_spans(turns, template)
-    return whole, found, bad
+    return before, found, None
 
 
 def _conversations(batches) -> Iterator[tuple[int | None, Turns]]:
@@ -134,20 +146,25 @@ def format_conversations(rows: DataFrame, template: Template = marked, trained:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """What the formatted texts of the template of this module say: digests of turns and of the text under the mask."""
+    """What the formatted texts of the template of this module say: digests of turns and of the text under the mask.
+
+    Turns and texts are read from the control strings; the spans say only which of them are trained on, and must
+    lie where the texts were found.
+    """
 
     def run(batches):
         for batch in batches:
             out = []
             for conv, whole, marks in zip(*(c.to_pylist() for c in batch.columns)):
-                turns, loss, chars = hashlib.sha256(), hashlib.sha256(), 0
-                for m in marks:
-                    role, text = unmarked_role(whole[m["start"] : m["text_start"]]), unescape(whole[m["text_start"] : m["text_end"]])
+                turns, loss, chars, found = hashlib.sha256(), hashlib.sha256(), 0, parsed(whole)
+                if [(m["text_start"], m["text_end"]) for m in marks] != [(a, b) for _, _, a, b in found]:
+                    raise ValueError(f"spans of conversation {conv} are not where its texts are")
+                for m, (role, text, _, _) in zip(marks, found):
                     turns.update(f"{role}\n{text}\n".encode("utf-8", "replace"))
                     if m["trained"]:
                         loss.update(text.encode("utf-8", "replace"))
                         chars += len(text)
-                out.append((conv, len(marks), turns.hexdigest(), chars, loss.hexdigest(), len(whole)))
+                out.append((conv, len(found), turns.hexdigest(), chars, loss.hexdigest(), len(whole)))
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
             columns = list(zip(*out)) or [()] * 6
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])

@@ -1,4 +1,4 @@
-"""What the operators share: shared-folder tables, size-checked joins and vectorised word hashing.
+"""What the operators share: shared-folder tables, joins that no hot key stops, filters and word hashing.
 
 Words are maximal runs of bytes other than 0x20 and 0x09-0x0D, which is what ``bytes.split()``
 yields on UTF-8. Null texts count as empty everywhere in this subpackage.
@@ -7,39 +7,52 @@ yields on UTF-8. Null texts count as empty everywhere in this subpackage.
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_digest
 
 #: Rows that may be broadcast; a side is counted before it is broadcast.
 MAX_BROADCAST_ROWS = 20_000
-#: Rows in an Arrow batch sent to Python, unless the session sets another number.
-ARROW_ROWS = 500
+#: Rows and bytes in an Arrow batch sent to Python, unless the session sets other numbers.
+ARROW_ROWS, ARROW_BYTES = 500, 8 << 20
 #: White space between words, as a pattern for Java and SQL.
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
 
-_ARROW_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": ARROW_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": ARROW_BYTES}
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
+_KEY = 0x9E3779B97F4A7C15
 _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one is set only where none is, as in tests."""
+    """The folder all executors share, from spark.checkpoint.dir.
+
+    Where it is unset, a temporary folder is set in local mode, as in tests; on a cluster that is an error, as
+    executors would write to folders of their own.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="clinlake-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
 def tune(spark: SparkSession) -> None:
-    """Small Arrow batches, so that long texts stay within a worker's memory."""
-    if spark.conf.get(_ARROW_KEY, None) is None:
-        spark.conf.set(_ARROW_KEY, str(ARROW_ROWS))
+    """Small Arrow batches, so that long texts stay within a worker's memory: a batch ends at either limit."""
+    for key, value in _ARROW.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, str(value))
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -98,37 +111,10 @@ def byte_rows(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.to_pylist()]
 
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, 9, 10, 11, 12, 13]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BYTE = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: Bytes hashed at once; a longer text is cut at white space.
+#: Bytes of a text whose words are held at once; a longer text is cut at white space.
 PIECE = 1 << 18
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.empty(n, np.uint64)
-    out[0] = 1
-    done = 1
-    while done < n:
-        step = min(done, n - done)
-        out[done : done + step] = out[:step] * np.uint64(pow(base, done, 1 << 64))
-        done += step
-    return out
-
-
-_pow: list[np.ndarray] = []
-
-
-def _tables(n: int) -> list[np.ndarray]:
-    if not _pow or len(_pow[0]) < n:
-        n = max(n, PIECE * 2)
-        _pow[:] = [_powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)]
-    return _pow
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection on 64 bits that spreads every input bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -136,55 +122,144 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _hash_piece(data: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, starts and ends of the words of one piece that begins and ends between words."""
-    inside = ~_SPACE[data]
-    edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
-    starts, ends = edge[::2], edge[1::2]
-    up, down = _tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[_LOWER[data] if lower else data] * up[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts]), starts, ends
-
-
-def pieces(text: bytes) -> list[bytes]:
+def pieces(text: bytes) -> Iterator[bytes]:
     """A text cut at white space into pieces of about PIECE bytes; a longer word stays whole."""
-    out, at = [], 0
+    at = 0
     while len(text) - at > PIECE:
-        cut = next((i for i in range(at + PIECE, len(text)) if _SPACE[text[i]]), len(text))
-        out.append(text[at:cut])
+        found = _GAP.search(text, at + PIECE)
+        cut = found.start() if found else len(text)
+        yield text[at:cut]
         at = cut
-    out.append(text[at:])
+    yield text[at:]
+
+
+def words(text: bytes, lower: bool = True) -> np.ndarray:
+    """The words of a text, in order, as keyed 64-bit hashes (XXH3), which tell words of any length and form apart."""
+    return np.frombuffer(b"".join(b"".join(map(xxh3_64_digest, (p.lower() if lower else p).split(), repeat(_KEY))) for p in pieces(text)), np.uint64)
+
+
+# -- filters and joins ----------------------------------------------------------------------------
+
+
+class Bloom:
+    """A Bloom filter over digests of at least 16 bytes, which are random bits already. Its size is fixed when it is made."""
+
+    def __init__(self, bits: int, probes: int = 6):
+        self.bits, self.probes = max(64, bits + -bits % 8), probes
+        self.table = np.zeros(self.bits // 8, np.uint8)
+
+    def _places(self, digests: np.ndarray) -> Iterator[np.ndarray]:
+        one, two = digests.T
+        for k in range(self.probes):
+            yield mix(one + np.uint64(k) * (two | np.uint64(1))) % np.uint64(self.bits)
+
+    def add(self, digests: np.ndarray) -> None:
+        for at in self._places(digests):
+            np.bitwise_or.at(self.table, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+
+    def may_hold(self, digests: np.ndarray) -> np.ndarray:
+        out = np.ones(len(digests), bool)
+        for at in self._places(digests):
+            out &= (self.table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        return out
+
+
+def halves(digests: list[bytes]) -> np.ndarray:
+    """Digests as rows of two numbers, from their first 16 bytes (shorter ones are filled up)."""
+    return np.frombuffer(b"".join(d[:16].ljust(16, b"\0") for d in digests), np.uint64).reshape(-1, 2)
+
+
+#: Bits of a filter that is broadcast: 8 MB at any size of the data. Beyond some ten million keys it lets more
+#: rows through to the exact join that follows it.
+FILTER_BITS = 1 << 26
+
+
+def bloom_of(keys: DataFrame, bits: int = FILTER_BITS) -> Bloom:
+    """A filter of all rows of one binary column. Tasks make filters of their own, which are joined by tasks and at last on the driver."""
+    rows = keys.count()
+    bits = min(bits, max(1 << 13, 16 * rows))
+
+    def fill(batches):
+        own = Bloom(bits)
+        for batch in batches:
+            own.add(halves(batch.column(0).to_pylist()))
+        raw = own.table.tobytes()
+        for at in range(0, len(raw), 1 << 20):
+            yield pa.record_batch([pa.array([at], pa.int64()), pa.array([raw[at : at + (1 << 20)]], pa.binary())], names=["at", "part"])
+
+    def merge(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                new = np.frombuffer(part, np.uint8)
+                held[at] = new.copy() if at not in held else np.bitwise_or(held[at], new)
+        yield pa.record_batch([pa.array(list(held), pa.int64()), pa.array([v.tobytes() for v in held.values()], pa.binary())], names=["at", "part"])
+
+    schema = "at bigint, part binary"
+    few = keys.coalesce(max(1, min(64, rows // 100_000)))
+    out = Bloom(bits)
+    for r in few.mapInArrow(fill, schema).repartition(8, "at").mapInArrow(merge, schema).collect():
+        part = np.frombuffer(r.part, np.uint8)
+        out.table[r["at"] : r["at"] + len(part)] = part
     return out
 
 
-def word_hashes(texts: list[bytes], lower: bool = True):
-    """Yield (index, 64-bit hashes of the words in order) for each text, many short texts at a time."""
-    batch: list[int] = []
-    size = 0
+def maybe_in(bloom: Bloom):
+    """A function of a binary column: whether the filter may hold its values. Nulls are not held."""
 
-    def flush():
-        data = np.frombuffer(b"\n".join(texts[i] for i in batch), np.uint8)
-        ends = np.cumsum([len(texts[i]) + 1 for i in batch])
-        if not len(data):
-            for i in batch:
-                yield i, np.zeros(0, np.uint64)
-            return
-        hashes, starts, _ = _hash_piece(data, lower)
-        cuts = np.searchsorted(starts, ends)
-        at = 0
-        for i, cut in zip(batch, cuts):
-            yield i, hashes[at:cut]
-            at = cut
-
-    for i, text in enumerate(texts):
-        if len(text) > PIECE:
-            yield i, np.concatenate([_hash_piece(np.frombuffer(p, np.uint8), lower)[0] for p in pieces(text) if p])
-            continue
-        if size + len(text) > PIECE and batch:
-            yield from flush()
-            batch, size = [], 0
-        batch.append(i)
-        size += len(text) + 1
-    if batch:
-        yield from flush()
+    @F.arrow_udf("boolean")
+    def maybe(digests: pa.Array) -> pa.Array:
+        found = digests.to_pylist()
+        return pa.array(shared.value.may_hold(halves([d or b"" for d in found])) & np.array([d is not None for d in found], bool))
+
+    shared = SparkSession.getActiveSession().sparkContext.broadcast(bloom)  # FILTER_BITS at most
+    return maybe
+
+
+def _keyed(docs: DataFrame, keys: list[Column]) -> DataFrame:
+    return docs.withColumns({f"__key{n}": k for n, k in enumerate(keys)})
+
+
+def _digest(names: list[str]) -> Column:
+    return F.unhex(F.md5(F.concat_ws("|", *[F.coalesce(F.col(n).cast("string"), F.lit("-")) for n in names]).cast("binary")))
+
+
+def within(docs: DataFrame, table: DataFrame, keys: list[Column], names: list[str]) -> DataFrame:
+    """The rows of docs whose keys are among the rows of a table (columns `names`). A filter of fixed size lets most
+    other rows go before anything is shuffled. Keys are compared null-safe."""
+    own = [f"__key{n}" for n in range(len(keys))]
+    maybe = maybe_in(bloom_of(table.select(_digest(names))))
+    return _keyed(docs, keys).filter(maybe(_digest(own))).join(table, [F.col(o).eqNullSafe(F.col(n)) for o, n in zip(own, names)], "left_semi").drop(*own)
+
+
+def without(docs: DataFrame, gone: DataFrame, keys: list[Column], names: list[str], weight: str) -> DataFrame:
+    """The rows of docs whose keys are not among the rows of gone (columns `names`; weight: the rows that hold the key).
+
+    Rows that a filter of fixed size does not hold pass as they are; only the others are joined, and of these only
+    rows without a heavy key are shuffled. Keys are compared null-safe.
+    """
+    own = [f"__key{n}" for n in range(len(keys))]
+    maybe = maybe_in(bloom_of(gone.select(_digest(names))))(_digest(own))
+    same = [F.col(o).eqNullSafe(F.col(n)) for o, n in zip(own, names)]
+    total = gone.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    hot = F.col(weight) * MAX_BROADCAST_ROWS > total
+    marked = _keyed(docs, keys)
+    exact = marked.filter(maybe).join(F.broadcast(gone.filter(hot)), same, "left_anti").join(gone.filter(~hot), same, "left_anti")
+    return marked.filter(~maybe).unionByName(exact).drop(*own)
+
+
+def keyed_join(rows: DataFrame, table: DataFrame, on: list[tuple[str, str]], weight: str, total: int, how: str = "left") -> DataFrame:
+    """Join rows (left or inner) with a table that has one row for each key, however many rows share a key.
+
+    on: (column of rows, column of the table); weight: a column of the table, the rows that hold its key; total: all
+    rows. Keys with more than one in MAX_BROADCAST_ROWS of all rows number fewer than MAX_BROADCAST_ROWS, so they are
+    broadcast, and only rows with other keys are shuffled. Keys are compared null-safe; weight stays a column.
+    """
+    hot = (F.col(weight) * MAX_BROADCAST_ROWS > total) | (F.lit(total) <= MAX_BROADCAST_ROWS)
+    keys = lambda a, b: [a[f"`{x}`"].eqNullSafe(b[f"`{y}`"]) for x, y in on]
+    heavy, light = F.broadcast(table.filter(hot)), table.filter(~hot)
+    found = rows.join(heavy, keys(rows, heavy), "inner")
+    if total <= MAX_BROADCAST_ROWS:
+        return found if how == "inner" else rows.join(heavy, keys(rows, heavy), "left")
+    rest = rows.join(heavy, keys(rows, heavy), "left_anti")
+    return found.unionByName(rest.join(light, keys(rest, light), how))

@@ -1,24 +1,28 @@
 """Exact deduplication with a log-structured merge index.
 
-Every task fills a memtable of normalised-text digests, which flushes as a sorted run with a
-Bloom filter. Runs are dealt out by digest, so a group of copies arrives with one entry per flush,
-however large it is; each shard's index merges its runs in levels and keeps one identifier and a
-count per digest. Digests with more than one row are hits: their texts are compared byte for byte,
-and where a digest covers different texts, these rows are grouped by the text itself.
-
-Nulls: a null text is empty; a null doc_id sorts below all. Repeated rows: one of equal rows stays.
-An empty table gives an empty result. Extra columns are left out.
+Every task fills a memtable of normalised-text digests, which flushes as a sorted run. A run is cut into one
+sorted slice for each shard of the index, and slices travel whole, so a group of copies arrives with one entry
+per flush, however large it is. A shard takes its runs into levels: each run has a Bloom filter, FANOUT runs of
+a level are merged into one of the next, and the smallest (or largest) identifier and the number of rows stay
+for each digest. In a merge the filters tell which entries no other run can hold; only the others are grouped.
+
+Digests with more than one row are hits. Texts whose digest the filter of the hits does not hold need no byte
+verification; the others are compared byte for byte, and where a digest covers different texts, these rows are
+grouped by the text itself.
+
+Nulls: a null text is empty; a null doc_id sorts below all. Repeated rows: one of equal rows stays. Very long
+texts are hashed and compared whole. An empty table gives an empty result. Extra columns are left out by
+exact_dedup() and pass through kept_documents().
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections import OrderedDict
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinlake.llm import common
@@ -29,58 +33,58 @@ FANOUT = 4
 SHARD_ROWS = 500_000
 #: Bytes of text that a task remembers for the local part of the byte check.
 SEEN_BYTES = 64 << 20
-#: Digests that may be broadcast, of some 100 bytes each; more are joined by a shuffle.
-MAX_HITS = 200_000
 
 ENTRY = pa.schema([("digest", pa.binary()), ("has_id", pa.bool_()), ("doc_id", pa.int64()), ("uid", pa.int64()), ("n", pa.int64())])
 ENTRY_SQL = "digest binary, has_id boolean, doc_id bigint, uid bigint, n bigint"
+SLICE_SQL = "shard int, entries binary"
 
 
-class Bloom:
-    """A Bloom filter over digests, which are random bits already."""
-
-    def __init__(self, digests: np.ndarray, bits: int = 10, probes: int = 6):
-        self.size = max(64, bits * len(digests))
-        self.probes = probes
-        self.table = np.zeros(self.size, bool)
-        for at in self._places(digests):
-            self.table[at] = True
-
-    def _places(self, digests: np.ndarray) -> Iterator[np.ndarray]:
-        raw = np.frombuffer(digests.tobytes(), np.uint8).reshape(len(digests), -1)
-        head = np.zeros((len(digests), 16), np.uint8)
-        head[:, : min(16, raw.shape[1])] = raw[:, :16]
-        one, two = head.view(np.uint64).T
-        for k in range(self.probes):
-            yield (common.mix(one + np.uint64(k) * (two | np.uint64(1))) % np.uint64(self.size)).astype(np.int64)
-
-    def may_hold(self, digests: np.ndarray) -> np.ndarray:
-        out = np.ones(len(digests), bool)
-        for at in self._places(digests):
-            out &= self.table[at]
-        return out
+def entry_type(width: int) -> np.dtype:
+    return np.dtype([("digest", f"S{width}"), ("has_id", "?"), ("doc_id", "<i8"), ("uid", "<i8"), ("n", "<i8")])
+
+
+def _halves(digests: np.ndarray) -> np.ndarray:
+    """Digests as rows of two numbers, as common.halves() makes them."""
+    raw = np.ascontiguousarray(digests).view(np.uint8).reshape(len(digests), -1)[:, :16]
+    out = np.zeros((len(digests), 16), np.uint8)
+    out[:, : raw.shape[1]] = raw
+    return out.view(np.uint64)
 
 
 class Run:
     """Entries sorted by digest, one for each, and their filter."""
 
-    def __init__(self, digest, has_id, doc_id, uid, n):
-        self.digest, self.has_id, self.doc_id, self.uid, self.n = digest, has_id, doc_id, uid, n
-        self.bloom = Bloom(digest)
+    def __init__(self, rows: np.ndarray):
+        self.rows = rows
+        self.bloom = common.Bloom(10 * len(rows))
+        if len(rows):
+            self.bloom.add(_halves(rows["digest"]))
 
     def __len__(self):
-        return len(self.digest)
+        return len(self.rows)
 
 
 def merge_runs(runs: list[Run], smallest: bool) -> Run:
     """Merge sorted runs: one entry for each digest, with the best identifier and the sum of counts."""
-    digest, has_id, doc_id, uid, n = (np.concatenate([getattr(r, k) for r in runs]) for k in ("digest", "has_id", "doc_id", "uid", "n"))
-    sign = 1 if smallest else -1
-    order = np.lexsort((sign * uid, sign * doc_id, ~has_id, digest))
-    digest = digest[order]
-    first = np.flatnonzero(np.concatenate([[True], digest[1:] != digest[:-1]]))
-    best = order[first]
-    return Run(digest[first], has_id[best], doc_id[best], uid[best], np.add.reduceat(n[order], first))
+    parts, shared = [], []
+    for at, run in enumerate(runs):
+        may = np.zeros(len(run), bool)
+        for other in (r for n, r in enumerate(runs) if n != at):
+            may |= other.bloom.may_hold(_halves(run.rows["digest"]))
+        parts.append(run.rows[~may])  # no other run holds these
+        shared.append(run.rows[may])
+    rows = np.concatenate(shared)
+    if len(rows):
+        sign = 1 if smallest else -1
+        order = np.lexsort((sign * rows["uid"], sign * rows["doc_id"], ~rows["has_id"], rows["digest"]))
+        rows = rows[order]
+        first = np.flatnonzero(np.concatenate([[True], rows["digest"][1:] != rows["digest"][:-1]]))
+        best = rows[first]
+        best["n"] = np.add.reduceat(rows["n"], first)
+        parts.append(best)
+    whole = np.concatenate(parts)
+    # The parts are sorted, so a stable sort merges them.
+    return Run(whole[np.argsort(whole["digest"], kind="stable")])
 
 
 class DigestIndex:
@@ -96,25 +100,27 @@ class DigestIndex:
             return a if a[0] else b
         return min(a, b) if self.smallest else max(a, b)
 
-    def add(self, digest: bytes, has_id: bool, doc_id: int, uid: int, n: int = 1) -> None:
+    def put(self, digest: bytes, has_id: bool, doc_id: int, uid: int, n: int = 1) -> Run | None:
+        """Take an entry into the memtable; a full one comes out as a run."""
         new = (has_id, doc_id, uid)
         old = self.memtable.get(digest)
         self.memtable[digest] = (new, n) if old is None else (self._better(old[0], new), old[1] + n)
-        if len(self.memtable) >= self.limit:
-            self.flush()
+        return self.frozen() if len(self.memtable) >= self.limit else None
+
+    def add(self, digest: bytes, has_id: bool, doc_id: int, uid: int, n: int = 1) -> None:
+        if (run := self.put(digest, has_id, doc_id, uid, n)) is not None:
+            self.add_run(run)
 
     def frozen(self) -> Run | None:
         """The memtable as a run; the memtable is then empty."""
         if not self.memtable:
             return None
-        keys = sorted(self.memtable)
-        rows = [self.memtable[k] for k in keys]
+        rows = [(k, *who, n) for k, (who, n) in sorted(self.memtable.items())]
         self.memtable = {}
-        who = [r[0] for r in rows]
-        return Run(np.array(keys, f"S{self.width}"), np.array([w[0] for w in who], bool), np.array([w[1] for w in who], np.int64), np.array([w[2] for w in who], np.int64), np.array([r[1] for r in rows], np.int64))
+        return Run(np.array(rows, entry_type(self.width)))
 
-    def flush(self) -> None:
-        run = self.frozen()
+    def add_run(self, run: Run | None) -> None:
+        """Take a sorted run into the first level; full levels are merged into the next."""
         level = 0
         while run is not None:
             if level == len(self.levels):
@@ -131,10 +137,11 @@ class DigestIndex:
         found = [self.memtable[digest]] if digest in self.memtable else []
         key = np.array([digest], f"S{self.width}")
         for run in (r for level in self.levels for r in level):
-            if run.bloom.may_hold(key)[0]:
-                at = int(np.searchsorted(run.digest, key[0]))
-                if at < len(run) and run.digest[at] == key[0]:
-                    found.append(((bool(run.has_id[at]), int(run.doc_id[at]), int(run.uid[at])), int(run.n[at])))
+            if run.bloom.may_hold(_halves(key))[0]:
+                at = int(np.searchsorted(run.rows["digest"], key[0]))
+                if at < len(run) and run.rows["digest"][at] == key[0]:
+                    row = run.rows[at]
+                    found.append(((bool(row["has_id"]), int(row["doc_id"]), int(row["uid"])), int(row["n"])))
         if not found:
             return None
         who, n = found[0]
@@ -144,7 +151,7 @@ class DigestIndex:
 
     def compact(self) -> Run | None:
         """Everything as one run."""
-        self.flush()
+        self.add_run(self.frozen())
         runs = [r for level in self.levels for r in level]
         if not runs:
             return None
@@ -153,11 +160,20 @@ class DigestIndex:
         return out
 
 
-def _rows(run: Run, width: int, above: int = 0) -> pa.RecordBatch:
-    pick = run.n > above
-    raw = run.digest[pick].tobytes()
+def _hits(run: Run, width: int) -> pa.RecordBatch:
+    """The entries with more than one row."""
+    rows = run.rows[run.rows["n"] > 1]
+    raw = np.ascontiguousarray(rows["digest"]).tobytes()
     digest = pa.array([raw[i : i + width] for i in range(0, len(raw), width)], pa.binary())
-    return pa.record_batch([digest, pa.array(run.has_id[pick]), pa.array(run.doc_id[pick]), pa.array(run.uid[pick]), pa.array(run.n[pick])], schema=ENTRY)
+    return pa.record_batch([digest, *(pa.array(np.ascontiguousarray(rows[k])) for k in ("has_id", "doc_id", "uid", "n"))], schema=ENTRY)
+
+
+def _slices(run: Run, shards: int) -> pa.RecordBatch:
+    """A run cut by the leading bits of the digests: one sorted slice for each shard."""
+    which = (_halves(run.rows["digest"])[:, 0].byteswap() >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+    at = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1]]))
+    ends = [*at[1:].tolist(), len(run)]
+    return pa.record_batch([pa.array(which[at].astype(np.int32)), pa.array([run.rows[a:b].tobytes() for a, b in zip(at.tolist(), ends)], pa.binary())], names=["shard", "entries"])
 
 
 def _fingerprint(batches):
@@ -175,44 +191,50 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def build_index(prints: DataFrame, width: int = 32, keep: str = "smallest", memtable: int = MEMTABLE) -> DataFrame:
     """(digest, has_id, doc_id, uid, n) for every digest with more than one row: the row that stays, and the rows.
 
-    The shards' runs are first filled in the tasks that read, then merged by digest.
+    Tasks that read fill memtables and flush sorted runs; the task of a shard merges the slices of these runs.
     """
     smallest = keep == "smallest"
+    spark = prints.sparkSession
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), prints.count() // SHARD_ROWS + 1)
 
     def flush_runs(batches):
         index = DigestIndex(width, smallest, memtable)
         for batch in batches:
             for doc_id, sha, uid in zip(*(c.to_pylist() for c in batch.columns)):
-                index.add(sha[:width], doc_id is not None, doc_id or 0, uid)
-                if index.levels:
-                    yield from (_rows(r, width) for level in index.levels for r in level)
-                    index.levels = []
+                if (run := index.put(sha[:width], doc_id is not None, doc_id or 0, uid)) is not None:
+                    yield _slices(run, shards)
         if (run := index.frozen()) is not None:
-            yield _rows(run, width)
+            yield _slices(run, shards)
 
-    def merge_shard(batches):
-        index = DigestIndex(width, smallest, memtable)
+    def merge_shards(batches):
+        now, index = None, None
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                index.add(*row)
-        if (run := index.compact()) is not None:
-            yield _rows(run, width, above=1)
+            for shard, entries in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if shard != now:
+                    if index is not None:
+                        yield _hits(index.compact(), width)
+                    now, index = shard, DigestIndex(width, smallest, memtable)
+                index.add_run(Run(np.frombuffer(entries, entry_type(width))))
+        if index is not None:
+            yield _hits(index.compact(), width)
 
-    runs = prints.select("doc_id", "sha", "uid").mapInArrow(flush_runs, ENTRY_SQL)
-    spark = prints.sparkSession
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), prints.count() // SHARD_ROWS + 1)
-    return runs.repartition(shards, "digest").mapInArrow(merge_shard, ENTRY_SQL)
+    runs = prints.select("doc_id", "sha", "uid").mapInArrow(flush_runs, SLICE_SQL)
+    return runs.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(merge_shards, ENTRY_SQL)
 
 
-def _distinct_texts(width: int):
+def suspects(docs: DataFrame, hits: DataFrame, width: int = 32) -> DataFrame:
+    """(digest, body) of the texts whose digest the filter of the hits holds; texts that a task has just given are left out."""
+    filter_ = docs.sparkSession.sparkContext.broadcast(common.bloom_of(hits.select("digest")))  # common.FILTER_BITS at most
+
     def run(batches):
         seen: OrderedDict[bytes, bytes] = OrderedDict()
         held = 0
         for batch in batches:
+            bodies = [t.lower() for t in common.byte_rows(batch.column(0))]
+            digests = [hashlib.sha256(t).digest()[:width] for t in bodies]
             keys, texts = [], []
-            for text in common.byte_rows(batch.column(0)):
-                text = text.lower()
-                key = hashlib.sha256(text).digest()[:width]
+            for at in np.flatnonzero(filter_.value.may_hold(common.halves(digests))).tolist():
+                key, text = digests[at], bodies[at]
                 if seen.get(key) == text:
                     continue
                 held += len(text) - len(seen.pop(key, b""))
@@ -223,13 +245,12 @@ def _distinct_texts(width: int):
                 texts.append(text)
             yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(texts, pa.binary())], names=["digest", "body"])
 
-    return run
+    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "digest binary, body binary")
 
 
 def collisions(docs: DataFrame, hits: DataFrame, width: int = 32) -> DataFrame:
     """The digests among the hits whose rows are not all equal, byte for byte."""
-    bodies = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_distinct_texts(width), "digest binary, body binary")
-    same = bodies.join(common.checked_broadcast(hits.select("digest"), MAX_HITS), "digest", "left_semi").groupBy("digest").agg(F.min("body").alias("low"), F.max("body").alias("high"))
+    same = suspects(docs, hits, width).join(hits.select("digest"), "digest", "left_semi").groupBy("digest").agg(F.min("body").alias("low"), F.max("body").alias("high"))
     return same.filter(F.col("low") != F.col("high")).select("digest")
 
 
@@ -253,9 +274,10 @@ def exact_dedup(docs: DataFrame, keep: str = "smallest", width: int = 32, memtab
         rows = prints.withColumn("digest", key).join(bad.withColumn("bad", F.lit(True)), "digest", "left")
         rows = rows.withColumn("full", F.when(F.col("bad"), F.col("sha")))
         groups = groups.unionByName(split)
-        joined = rows.join(groups.select(F.col("digest").alias("g_digest"), F.col("full").alias("g_full"), "keep_id", "keep_uid", "group_size"), (F.col("digest") == F.col("g_digest")) & F.col("full").eqNullSafe(F.col("g_full")), "left")
+        groups = groups.select(F.col("digest").alias("g_digest"), F.col("full").alias("g_full"), "keep_id", "keep_uid", "group_size")
+        joined = common.keyed_join(rows, groups, [("digest", "g_digest"), ("full", "g_full")], "group_size", prints.count())
     else:
-        joined = prints.withColumn("digest", key).join(groups, "digest", "left")
+        joined = common.keyed_join(prints.withColumn("digest", key), groups.withColumnRenamed("digest", "g_digest"), [("digest", "g_digest")], "group_size", prints.count())
     alone = F.col("group_size").isNull()
     return joined.select(
         "doc_id",
@@ -267,27 +289,29 @@ def exact_dedup(docs: DataFrame, keep: str = "smallest", width: int = 32, memtab
     )
 
 
+def normalised_digest() -> Column:
+    """text_sha256 of a row, without Python."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return F.sha2(F.translate(common.text_of(), upper, upper.lower()).cast("binary"), 256)
+
+
 def kept_documents(docs: DataFrame, keep: str = "smallest") -> DataFrame:
-    """The rows that stay, with all their columns. Rows that go are found by id and text; of repeated rows one stays."""
-    verdict = common.materialize(exact_dedup(docs, keep), "verdicts")
-    gone = verdict.filter(~F.col("kept")).groupBy("doc_id", "text_sha256").agg(F.max((F.col("doc_id").eqNullSafe(F.col("keep_id"))).cast("int")).alias("again"))
-    gone = common.checked_broadcast(gone.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("again").alias("__again")), MAX_HITS)
-    names = [f"`{c}`" for c in docs.columns]
-    at = docs.columns.index("text")
+    """The rows that stay, with all their columns. Rows are known by id and text; of repeated rows one stays.
 
-    def digests(batches):
-        for batch in batches:
-            sha = [hashlib.sha256(t.lower()).hexdigest() for t in common.byte_rows(batch.column(at))]
-            yield pa.record_batch([*batch.columns, pa.array(sha, pa.string())], names=[*batch.schema.names, "__digest"])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", __digest string"
-    rows = docs.mapInArrow(digests, schema)
-    joined = rows.join(gone, rows["doc_id"].eqNullSafe(gone["__id"]) & (rows["__digest"] == gone["__sha"]), "left")
-    once = joined.filter(F.col("__again").isNull()).select(*names)
-    twice = joined.filter(F.col("__again") == 1)
-    if gone.filter("__again = 1").isEmpty():  # no row is repeated with its id
-        return once
-    return once.unionByName(twice.dropDuplicates(["doc_id", "__digest"]).select(*names))
+    A filter of fixed size lets the rows pass that are surely kept, so only texts that probably go are shuffled.
+    """
+    verdict = common.materialize(exact_dedup(docs, keep), "verdicts")
+    gone = verdict.groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).agg(F.count("*").alias("__rows"), F.count_if("kept").alias("__kept")).filter("__rows > __kept")
+    gone = common.materialize(gone, "gone")
+    keys, names = [F.col("doc_id").cast("bigint"), normalised_digest()], ["__id", "__sha"]
+    left = common.without(docs, gone, keys, names, "__rows")
+    again = gone.filter("__kept > 0").select(*names)
+    if again.isEmpty():  # no row is repeated with its id
+        return left
+    columns = docs.columns
+    one = F.first(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("__row")
+    repeated = common.within(docs, again, keys, names).groupBy(*[k.alias(f"__by{n}") for n, k in enumerate(keys)]).agg(one)
+    return left.unionByName(repeated.select("__row.*"))
 
 
 def _by_text(docs: DataFrame, prints: DataFrame, bad: DataFrame, key, keep: str) -> DataFrame:

@@ -142,8 +142,8 @@ def _rows(batch):
     texts = common.byte_rows(batch.column(1))
     chars = batch.column(2).to_pylist()
     out: list = [None] * len(texts)
-    for i, words in common.word_hashes(texts):
-        out[i] = features(texts[i], words, chars[i])
+    for i, text in enumerate(texts):
+        out[i] = features(text, common.words(text), chars[i])
     return out
 
 

@@ -6,16 +6,19 @@ document are therefore minima over slices of one table. Bands of coordinates giv
 follows the limit, so that a pair just at it shares no band with probability MISSED at most: at 85 %,
 32 bands of 8 coordinates, (1 - 0.85**8)**32 < 4e-5; at 80 %, 34 bands of 6, (1 - 0.8**6)**34 < 4e-5.
 
-Documents with equal shingle sets form a class, whose representative is its smallest doc_id. In each
-bucket, candidates are not all pairs: members are first compared with one centre, which joins most of a
-large group; buckets that still hold several components get other centres, chosen by hash. After CENTRES
-rounds, shingles that only one of the remaining sets has bound what it can share with any other; pairs
-that the bounds and sizes allow are compared across components. Links are confirmed on full sets, fetched
-for the representatives that have candidates.
+Documents with equal shingle sets form a class. In each bucket, candidates are not all pairs: members are
+first compared with one centre, which joins most of a large group; buckets that still hold several
+components get another centre, chosen by hash. What is left after CENTRES rounds is compared through an index
+of rare shingles: two sets that share the limit share one of the rarest (100 - limit) % of their shingles,
+so sets meet only there, and only if another component has the shingle too and the sizes allow a link. Links
+are confirmed on full sets, fetched for the classes that have candidates.
+
+Buckets, centres and shingles that many sets share are broadcast or cut (`common.keyed_join`, SALT_ROWS).
 
 Nulls: a null or wordless text has no shingles and is linked with nothing; a row with a null doc_id is
-left alone (component_id null, kept). Rows that repeat a doc_id count as one document if their texts are
-linked or equal. An empty table gives an empty result. Extra columns are left out.
+left alone (component_id null, kept). Rows that repeat a doc_id are documents of their own, each in the component of its own
+text; equal rows are kept or dropped together. Very long texts are cut into words piece by piece. An empty
+table gives an empty result. Extra columns are left out by near_dedup() and pass through kept_documents().
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import math
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clinlake.llm import common
@@ -41,8 +44,8 @@ COORDINATES, ROWS, MISSED = 256, 8, 4e-5
 POSITIONS = 1 << 22
 #: Rounds in which each unresolved bucket gets one more centre.
 CENTRES = 2
-#: Ids that may be broadcast (8 bytes each); more are joined by a shuffle.
-MAX_IDS = 1_000_000
+#: Pairs of one centre, and sets with one rare shingle, that meet in one task; more are dealt out to several.
+SALT_ROWS = 2_000
 #: Shingles whose table slices are held at once.
 SLICES = 512
 
@@ -75,7 +78,7 @@ def shingles(words: np.ndarray, width: int = WORDS) -> np.ndarray:
         return one
     total = np.zeros(n - width + 1, np.uint64)
     for k in range(width):
-        total += common.mix(words[k : n - width + 1 + k] ^ _SEEDS[k]) * _SEEDS[WORDS + k]
+        total += words[k : n - width + 1 + k] * _SEEDS[WORDS + k]
     return np.unique(common.mix(total))
 
 
@@ -108,124 +111,167 @@ def bands(low: np.ndarray, count: int, rows: int) -> np.ndarray:
 
 def _sets(batches, more):
     for batch in batches:
-        ids = batch.column(0)
-        texts = common.byte_rows(batch.column(1))
-        rows: list = [None] * len(texts)
-        for i, words in common.word_hashes(texts):
-            found = shingles(words)
-            rows[i] = (len(found), hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None, more(found))
+        rows = []
+        for text in common.byte_rows(batch.column(1)):
+            found = shingles(common.words(text))
+            rows.append((len(found), hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None, more(found)))
         n, key, extra = zip(*rows) if rows else ((), (), ())
-        yield pa.record_batch([ids, pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(extra, pa.list_(pa.int64()))], names=["doc_id", "n", "set_id", "extra"])
+        yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(extra, pa.list_(pa.int64())), batch.column(2)], names=["doc_id", "n", "set_id", "extra", "text_hash"])
 
 
 def _with_sets(docs: DataFrame, more) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(lambda batches: _sets(batches, more), "doc_id bigint, n bigint, set_id binary, extra array<bigint>")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), text_hash().alias("text_hash"))
+    return rows.mapInArrow(lambda batches: _sets(batches, more), "doc_id bigint, n bigint, set_id binary, extra array<bigint>, text_hash bigint")
+
+
+def text_hash() -> Column:
+    """A number by which rows of one doc_id with different texts are told apart."""
+    return F.xxhash64(common.text_of())
 
 
 def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n, set_id, extra: the size and a 128-bit name of each shingle set, and its band hashes."""
+    """doc_id, n, set_id, extra, text_hash: the size and a 128-bit name of each shingle set, and its band hashes."""
     count, rows = shape(percent)
     return _with_sets(docs, lambda found: bands(signature(found, count * rows), count, rows) if len(found) else None)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n, set_id, extra: as sketches, with the set itself in extra."""
+    """doc_id, n, set_id, extra, text_hash: as sketches, with the set itself in extra."""
     return _with_sets(docs, lambda found: found.view(np.int64))
 
 
+def _close(a, b, percent: int) -> Column:
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (u, v) whose sets have 100 * intersection >= percent * union."""
-    left = sets.select(F.col("doc_id").alias("u"), F.col("n").alias("nu"), F.col("extra").alias("su"))
-    right = sets.select(F.col("doc_id").alias("v"), F.col("n").alias("nv"), F.col("extra").alias("sv"))
-    both = pairs.select("u", "v").join(right, "v").join(left, "u")
-    both = both.filter(100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv"))
+    """The pairs (u, v) whose sets have 100 * intersection >= percent * union. The pairs of a centre meet its set in as many tasks as they need."""
+    total = pairs.count()
+    held = pairs.groupBy(F.col("u").alias("d_u")).agg(F.count("*").alias("d_rows"))
+    held = held.withColumn("salts", F.expr(f"cast(ceil(d_rows / {SALT_ROWS}) as int)"))
+    dealt = common.keyed_join(pairs.select("u", "v"), held, [("u", "d_u")], "d_rows", total, "inner").select("u", "v", F.pmod(F.xxhash64("v"), "salts").cast("int").alias("salt"))
+    copies = sets.join(held, sets["node"] == held["d_u"]).select(F.col("node").alias("l_u"), F.col("n").alias("nu"), F.col("extra").alias("su"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("l_salt"))
+    right = sets.select(F.col("node").alias("r_v"), F.col("n").alias("nv"), F.col("extra").alias("sv"))
+    both = dealt.join(right, F.col("v") == F.col("r_v")).join(copies, (F.col("u") == F.col("l_u")) & (F.col("salt") == F.col("l_salt"))).filter(_close("nu", "nv", percent))
     shared = F.size(F.array_intersect("su", "sv"))
     return both.select("u", "v", "nu", "nv", shared.alias("shared")).filter(100 * F.col("shared") >= percent * (F.col("nu") + F.col("nv") - F.col("shared"))).select("u", "v").distinct()
 
 
 def _roots(members: DataFrame, comp: DataFrame | None) -> DataFrame:
-    """(band, node, n, root) of the members of buckets."""
+    """The members of buckets with their roots: the components found so far."""
     if comp is None:
         return members.withColumn("root", F.col("node"))
     return members.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def shareable(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(s_node, most): how many of a set's shingles any other of these nodes has."""
-    nodes = members.select(F.col("node").alias("doc_id")).distinct()
-    each = sets.join(common.checked_broadcast(nodes, MAX_IDS), "doc_id", "left_semi").select("doc_id", F.explode("extra").alias("shingle"))
-    alone = each.groupBy("shingle").agg(F.count("*").alias("c"), F.min("doc_id").alias("node")).filter("c = 1")
-    lone = alone.groupBy("node").agg(F.count("*").alias("lone"))
-    size = sets.groupBy("doc_id").agg(F.max("n").alias("n"))
-    return nodes.join(size, "doc_id").join(lone, F.col("doc_id") == F.col("node"), "left").select(F.col("doc_id").alias("s_node"), (F.col("n") - F.coalesce("lone", F.lit(0))).alias("most"))
+def by_rare_shingles(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v, nu, nv, ru, rv) of different components that share one of the rarest shingles of both. open_: node, root.
+
+    A set of n shingles shares at least ceil(percent * n / 100) of them with a partner, so both hold a common
+    shingle among their n - ceil(percent * n / 100) + 1 rarest, in one order for all. No pair at the limit is lost.
+    """
+    each = common.materialize(sets.join(open_, "node").select("node", "n", "root", F.explode("extra").alias("shingle")), "shingles")
+    held = each.groupBy(F.col("shingle").alias("h_shingle")).agg(F.count("*").alias("c"), F.min("root").alias("low"), F.max("root").alias("high")).filter("c > 1")
+    total = each.count()
+    ranked = common.keyed_join(each, held, [("shingle", "h_shingle")], "c", total)
+    # A shingle of one set alone is the rarest of all; it takes a rank, but no pair meets in it.
+    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("c", F.lit(1)), "shingle"))
+    rare = ranked.withColumn("rank", rank).filter(F.col("rank") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1).filter("c > 1 and low != high")
+    rare = common.materialize(rare.select("node", "n", "root", "shingle"), "rare")
+    met = rare.groupBy(F.col("shingle").alias("m_shingle")).agg(F.count("*").alias("m"), F.min("root").alias("m_low"), F.max("root").alias("m_high")).filter("m_low != m_high")
+    met = met.withColumn("salts", F.expr(f"cast(ceil(m / {SALT_ROWS}) as int)")).drop("m_low", "m_high")
+    rare = common.keyed_join(rare, met, [("shingle", "m_shingle")], "m", rare.count(), "inner")
+    one = rare.select("shingle", F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt"), F.col("node").alias("u"), F.col("n").alias("nu"), F.col("root").alias("ru"))
+    two = rare.select("shingle", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("node").alias("v"), F.col("n").alias("nv"), F.col("root").alias("rv"))
+    return one.join(two, ["shingle", "salt"]).filter((F.col("u") < F.col("v")) & (F.col("ru") != F.col("rv")) & _close("nu", "nv", percent)).drop("shingle", "salt")
 
 
 def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(node, root) for the representatives that are linked with others. classes: node, n, extra (band hashes)."""
+    """(node, root) for the classes that are linked with others. classes: node, doc_id, set_id, n, extra (band hashes)."""
     spread = classes.select("node", "n", F.explode("extra").alias("band"))
-    shared = spread.groupBy("band").agg(F.count("*").alias("c")).filter("c > 1")
-    members = common.materialize(spread.join(shared, "band"), "buckets")
+    shared = spread.groupBy("band").agg(F.count("*").alias("c")).filter("c > 1").withColumnRenamed("band", "s_band")
+    total = classes.count() * shape(percent)[0]
+    members = common.materialize(common.keyed_join(spread, shared, [("band", "s_band")], "c", total, "inner").drop("s_band"), "buckets")
     # A text that others were made from is in the largest bucket of every band: it is the centre to begin with.
     weight = members.groupBy(F.col("node").alias("w_node")).agg(F.sum("c").alias("weight"))
-    members = common.materialize(members.join(weight, F.col("node") == F.col("w_node")).select("node", "n", "band", "weight"), "members")
-    wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    sets = shingle_sets(docs.join(common.checked_broadcast(wanted, MAX_IDS), "doc_id", "left_semi")).join(classes.select(F.col("set_id").alias("c_set"), F.col("node").alias("c_node")), (F.col("doc_id") == F.col("c_node")) & (F.col("set_id") == F.col("c_set")), "left_semi")
-    sets = common.materialize(sets.dropDuplicates(["doc_id", "set_id"]), "sets")
-    close = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    members = common.materialize(members.join(weight, F.col("node") == F.col("w_node")).select("node", "n", "band", "weight", "c"), "members")
+    wanted = common.materialize(classes.join(members.select("node").distinct(), "node", "left_semi").select("doc_id", F.col("set_id").alias("c_set"), F.col("node").alias("c_node")), "wanted")
+    found = shingle_sets(of_ids(docs, wanted.select("doc_id").distinct()))
+    sets = found.join(wanted.drop("doc_id"), F.col("set_id") == F.col("c_set")).select(F.col("c_node").alias("node"), "n", "extra").dropDuplicates(["node"])
+    sets = common.materialize(sets, "sets")
     found, tried, comp = None, None, None
     for turn in range(CENTRES + 1):
         rows = _roots(members, comp)
         if turn:
-            mixed = rows.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b").select("band")
-            members = common.materialize(rows.join(mixed, "band", "left_semi").select("node", "n", "band", "weight"), "members")
+            mixed = rows.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("m")).filter("a != b").select(F.col("band").alias("m_band"), "m")
+            members = common.materialize(common.keyed_join(rows.drop("root"), mixed, [("band", "m_band")], "m", total, "inner").select("node", "n", "band", "weight", F.col("m").alias("c")), "members")
             rows = _roots(members, comp)
         if turn < CENTRES:
             order = F.struct("weight", -F.col("node")) if turn == 0 else F.struct(F.xxhash64(F.lit(turn), F.col("node")), "node")
-            centre = rows.groupBy("band").agg(F.max_by(F.struct("node", "n", "root"), order).alias("c"))
-            pairs = rows.join(centre, "band").select(F.col("c.node").alias("u"), F.col("node").alias("v"), F.col("c.n").alias("nu"), F.col("n").alias("nv"), F.col("c.root").alias("ru"), F.col("root").alias("rv"))
+            centre = rows.groupBy(F.col("band").alias("c_band")).agg(F.max_by(F.struct("node", "n", "root"), order).alias("one"), F.count("*").alias("held"))
+            pairs = common.keyed_join(rows, centre, [("band", "c_band")], "held", total, "inner")
+            pairs = pairs.select(F.col("one.node").alias("u"), F.col("node").alias("v"), F.col("one.n").alias("nu"), F.col("n").alias("nv"), F.col("one.root").alias("ru"), F.col("root").alias("rv"))
         else:
-            most = common.materialize(shareable(members, sets), "shareable")
-            rows = rows.join(most, F.col("node") == F.col("s_node"))
-            # A set must share `percent` of itself, or it has no partner; then both must allow the overlap that their sizes ask for.
-            rows = common.materialize(rows.filter(100 * F.col("most") >= percent * F.col("n")).drop("s_node"), "open")
-            # A pair meets in the first band that its sets share, and in no other.
-            own = rows.groupBy(F.col("node").alias("b_node")).agg(F.collect_set("band").alias("bands"))
-            rows = rows.join(own, F.col("node") == F.col("b_node"))
-            other = rows.select("band", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("root").alias("ru"), F.col("most").alias("mu"), F.col("bands").alias("bu"))
-            mine = rows.select("band", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("root").alias("rv"), F.col("most").alias("mv"), F.col("bands").alias("bv"))
-            meet = (mine["band"] == other["band"]) & (F.col("u") < F.col("v")) & (F.col("ru") != F.col("rv")) & close(F.col("nu"), F.col("nv"))
-            meet = meet & ((100 + percent) * F.least("mu", "mv") >= percent * (F.col("nu") + F.col("nv")))
-            pairs = mine.join(other, meet & (F.array_min(F.array_intersect("bu", "bv")) == mine["band"]))
-        pairs = pairs.filter((F.col("ru") != F.col("rv")) & close(F.col("nu"), F.col("nv"))).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+            open_ = common.materialize(rows.select("node", "root").distinct(), "open")
+            if open_.isEmpty():
+                break
+            pairs = by_rare_shingles(open_, sets, percent)
+        pairs = pairs.filter((F.col("ru") != F.col("rv")) & _close("nu", "nv", percent)).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"), "u", "v").dropDuplicates(["a", "b"])
         if tried is not None:
-            pairs = pairs.join(tried, ["u", "v"], "left_anti")
-        pairs = common.materialize(pairs, "pairs")
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = common.materialize(pairs.select("u", "v", "a", "b"), "pairs")
         if not pairs.isEmpty():
-            tried = pairs if tried is None else tried.unionByName(pairs)
+            seen = pairs.select("a", "b")
+            tried = seen if tried is None else tried.unionByName(seen)
             new = common.materialize(verified(pairs, sets, percent), "links")
             found = new if found is None else found.unionByName(new)
             comp = common.materialize(components(found), "components")
-        elif turn and members.isEmpty():
-            break
     if comp is None:
         return docs.sparkSession.createDataFrame([], "node bigint, root bigint")
     return comp
 
 
-def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id that can be reached), kept, for every row."""
+def of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs with one of these ids. A filter of fixed size lets most other rows go before the texts are shuffled."""
+    key = lambda c: F.unhex(F.md5(F.col(c).cast("string").cast("binary")))
+    maybe = common.maybe_in(common.bloom_of(ids.select(key("doc_id"))))
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    ids = ids.select(F.col("doc_id").alias("i_id"))
+    return docs.filter(maybe(key("doc_id"))).join(ids, F.col("doc_id") == F.col("i_id"), "left_semi")
+
+
+def _components(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, n, text_hash, component_id for every row."""
     common.tune(docs.sparkSession)
-    drawn = common.materialize(sketches(docs, percent), "sketches")
+    drawn = common.materialize(sketches(docs, percent).withColumn("uid", F.monotonically_increasing_id()), "sketches")
     usable = drawn.filter(F.col("set_id").isNotNull() & F.col("doc_id").isNotNull())
-    classes = common.materialize(usable.groupBy("set_id").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("extra").alias("extra"), F.count("*").alias("rows")), "classes")
-    comp = links(docs, classes, percent)
-    named = classes.join(comp, "node", "left").select("set_id", F.coalesce("root", "node").alias("component_id"), "rows", "node")
+    classes = usable.groupBy("set_id").agg(F.min("uid").alias("node"), F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("extra").alias("extra"), F.count("*").alias("rows"))
+    classes = common.materialize(classes, "classes")
+    linked = classes.select("node", "doc_id", "set_id", "rows").join(links(docs, classes, percent), "node", "left")
     # Only classes with more than one row or a link need a lookup; other rows are their own component.
-    named = named.filter((F.col("rows") > 1) | (F.col("component_id") != F.col("node"))).select("set_id", "component_id")
-    out = drawn.select("doc_id", "n", "set_id").join(named, "set_id", "left")
-    root = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), root.alias("component_id"), F.coalesce(root == F.col("doc_id"), F.lit(True)).alias("kept"))
+    linked = common.materialize(linked.filter((F.col("rows") > 1) | F.col("root").isNotNull()).withColumn("root", F.coalesce("root", "node")), "linked")
+    least = linked.groupBy(F.col("root").alias("l_root")).agg(F.min("doc_id").alias("component_id"), F.count("*").alias("l_rows"))
+    named = common.keyed_join(linked, least, [("root", "l_root")], "l_rows", classes.count(), "inner").select(F.col("set_id").alias("k_set"), "component_id", "rows")
+    rows = drawn.select("doc_id", "n", "set_id", "text_hash")
+    shown = F.col("set_id").isNotNull() & F.col("doc_id").isNotNull()
+    out = common.keyed_join(rows.filter(shown), common.materialize(named, "named"), [("set_id", "k_set")], "rows", drawn.count()).select("doc_id", "n", "text_hash", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.unionByName(rows.filter(~shown).select("doc_id", "n", "text_hash", F.col("doc_id").alias("component_id")))
+
+
+def _kept() -> Column:
+    return F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))
+
+
+def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id that can be reached), kept, for every row."""
+    return _components(docs, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id", _kept().alias("kept"))
+
+
+def kept_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows that stay, with all their columns. Rows are known by doc_id and text; a filter of fixed size lets
+    most of those that stay pass without a shuffle of their texts."""
+    gone = _components(docs, percent).filter(~_kept()).groupBy(F.col("doc_id").alias("__gone"), F.col("text_hash").alias("__hash")).agg(F.count("*").alias("__rows"))
+    return common.without(docs, common.materialize(gone, "gone"), [F.col("doc_id").cast("bigint"), text_hash()], ["__gone", "__hash"], "__rows")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
