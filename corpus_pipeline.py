@@ -15,10 +15,6 @@ from clinlake.llm import bpe, common, exact_dedup, factorisation, mixing, near_d
 MEMO = 100_000
 
 
-def _columns(df: DataFrame, docs: DataFrame) -> DataFrame:
-    return df.select(*[df[f"`{c}`"] for c in docs.columns])
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine accepts. A row is kept or dropped by the score of its own id and text."""
     machine = factorisation.train(docs, common.read(spark, sf_dir, "labels"))
@@ -32,9 +28,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near duplicates (a similarity of 0.8 links), the document with the smallest doc_id."""
-    gone = near_dedup.near_dedup(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    gone = common.checked_broadcast(common.materialize(gone, "gone"), near_dedup.MAX_IDS)
-    return _columns(docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti"), docs)
+    return near_dedup.kept_documents(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
