@@ -273,7 +273,7 @@ def train_model(texts: DataFrame, total: np.ndarray, tokens: int, seed: int = 0)
         rows = [(p, (c / np.maximum(w[0], 1)[:, None]).astype("<f4"), w[0] > 0, (t / w[1][:, None]).astype("<f4")) for p, (w, c, t) in held.items()]
         yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[k].tobytes() for r in rows], pa.binary()) for k in (1, 2, 3))], names=["piece", "context", "seen", "target"])
 
-    dealt = texts.select(F.pmod(F.xxhash64("key", "seq"), F.lit(groups)).cast("int").alias("g"), "seq", "key").repartition(groups, "g").sortWithinPartitions("g", "key", F.xxhash64("seq")).select("g", "seq")
+    dealt = texts.select(F.pmod(F.xxhash64("key", "seq"), F.lit(groups)).cast("int").alias("g"), "seq", "key").repartitionById(groups, F.col("g")).sortWithinPartitions("g", "key", F.xxhash64("seq")).select("g", "seq")
     parts = dealt.mapInArrow(run, "piece int, g int, met binary, context binary, target binary")
     means = parts.repartition(max(1, size // PIECE_ROWS), "piece").sortWithinPartitions("piece", "g").mapInArrow(mean, "piece int, context binary, seen binary, target binary")
     for r in means.collect():  # FREQUENT rows at most
