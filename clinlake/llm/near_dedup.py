@@ -10,8 +10,8 @@ Documents with equal shingle sets form a class. In each bucket, candidates are n
 first compared with one centre, which joins most of a large group; buckets that still hold several
 components get another centre, chosen by hash. What is left after CENTRES rounds is compared through an index
 of rare shingles: two sets that share the limit share one of the rarest (100 - limit) % of their shingles,
-so sets meet only there, and only if another component has the shingle too and the sizes allow a link. Links
-are confirmed on full sets, fetched for the classes that have candidates.
+so sets meet only there, and only if another component has the shingle too and what is left of both sets allows a
+link. Links are confirmed on full sets, fetched for the classes that have candidates.
 
 Buckets, centres and shingles that many sets share are broadcast or cut (`common.keyed_join`, SALT_ROWS).
 
@@ -165,25 +165,29 @@ def _roots(members: DataFrame, comp: DataFrame | None) -> DataFrame:
 
 
 def by_rare_shingles(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v, nu, nv, ru, rv) of different components that share one of the rarest shingles of both. open_: node, root.
+    """Pairs (u, v, nu, nv, ru, rv) of different components that may reach the limit. open_: node, root.
 
-    A set of n shingles shares at least ceil(percent * n / 100) of them with a partner, so both hold a common
-    shingle among their n - ceil(percent * n / 100) + 1 rarest, in one order for all. No pair at the limit is lost.
+    Only shingles that several components hold can be shared; let a set of n have m of them. It shares at least
+    need = ceil(percent * n / 100) with a partner, so both hold a common one among their m - need + 1 rarest, in one
+    order for all, and sets with m < need have no partner. At the first such shingle, the i-th of the one and the
+    j-th of the other, they can share min(m - i, m' - j) + 1 at most, which must be what their sizes ask for. No
+    pair at the limit is lost.
     """
     each = common.materialize(sets.join(open_, "node").select("node", "n", "root", F.explode("extra").alias("shingle")), "shingles")
-    held = each.groupBy(F.col("shingle").alias("h_shingle")).agg(F.count("*").alias("c"), F.min("root").alias("low"), F.max("root").alias("high")).filter("c > 1")
-    total = each.count()
-    ranked = common.keyed_join(each, held, [("shingle", "h_shingle")], "c", total)
-    # A shingle of one set alone is the rarest of all; it takes a rank, but no pair meets in it.
-    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("c", F.lit(1)), "shingle"))
-    rare = ranked.withColumn("rank", rank).filter(F.col("rank") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1).filter("c > 1 and low != high")
-    rare = common.materialize(rare.select("node", "n", "root", "shingle"), "rare")
-    met = rare.groupBy(F.col("shingle").alias("m_shingle")).agg(F.count("*").alias("m"), F.min("root").alias("m_low"), F.max("root").alias("m_high")).filter("m_low != m_high")
-    met = met.withColumn("salts", F.expr(f"cast(ceil(m / {SALT_ROWS}) as int)")).drop("m_low", "m_high")
-    rare = common.keyed_join(rare, met, [("shingle", "m_shingle")], "m", rare.count(), "inner")
-    one = rare.select("shingle", F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt"), F.col("node").alias("u"), F.col("n").alias("nu"), F.col("root").alias("ru"))
-    two = rare.select("shingle", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("node").alias("v"), F.col("n").alias("nv"), F.col("root").alias("rv"))
-    return one.join(two, ["shingle", "salt"]).filter((F.col("u") < F.col("v")) & (F.col("ru") != F.col("rv")) & _close("nu", "nv", percent)).drop("shingle", "salt")
+    held = each.groupBy(F.col("shingle").alias("h_shingle")).agg(F.count("*").alias("c"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").drop("low", "high")
+    mixed = common.keyed_join(each, held, [("shingle", "h_shingle")], "c", each.count(), "inner")
+    own = Window.partitionBy("node")
+    ranked = mixed.withColumn("m", F.count("*").over(own)).withColumn("need", F.ceil(percent * F.col("n") / 100)).filter("m >= need")
+    rare = ranked.withColumn("i", F.row_number().over(own.orderBy("c", "shingle"))).filter("i <= m - need + 1")
+    rare = common.materialize(rare.select("node", "n", "root", "shingle", (F.col("m") - F.col("i") + 1).alias("left")), "rare")
+    met = rare.groupBy(F.col("shingle").alias("m_shingle")).agg(F.count("*").alias("met"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
+    met = met.withColumn("salts", F.expr(f"cast(ceil(met / {SALT_ROWS}) as int)")).drop("low", "high")
+    rare = common.keyed_join(rare, met, [("shingle", "m_shingle")], "met", rare.count(), "inner")
+    one = rare.select("shingle", F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt"), F.col("node").alias("u"), F.col("n").alias("nu"), F.col("root").alias("ru"), F.col("left").alias("lu"))
+    two = rare.select("shingle", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("node").alias("v"), F.col("n").alias("nv"), F.col("root").alias("rv"), F.col("left").alias("lv"))
+    same = (one["shingle"] == two["shingle"]) & (one["salt"] == two["salt"])
+    enough = (100 + percent) * F.least("lu", "lv") >= percent * (F.col("nu") + F.col("nv"))
+    return one.join(two, same & (F.col("u") < F.col("v")) & (F.col("ru") != F.col("rv")) & _close("nu", "nv", percent) & enough).select("u", "v", "nu", "nv", "ru", "rv")
 
 
 def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
