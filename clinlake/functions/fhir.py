@@ -8,6 +8,8 @@ null are null, and arrays hold only elements that are not null.
 
 from __future__ import annotations
 
+import json
+import os
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -87,19 +89,26 @@ RULES: dict[str, list[tuple]] = {
 
 
 def _transform(value: Column, name: str | None) -> Column:
-    if name == "toISOString":
-        return F.date_format(F.expr("null") if value is None else value.try_cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     text = value.cast("string")
+    if name == "toISOString":
+        # Texts that name their zone stay as they are, and so do those that are no times.
+        made = F.date_format(text.try_cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+        return F.when(text.endswith("Z") | text.contains("+"), text).otherwise(F.coalesce(made, text))
     if name == "toDateString":
         return F.substring_index(F.substring_index(text, "T", 1), " ", 1)
     if name == "toNumber":
-        return value.try_cast("double").cast("string")
+        # A JSON number: whole ones without a fraction; what is no number is null.
+        number = F.trim(text).try_cast("double")
+        whole = (number == F.floor(number)) & (F.abs(number) < 1e18)
+        return F.try_parse_json(F.when(whole, number.cast("bigint").cast("string")).otherwise(F.when(~F.isnan(number), number.cast("string"))))
     return text
 
 
 def leaf(rule: tuple, columns: list[str]) -> Column:
     """The value of one rule, as text; a field that the table lacks is null."""
     _, kind, field, detail = rule
+    if kind not in ("constant", "direct", "mapping", "template", "conditional"):
+        raise ValueError(f"unknown kind of rule: {kind}")
     if kind == "constant":
         return F.lit(detail)
     if field not in columns:
@@ -115,9 +124,7 @@ def leaf(rule: tuple, columns: list[str]) -> Column:
     if kind == "template":
         head, _, tail = detail.partition("{value}")
         return F.when(value.isNotNull(), F.concat(F.lit(head), value.cast("string"), F.lit(tail)))
-    if kind == "conditional":
-        return F.when(value.isNull(), F.lit(detail[0])).otherwise(F.lit(detail[1]))
-    raise ValueError(f"unknown kind of rule: {kind}")
+    return F.when(value.isNull(), F.lit(detail[0])).otherwise(F.lit(detail[1]))
 
 
 def _tree(rules: list[tuple], columns: list[str]) -> dict:
@@ -167,8 +174,12 @@ def to_json(df: DataFrame) -> Column:
     return F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
 
 
+def _file(resource: str) -> str:
+    return re.sub(r"(?<!^)(?=[A-Z])", "_", resource).lower() + ".json"
+
+
 class Registry:
-    """Rules by resource: list, get, update, reset, and a test run on given rows."""
+    """Rules by resource: list, get, update, reset, files, and a test run on given rows."""
 
     def __init__(self):
         self.rules = {k: list(v) for k, v in RULES.items()}
@@ -187,5 +198,25 @@ class Registry:
     def reset(self) -> None:
         self.__init__()
 
+    def save(self, folder: str) -> None:
+        """One file for each resource, in snake case, on the driver."""
+        os.makedirs(folder, exist_ok=True)
+        for resource, rules in self.rules.items():
+            with open(os.path.join(folder, _file(resource)), "w", encoding="utf-8") as file:
+                json.dump({"resourceType": resource, "mappingRules": [dict(zip(("fhirPath", "type", "sourceField", "detail"), r)) for r in rules]}, file, ensure_ascii=False, indent=1)
+
+    def load(self, folder: str) -> None:
+        """Rules from the files of save(); resources without a file keep theirs, and a wrong file changes nothing."""
+        new = {}
+        for name in sorted(os.listdir(folder)):
+            if name.endswith(".json"):
+                with open(os.path.join(folder, name), encoding="utf-8") as file:
+                    spec = json.load(file)
+                tuples = [(r["fhirPath"], r["type"], r["sourceField"], tuple(r["detail"]) if isinstance(r["detail"], list) else r["detail"]) for r in spec["mappingRules"]]
+                for rule in tuples:
+                    leaf(rule, [])
+                new[spec["resourceType"]] = tuples
+        self.rules.update(new)
+
     def transform(self, df: DataFrame, resource: str) -> DataFrame:
         return to_resource(df, resource, self.rules)

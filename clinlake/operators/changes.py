@@ -58,12 +58,64 @@ def masked_columns(df: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 
 def as_text(column: Column, kind: str) -> Column:
-    """A value as the operational store keeps it: text, with true and false, whole numbers exact, and UTC times."""
+    """A value as the operational store keeps it: text, with true and false, whole numbers exact, and UTC times with
+    the fraction of a second that they have, without trailing zeros (RFC 3339)."""
     if kind == "timestamp":
-        return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        fraction = F.regexp_replace(F.date_format(column, ".SSSSSS"), r"\.?0+$", "")
+        return F.concat(F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit("Z"))
+    if kind == "binary":
+        return F.decode(column, "UTF-8")
     return column.cast("string")
 
 
+def from_row_events(rows: DataFrame) -> DataFrame:
+    """Change events of row events (op_type, keys: names of key columns, rows: images): an insert or delete for each image, an
+    update for each pair of images, before and after. row_seq numbers the events of one row event. Keys are
+    taken from the image after, or before for deletes; a last image without its pair is left out."""
+    pairs = "transform(sequence(0, size(rows) div 2 - 1), i -> struct(rows[2 * i] as before, rows[2 * i + 1] as after))"
+    single = "transform(rows, r -> struct(if(op_type = 'DELETE', r, null) as before, if(op_type = 'DELETE', null, r) as after))"
+    none = "cast(array() as array<struct<before: map<string, string>, after: map<string, string>>>)"
+    images = F.expr(f"case when op_type = 'UPDATE' then if(size(rows) < 2, {none}, {pairs}) else {single} end")
+    flat = rows.select(*[c for c in rows.columns if c not in ("rows", "keys")], "keys", F.posexplode(images).alias("row_seq", "__image"))
+    image = F.coalesce("__image.after", "__image.before")
+    named = F.map_filter(image, lambda k, v: F.array_contains("keys", k))
+    return flat.withColumns({"primary_keys": named, "before": F.col("__image.before"), "after": F.col("__image.after")}).drop("__image", "keys")
+
+
+def with_event_id(events: DataFrame) -> DataFrame:
+    """A random id for each event; the idempotency key, not this id, tells that two are the same change."""
+    return events.withColumn("event_id", F.uuid())
+
+
+def lsn_bounds(rows: DataFrame, lsn: str = "lsn") -> DataFrame:
+    """The lowest and the highest position, which are hexadecimal texts of one width."""
+    return rows.agg(F.min(lsn).alias("min_lsn"), F.max(lsn).alias("max_lsn"))
+
+
+def key_columns(constraints: DataFrame, usage: DataFrame) -> DataFrame:
+    """The key columns of every table, sorted, from the catalog's constraints (table_schema, table_name, constraint_name, constraint_type) and their columns."""
+    keys = constraints.filter("constraint_type = 'PRIMARY KEY'").select("table_schema", "table_name", "constraint_name")
+    found = keys.join(usage.select("constraint_name", "column_name"), "constraint_name")
+    return found.groupBy("table_schema", "table_name").agg(F.array_sort(F.collect_set("column_name")).alias("key_columns"))
+
+
+def guessed_key(columns: Sequence[str]) -> list[str]:
+    """Without a catalog: the column id, or columns that end in _id, or else all."""
+    found = [c for c in columns if c == "id"] or [c for c in columns if c.endswith("_id")]
+    return sorted(found or columns)
+
+
+def image_columns(events: DataFrame, *images: str) -> list[str]:
+    """All column names that occur in the images, sorted: the columns of a target table that does not exist yet."""
+    names = F.array_union(*[F.map_keys(F.coalesce(F.col(i), F.create_map().cast("map<string,string>"))) for i in images]) if len(images) == 2 else F.map_keys(images[0])
+    return sorted(r.c for r in events.select(F.explode(names).alias("c")).distinct().collect())  # one for each column
+
+
+def as_table(state: DataFrame, columns: Sequence[str], image: str = "image") -> DataFrame:
+    """A table of text columns from the images of a state."""
+    return state.select(*[F.col(image)[c].alias(c) for c in columns])
+
+
 def canonical(entries: Column) -> Column:
     """JSON of a map with sorted keys."""
     return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(entries))))
@@ -74,9 +126,24 @@ def idempotency_key(source: Column, table: Column, op: Column, keys: Column, fil
     return F.sha2(F.concat_ws("|", source, table, op, canonical(keys), file, pos.cast("string"), seq.cast("string")), 256)
 
 
-def partition_key(keys: Column) -> Column:
-    """The value of the first key by name."""
-    return F.array_sort(F.map_entries(keys))[0]["value"]
+def partition_key(keys: Column, field: Column | str | None = None) -> Column:
+    """The value of the configured key field, if the keys have it, or else of the first key by name."""
+    first = F.get(F.array_sort(F.map_entries(keys)), 0)["value"]
+    if field is None:
+        return first
+    name = F.lit(field) if isinstance(field, str) else field
+    return F.coalesce(F.when(F.try_element_at(keys, name) != "", F.try_element_at(keys, name)), first)
+
+
+def routed(events: DataFrame, routes: DataFrame) -> DataFrame:
+    """Events with topic and key: those of the route of their source and table, or topic by database and table.
+
+    routes: source_id, table, topic, partition_key_field; one row for each table, so they are broadcast.
+    """
+    table = routes.select("source_id", "table", F.col("topic").alias("__topic"), F.col("partition_key_field").alias("__field"))
+    out = events.join(F.broadcast(table), ["source_id", "table"], "left")
+    key = F.when(F.col("__field").isNotNull(), partition_key(F.col("primary_keys"), F.col("__field"))).otherwise(partition_key(F.col("primary_keys")))
+    return out.withColumn("topic", F.coalesce("__topic", topic(F.col("database"), F.col("table")))).withColumn("key", key).drop("__topic", "__field")
 
 
 def topic(source: Column, table: Column) -> Column:

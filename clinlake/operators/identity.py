@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Weights of the demographic score in tenths, and the least score that counts as a match.
@@ -34,23 +34,70 @@ def match_score(name: Column, gender: Column, birth: Column, p_name: Column, p_g
     return F.when(name == p_name, NAME).when(part, NAME_PART).otherwise(0) + points(gender == p_gender, GENDER) + points(birth == p_birth, BIRTH)
 
 
+#: Letters of the pieces by which contained names are found.
+GRAM = 3
+
+
+def _grams(name: str) -> Column:
+    """The distinct pieces of 1 to GRAM letters of a name: at most GRAM for each letter."""
+    each = ", ".join(f"transform(sequence(1, greatest(length({name}) - {k}, 1)), i -> substring({name}, i, {k + 1}))" for k in range(GRAM))
+    return F.expr(f"array_distinct(filter(concat({each}), g -> g <> ''))")
+
+
+def _inside(short: DataFrame, s_name: str, s_gender: str, long: DataFrame, l_name: str, l_gender: str, grams: DataFrame) -> DataFrame:
+    """Pairs of equal gender where the one name is in the other. They meet in the rarest piece of the shorter name, which the longer one must have."""
+    width = f"least({GRAM}, length({s_name}))"
+    own = short.filter(f"length({s_name}) > 0").withColumn("__gram", F.explode(F.expr(f"transform(sequence(1, length({s_name}) - {width} + 1), i -> substring({s_name}, i, {width}))")))
+    counted = own.join(grams, F.col("__gram") == F.col("__g"), "left")
+    rarest = counted.groupBy(*[f"`{c}`" for c in short.columns]).agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__gram").alias("g"))).alias("__r"))
+    spread = long.filter(f"length({l_name}) > 0").withColumn("__piece", F.explode(_grams(l_name)))
+    return rarest.join(spread, (F.col("__r.g") == F.col("__piece")) & (F.col(s_gender) == F.col(l_gender)) & F.col(l_name).contains(F.col(s_name))).drop("__r", "__piece")
+
+
 def fuzzy(queries: DataFrame, persons: DataFrame) -> DataFrame:
     """Matches of queries (query_id, q_name, q_gender, q_birth) with persons, scored in tenths and above 3.
 
     No pair reaches the limit without an equal birth date, an equal name, or a contained name and an equal
-    gender. All three are equi-joins: for the last, names are looked up among the substrings of names.
+    gender. All three are equi-joins: for the last, names meet in the rarest piece of three letters of the shorter one,
+    so a name gives a few rows for each of its letters. Persons of a query's birth date are matches by definition, so
+    they are all in the result.
     """
     p = persons.select("empi_id", F.col("name").alias("p_name"), F.col("gender").alias("p_gender"), F.col("birth_date").alias("p_birth"))
-    parts = "array_distinct(flatten(transform(sequence(1, length({0})), i -> transform(sequence(1, length({0}) - i + 1), n -> substring({0}, i, n)))))"
-    pairs = queries.join(p, F.col("q_birth") == F.col("p_birth")).unionByName(queries.join(p, F.col("q_name") == F.col("p_name")))
-    inner = p.filter("length(p_name) > 0").withColumn("part", F.explode(F.expr(parts.format("p_name"))))
-    outer = queries.filter("length(q_name) > 0").withColumn("part", F.explode(F.expr(parts.format("q_name"))))
-    same = F.col("q_gender") == F.col("p_gender")
-    pairs = pairs.unionByName(queries.join(inner, same & (F.col("q_name") == F.col("part"))).drop("part")).unionByName(outer.join(p, same & (F.col("part") == F.col("p_name"))).drop("part"))
+    q = queries.select("query_id", "q_name", "q_gender", "q_birth")
+    count = lambda df, name: df.select(F.explode(_grams(name)).alias("__g")).groupBy("__g").agg(F.count("*").alias("__n"))
+    pairs = q.join(p, F.col("q_birth") == F.col("p_birth")).unionByName(q.join(p, F.col("q_name") == F.col("p_name")))
+    pairs = pairs.unionByName(_inside(q, "q_name", "q_gender", p, "p_name", "p_gender", count(p, "p_name"))).unionByName(_inside(p, "p_name", "p_gender", q, "q_name", "q_gender", count(q, "q_name")))
     score = match_score(F.col("q_name"), F.col("q_gender"), F.col("q_birth"), F.col("p_name"), F.col("p_gender"), F.col("p_birth"))
     return pairs.withColumn("score", score).filter(F.col("score") >= LEAST).select("query_id", "empi_id", "score").distinct()
 
 
+def ranked(queries: DataFrame, persons: DataFrame) -> DataFrame:
+    """fuzzy() with the person's name and the rank of the match for its query: by score, then by id."""
+    named = fuzzy(queries, persons).join(persons.select("empi_id", "name"), "empi_id")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "empi_id"))
+    return named.select("query_id", "empi_id", "name", "score", rank.alias("rank"))
+
+
+#: The users (id, user name, name, role, department).
+USERS = [
+    ("U001", "doctor_zhang", "张医生", "role_doctor", "心内科"),
+    ("U002", "nurse_li", "李护士", "role_nurse", "心内科"),
+    ("U003", "lab_wang", "王技师", "role_lab_tech", "检验科"),
+    ("U004", "admin", "系统管理员", "role_admin", "信息科"),
+]
+
+
+def users(spark) -> DataFrame:
+    """The users as stored, with a digest of their password."""
+    rows = spark.createDataFrame(USERS, "user_id string, username string, name string, role string, department string")
+    return rows.withColumn("password", F.sha2(F.concat("user_id", "username"), 256))
+
+
+def listed(users: DataFrame) -> DataFrame:
+    """Users for a list: everything but the password."""
+    return users.drop("password")
+
+
 def policies(spark) -> DataFrame:
     return spark.createDataFrame(POLICIES, "role string, resources array<string>, departments array<string>, fields array<string>")
 

@@ -43,14 +43,18 @@ def merge_partials(parts: DataFrame, keys: Sequence[str], measures: Sequence[str
     return parts.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
 
 
-def incremental(rollup: DataFrame, base: DataFrame, changed: DataFrame, keys: Sequence[str], build) -> DataFrame:
+def incremental(rollup: DataFrame, base: DataFrame, changed: DataFrame, keys: Sequence[str], build, derived: dict[str, Column] | None = None) -> DataFrame:
     """The roll-up after a change of base: groups that changed rows touch are built anew, others stay.
 
-    base: the resolved table after the change. changed: rows of it, old and new, in the roll-up's keys.
+    base: the resolved table after the change. changed: rows of it, old and new, in the roll-up's keys. derived: keys
+    that base lacks, as columns of it. Only rows of touched groups are aggregated.
     """
-    touched = changed.select(*keys).distinct()
-    fresh = build(base).join(touched, list(keys), "left_semi")
-    return rollup.join(touched, list(keys), "left_anti").unionByName(fresh)
+    touched = changed.select(*[F.col(k).alias(f"__t_{k}") for k in keys]).distinct()
+    same = [F.col(f"__{k}").eqNullSafe(F.col(f"__t_{k}")) for k in keys]
+    held = base.withColumns({f"__{k}": (derived or {}).get(k, F.col(k) if k in base.columns else F.lit(None)) for k in keys})
+    rows = held.join(touched, same, "left_semi").select(*[f"`{c}`" for c in base.columns])
+    kept = rollup.withColumns({f"__{k}": F.col(k) for k in keys}).join(touched, same, "left_anti").select(*[f"`{c}`" for c in rollup.columns])
+    return kept.unionByName(build(rows))
 
 
 def sketched(visits: DataFrame) -> DataFrame:

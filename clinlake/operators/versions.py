@@ -8,16 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], deleted: Column | None = None) -> DataFrame:
+def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], deleted: Column | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """The last version of every key. Two-phase aggregation: versions of a hot key are merged before the shuffle.
 
-    order: later values win, the first column first; name enough columns to leave no tie. deleted: versions that end a key.
+    order: later values win, the first column first; name enough columns to leave no tie. deleted: versions that end a
+    key. columns: those that are wanted besides the keys; only these and the order are read and shuffled.
     """
-    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    wanted = [c for c in (df.columns if columns is None else columns) if c not in keys]
     rank = F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)])
-    out = df.select(*keys, whole.alias("__row"), rank.alias("__rank")).groupBy(*keys).agg(F.max_by("__row", "__rank").alias("__row"))
-    out = out.select("__row.*")
-    return out if deleted is None else out.filter(~deleted)
+    gone = [] if deleted is None else [deleted.alias("__gone")]
+    whole = F.struct(*[F.col(f"`{c}`") for c in wanted], *gone, F.lit(0).alias("__one"))
+    out = df.groupBy(*keys).agg(F.max_by(whole, rank).alias("__row"))
+    out = out.select(*keys, *[F.col("__row")[c].alias(c) for c in wanted], *([F.col("__row.__gone").alias("__gone")] if gone else []))
+    if gone:
+        out = out.filter(~F.coalesce("__gone", F.lit(False)))
+    order_of = [*keys, *wanted] if columns is not None else df.columns
+    return out.select(*[f"`{c}`" for c in order_of])
 
 
 def upsert(state: DataFrame, changes: DataFrame, keys: Sequence[str], op: str = "op_type") -> DataFrame:

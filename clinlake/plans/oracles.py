@@ -97,4 +97,39 @@ SQL = {
     "reconcile_counts": f"WITH {VISITS} SELECT dept, count(*) AS source_rows, count(*) FILTER (WHERE k % 50 <> 0) AS target_rows, count(*) = count(*) FILTER (WHERE k % 50 <> 0) AS equal FROM visits GROUP BY dept",
     "reconcile_rows": f"WITH {VISITS} SELECT visit_id, dept, visit_type FROM visits WHERE k % 97 = 0",
     "name_prefix_filter": "SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_name LIKE 'Customer#00000001%'",
+    "everything_bundle": f"""WITH {LATEST}, {VISITS}, {PATIENTS}, e AS (
+        SELECT patient_id, 0 AS r, 'Patient' AS kind, patient_id AS id, 'match' AS search_mode,
+          '{{"resourceType":"Patient","id":"' || patient_id || '","identifier":[{{"system":"urn:hospital:his:patient-id","value":"' || patient_id || '"}},{{"system":"urn:hospital:empi"' || CASE WHEN k % 4 <> 0 THEN ',"value":"EMPI-' || lpad(patient_id, 8, '0') || '"' ELSE '' END
+          || '}}],"name":[{{"use":"official","text":"' || name || '"}}],"gender":"' || CASE gender WHEN 'M' THEN 'male' ELSE 'female' END || '","birthDate":"' || birth_date || '","address":[{{"use":"home","text":"' || address || '"}}],{META}}}' AS resource FROM patients
+        UNION ALL SELECT patient_id, 1, 'Encounter', visit_id, 'include',
+          '{{"resourceType":"Encounter","id":"' || visit_id || '","identifier":[{{"system":"urn:hospital:his:visit-id","value":"' || visit_id || '"}}],"status":"' || CASE WHEN discharge_time IS NULL THEN 'in-progress' ELSE 'finished' END
+          || '","class":{{"system":"http://terminology.hl7.org/CodeSystem/v3-ActCode","code":"' || CASE visit_type WHEN 'outpatient' THEN 'AMB' WHEN 'inpatient' THEN 'IMP' ELSE 'EMER' END || '","display":"' || visit_type || '"}},"subject":{{"reference":"Patient/' || patient_id
+          || '"}},"period":{{"start":"' || strftime(admit_time, '%Y-%m-%dT%H:%M:%S.000Z') || '"' || coalesce(',"end":"' || strftime(discharge_time, '%Y-%m-%dT%H:%M:%S.000Z') || '"', '') || '}},"reasonCode":[{{"text":"' || diagnosis || '"}}],"serviceProvider":{{"display":"' || dept || '"}},{META}}}' FROM visits
+        UNION ALL SELECT v.patient_id, 2, 'MedicationRequest', order_id, 'include',
+          '{{"resourceType":"MedicationRequest","id":"' || order_id || '","identifier":[{{"system":"urn:hospital:his:order-id","value":"' || order_id || '"}}],"status":"' || CASE status WHEN 'executed' THEN 'completed' WHEN 'pending' THEN 'active' ELSE 'cancelled' END
+          || '","intent":"order","medicationCodeableConcept":{{"text":"' || drug_name || '"}},"subject":{{"reference":"Patient/' || v.patient_id || '"}},"encounter":{{"reference":"Encounter/' || l.visit_id || '"}},"authoredOn":"' || strftime(order_time, '%Y-%m-%dT%H:%M:%S.000Z') || '",{META}}}'
+          FROM latest l JOIN visits v ON l.visit_id = v.visit_id
+        UNION ALL SELECT CAST(user_id AS VARCHAR), 3, 'DiagnosticReport', CAST(event_id AS VARCHAR), 'include',
+          '{{"resourceType":"DiagnosticReport","id":"' || event_id || '","identifier":[{{"system":"urn:hospital:lis:result-id","value":"' || event_id || '"}}],"status":"final","category":[{{"coding":[{{"system":"http://terminology.hl7.org/CodeSystem/v2-0074","code":"LAB"}}]}}],"code":{{"coding":[{{"code":"' || event_type
+          || '","display":"' || upper(event_type[1]) || event_type[2:] || '"}}]}},"subject":{{"reference":"Patient/' || user_id || '"}},"effectiveDateTime":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z","result":[{{"display":"' || upper(event_type[1]) || event_type[2:] || '"}}],"conclusion":"' || CASE WHEN value > 50 THEN '异常' ELSE '正常' END || '",{META}}}' FROM events)
+      SELECT patient_id, CAST(row_number() OVER (PARTITION BY patient_id ORDER BY r, id) AS INTEGER) AS position, kind, id, search_mode, resource, count(*) OVER (PARTITION BY patient_id) AS total FROM e WHERE patient_id IN (SELECT patient_id FROM patients)""",
+    "cdc_row_events": "SELECT event_id, CAST(0 AS INTEGER) AS row_seq, CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'error' THEN 'DELETE' ELSE 'UPDATE' END AS op_type, CAST(user_id AS VARCHAR) AS pk, CASE WHEN event_type = 'error' THEN event_type WHEN event_type <> 'signup' THEN coalesce(lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id), 'none') END AS before_event, CASE WHEN event_type <> 'error' THEN event_type END AS after_event FROM events",
+    "cdc_lsn_bounds": "SELECT min(lpad(upper(to_hex(event_id // 4)), 20, '0')) AS min_lsn, max(lpad(upper(to_hex(event_id // 4)), 20, '0')) AS max_lsn FROM events",
+    "cdc_key_columns": "SELECT * FROM (VALUES ('dbo', 'lab_results', 'result_id'), ('his', 'visits', 'patient_id,visit_id')) t(table_schema, table_name, key_columns)",
+    "normalize_time": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN '.25' WHEN 2 THEN '.5' ELSE '.75' END || 'Z' AS at FROM events",
+    "ods_auto_create": "SELECT event_type AS event, props, CAST(user_id AS VARCHAR) AS user_id FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1) WHERE event_type <> 'error'",
+    "olap_typed": "SELECT CAST(event_id AS VARCHAR) AS result_id, CASE WHEN event_id % 11 <> 0 THEN round(CAST(CAST(round(value, 2) AS DECIMAL(18,2)) AS DOUBLE), 2) END AS value, CASE event_id % 3 WHEN 0 THEN '1' WHEN 1 THEN '0' END AS is_abnormal, CASE WHEN event_id % 11 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS result_time FROM events",
+    "route_configured": "SELECT CASE WHEN event_id % 2 = 0 THEN 'cdc.his.users' ELSE 'cdc.his.Other' END AS topic, CAST(user_id AS VARCHAR) AS key, count(*) AS n FROM events GROUP BY ALL",
+    "distinct_topics": "SELECT DISTINCT 'cdc.his_mysql_01.' || event_type AS topic FROM events WHERE event_type <> 'error'",
+    "empi_ranked": f"""WITH {PATIENTS}, q AS (SELECT patient_id AS query_id, name, gender, birth_date FROM patients WHERE k % 20 = 0),
+      m AS (SELECT query_id, 'EMPI-' || lpad(CAST(p.k AS VARCHAR), 8, '0') AS empi_id, p.name, CAST(CASE WHEN q.name = p.name THEN 4 WHEN contains(p.name, q.name) OR contains(q.name, p.name) THEN 2 ELSE 0 END
+        + CASE WHEN q.gender = p.gender THEN 2 ELSE 0 END + CASE WHEN q.birth_date = p.birth_date THEN 4 ELSE 0 END AS INTEGER) AS score FROM q, patients p)
+      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, empi_id) AS INTEGER) AS rank FROM m WHERE score >= 4""",
+    "list_users": "SELECT * FROM (VALUES ('U001', 'doctor_zhang', '张医生', 'role_doctor', '心内科'), ('U002', 'nurse_li', '李护士', 'role_nurse', '心内科'), ('U003', 'lab_wang', '王技师', 'role_lab_tech', '检验科'), ('U004', 'admin', '系统管理员', 'role_admin', '信息科')) t(user_id, username, name, role, department)",
+    "fhir_numbers": """SELECT CAST(event_id AS VARCHAR) AS id, '{"id":"' || event_id || '"' || CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN ',"valueQuantity":{"value":' || (event_id % 50) || '}' ELSE ',"valueQuantity":{"value":' || (event_id % 50) || '.5}' END
+      || ',"effectiveDateTime":"' || CASE event_id % 3 WHEN 0 THEN '2024-01-02T03:04:05+08:00' WHEN 1 THEN '2024-01-02T03:04:05.000Z' ELSE 'no time' END || '"}' AS json FROM events""",
+    "seed_patients": "SELECT i AS patient_id, '患者' || i AS name, CASE i % 2 WHEN 0 THEN 'M' ELSE 'F' END AS gender, strftime(DATE '1950-01-01' + CAST(i * 7919 % 21915 AS INTEGER), '%Y-%m-%d') AS birth_date, '北京市朝阳区' || (i % 1000) || '号' AS address FROM range(2000) t(i)",
+    "seed_visits": "SELECT i AS visit_id, i % 500 AS patient_id, ['内科', '外科', '儿科', '妇产科', '急诊科', '骨科'][i % 6 + 1] AS dept, '医生' || (i % 50) AS doctor, ['outpatient', 'inpatient', 'emergency'][i % 3 + 1] AS visit_type, strftime(TIMESTAMP '2024-01-01' - to_hours((i * 7919 + 1) % 720), '%Y-%m-%d %H:%M:%S') AS admit_time, '诊断结果' || (i % 100) AS diagnosis FROM range(2000) t(i)",
+    "seed_orders": "SELECT i AS order_id, i % 1000 AS visit_id, ['阿莫西林', '布洛芬', '头孢克洛', '阿司匹林', '奥美拉唑', '甲硝唑'][i % 6 + 1] AS drug_name, (50 + (i * 7919 + 2) % 450) || '.0mg' AS dosage, '每日三次' AS frequency, ['口服', '静脉注射', '肌肉注射', '外用'][i % 4 + 1] AS route, strftime(TIMESTAMP '2024-01-01' + to_seconds(i), '%Y-%m-%d %H:%M:%S') AS order_time, '医生' || (i % 50) AS doctor, 'pending' AS status FROM range(2000) t(i)",
+    "seed_labs": "SELECT i AS result_id, i % 1000 + 1 AS visit_id, i % 500 + 1 AS patient_id, 'CBC' || lpad(CAST(i % 20 AS VARCHAR), 3, '0') AS item_code, '全血细胞计数' AS item_name, (50 + (i * 7919 + 3) % 150) / 10 AS value, 'g/L' AS unit, i % 5 = 0 AS is_abnormal, strftime(TIMESTAMP '2024-01-01' + to_seconds(i), '%Y-%m-%d %H:%M:%S') AS result_time FROM range(2000) t(i)",
 }

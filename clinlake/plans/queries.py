@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clinlake.functions import fhir
 from clinlake.operators import changes, identity, rollups, versions
 from clinlake.sources import adapters as src
+from clinlake.sources import generator
 
 AS_OF = "2002-01-01 00:00:00"
 ORDER_TIES = ("order_time", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "status")
@@ -26,13 +30,23 @@ def at(text: str) -> Column:
     return F.lit(text).cast("timestamp")
 
 
+def scratch(s, name: str) -> str:
+    """A new folder in the one that all executors share; a temporary one in local mode, as in tests."""
+    base = s.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not s.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.gettempdir()
+    return f"{base.rstrip('/')}/clinlake-{name}-{uuid.uuid4().hex}"
+
+
 def _patients(s, d):
     """Patients without each tenth, so that some visits have none."""
     return src.patients(s, d).filter(F.col("patient_id").cast("bigint") % 10 != 0)
 
 
-def _orders(s, d):
-    return versions.latest(src.medication_versions(s, d), ["order_id"], ORDER_TIES)
+def _orders(s, d, columns=None, drugs=True):
+    return versions.latest(src.medication_versions(s, d, drugs), ["order_id"], ORDER_TIES, columns=columns)
 
 
 def _keyed(s, d):
@@ -41,9 +55,9 @@ def _keyed(s, d):
     return log.withColumn("idempotency_key", key).withColumn("pk", changes.partition_key(F.col("primary_keys")))
 
 
-def _visit_versions(s, d):
+def _visit_versions(s, d, key=None):
     """Visits, and for each seventh a later version in another department."""
-    v = src.visits(s, d).withColumn("version", F.lit(1))
+    v = src.visits(s, d, key=key).withColumn("version", F.lit(1))
     moved = v.filter(F.col("visit_id").cast("bigint") % 7 == 0).withColumn("dept", F.lit("MOVED")).withColumn("version", F.lit(2))
     return v.unionByName(moved)
 
@@ -58,7 +72,7 @@ def dept_daily_visits(s, d):
 
 
 def drug_daily_orders(s, d):
-    return rollups.drug_daily(_orders(s, d)).withColumn("order_date", day("order_date"))
+    return rollups.drug_daily(_orders(s, d, ["drug_name", "order_time", "status"])).withColumn("order_date", day("order_date"))
 
 
 def patient_monthly(s, d):
@@ -77,16 +91,15 @@ def rollup_incremental(s, d):
     moved = F.col("visit_id").cast("bigint") % 100 == 0
     after = before.withColumn("dept", F.when(moved, "MOVED").otherwise(F.col("dept")))
     changed = before.filter(moved).unionByName(after.filter(moved)).withColumn("visit_date", F.to_date("admit_time"))
-    return rollups.incremental(rollups.dept_daily(before), after, changed, keys, rollups.dept_daily).withColumn("visit_date", day("visit_date"))
+    return rollups.incremental(rollups.dept_daily(before), after, changed, keys, rollups.dept_daily, {"visit_date": F.to_date("admit_time")}).withColumn("visit_date", day("visit_date"))
 
 
 def partition_pruned_month(s, d):
-    v = src.visits(s, d)
-    return v.filter((F.col("admit_time") >= at("1997-03-01")) & (F.col("admit_time") < at("1997-04-01"))).groupBy("dept").agg(F.count("*").alias("visits"))
+    return src.visits(s, d, since="1997-03-01", until="1997-04-01").groupBy("dept").agg(F.count("*").alias("visits"))
 
 
 def latest_version(s, d):
-    return _orders(s, d).select("order_id", "drug_name", "status", second("order_time").alias("order_time"), "l_partkey", "l_suppkey")
+    return _orders(s, d, ["drug_name", "status", "order_time", "l_partkey", "l_suppkey"]).select("order_id", "drug_name", "status", second("order_time").alias("order_time"), "l_partkey", "l_suppkey")
 
 
 def latest_version_visits(s, d):
@@ -94,15 +107,15 @@ def latest_version_visits(s, d):
 
 
 def latest_version_orders(s, d):
-    return _orders(s, d).groupBy("visit_id").agg(F.count("*").alias("orders"), F.count_if(F.col("status") == "executed").alias("executed"))
+    return _orders(s, d, ["visit_id", "status"], drugs=False).groupBy("visit_id").agg(F.count("*").alias("orders"), F.count_if(F.col("status") == "executed").alias("executed"))
 
 
 def lookup_patient(s, d):
-    return src.patients(s, d).filter(F.col("patient_id") == "77").limit(1)
+    return src.patients(s, d, key=77).limit(1)
 
 
 def lookup_visit(s, d):
-    return versions.latest(_visit_versions(s, d).filter(F.col("visit_id") == "77"), ["visit_id"], ["version"]).limit(1).select("visit_id", "patient_id", "dept", "visit_type", second("admit_time").alias("admit_time"))
+    return versions.latest(_visit_versions(s, d, key=77), ["visit_id"], ["version"]).limit(1).select("visit_id", "patient_id", "dept", "visit_type", second("admit_time").alias("admit_time"))
 
 
 def incremental_pull(s, d):
@@ -227,7 +240,21 @@ def _state(s, d, upto=None):
 
 
 def apply_changes(s, d):
-    return _state(s, d).filter(F.col("op_type") != "DELETE").select("pk", "op_type", "binlog_pos", F.col("after")["event"].alias("event"))
+    """The change log in two overlapping halves through a keyed table with its ledger."""
+    from clinlake.sources.store import Table
+    from clinlake.streaming import apply
+
+    table = Table(s, scratch(s, "apply"))
+    log = src.change_log(s, d)
+    middle = log.agg(F.expr("percentile_approx(binlog_pos, 0.5)")).first()[0]
+    if middle is not None:
+        apply.apply_batch(table, log.filter(F.col("binlog_pos") <= middle + 100))
+        apply.apply_batch(table, log.filter(F.col("binlog_pos") > middle - 100))
+    state = apply.current(table)
+    if state is None:
+        return _state(s, d).limit(0).select("pk", "op_type", "binlog_pos", F.lit("").alias("event"))
+    # The table's key is the JSON of all keys; the result shows the one key that it holds.
+    return state.select(F.get_json_object("pk", "$.user_id").alias("pk"), "op_type", "binlog_pos", F.col("image")["event"].alias("event"))
 
 
 def upsert_merge(s, d):
@@ -312,7 +339,7 @@ def topk_dept(s, d):
 
 
 def topk_drug(s, d):
-    return _orders(s, d).groupBy("drug_name").agg(F.count("*").alias("orders")).orderBy(F.desc("orders"), "drug_name").limit(10)
+    return _orders(s, d, ["drug_name"]).groupBy("drug_name").agg(F.count("*").alias("orders")).orderBy(F.desc("orders"), "drug_name").limit(10)
 
 
 def uniq_exact(s, d):
@@ -375,7 +402,7 @@ def fhir_encounter(s, d):
 
 
 def _fhir_orders(s, d):
-    return _orders(s, d).join(src.visits(s, d).select("visit_id", "patient_id"), "visit_id", "left")
+    return _orders(s, d, ["visit_id", "drug_name", "order_time", "status"]).join(src.visits(s, d).select("visit_id", "patient_id"), "visit_id", "left")
 
 
 def fhir_medication_request(s, d):
@@ -429,7 +456,7 @@ def fhir_bundle(s, d):
 
 
 def duplicate_pks(s, d):
-    return versions.duplicate_keys(src.medication_versions(s, d), ["order_id"])
+    return versions.duplicate_keys(src.medication_versions(s, d, drugs=False), ["order_id"])
 
 
 def reconcile_counts(s, d):
@@ -448,12 +475,102 @@ def name_prefix_filter(s, d):
     return src.table(s, d, "customer").filter(F.col("c_name").startswith("Customer#00000001")).select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
 
 
+def everything_bundle(s, d):
+    """everything_entries(): the entries of every patient's bundle, with position and total; resources are JSON."""
+    return everything_entries(s, d)
+
+
+def cdc_row_events(s, d):
+    e = changes.from_row_events(src.row_events(s, d))
+    return e.select("event_id", "row_seq", "op_type", F.col("primary_keys")["user_id"].alias("pk"), F.col("before")["event"].alias("before_event"), F.col("after")["event"].alias("after_event"))
+
+
+def cdc_lsn_bounds(s, d):
+    return changes.lsn_bounds(_coded(s, d))
+
+
+def cdc_key_columns(s, d):
+    constraints = s.createDataFrame([("dbo", "lab_results", "pk_lab", "PRIMARY KEY"), ("dbo", "lab_results", "uq_lab", "UNIQUE"), ("his", "visits", "pk_visits", "PRIMARY KEY")], "table_schema string, table_name string, constraint_name string, constraint_type string")
+    usage = s.createDataFrame([("pk_lab", "result_id"), ("uq_lab", "item_code"), ("pk_visits", "visit_id"), ("pk_visits", "patient_id")], "constraint_name string, column_name string")
+    return changes.key_columns(constraints, usage).select("table_schema", "table_name", F.array_join("key_columns", ",").alias("key_columns"))
+
+
+def normalize_time(s, d):
+    e = src.table(s, d, "events")
+    shown = F.col("ts").cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("event_id") % 4 * 250).cast("decimal(18,6)") / 1000)
+    return e.select("event_id", changes.as_text(F.date_trunc("second", F.col("ts").cast("timestamp")) + (shown - F.col("ts").cast("timestamp")), "timestamp").alias("at"))
+
+
+def ods_auto_create(s, d):
+    """A target table whose columns are those that the images hold."""
+    state = _state(s, d).select(F.coalesce("after", "before").alias("image"), "op_type")
+    columns = changes.image_columns(state, "image")
+    return changes.as_table(state.filter("op_type <> 'DELETE'"), columns)
+
+
+def olap_typed(s, d):
+    """The text store as the typed laboratory table."""
+    from clinlake.sources import olap
+
+    t = olap.typed(_text_store(s, d), "fact_lab_results")
+    return t.select("result_id", F.round("value", 2).alias("value"), F.col("is_abnormal").cast("string").alias("is_abnormal"), second("result_time").alias("result_time"))
+
+
+def route_configured(s, d):
+    routes = s.createDataFrame([("his_mysql_01", "Users", "cdc.his.users", "user_id")], "source_id string, table string, topic string, partition_key_field string")
+    both = src.change_log(s, d).withColumn("table", F.when(F.col("binlog_pos") % 2 == 0, F.lit("Users")).otherwise(F.lit("Other")))
+    return changes.routed(both, routes).groupBy("topic", "key").agg(F.count("*").alias("n"))
+
+
+def distinct_topics(s, d):
+    e = src.change_log(s, d)
+    return e.select(changes.topic(F.col("source_id"), F.lower(F.col("after")["event"])).alias("topic")).filter("topic not like '%null'").distinct()
+
+
+def empi_ranked(s, d):
+    p = src.patients(s, d).filter(F.col("patient_id").cast("bigint") % 20 == 0)
+    q = p.select(F.col("patient_id").alias("query_id"), F.col("name").alias("q_name"), F.col("gender").alias("q_gender"), F.col("birth_date").alias("q_birth"))
+    return identity.ranked(q, src.master_index(s, d))
+
+
+def list_users(s, d):
+    return identity.listed(identity.users(s))
+
+
+def fhir_numbers(s, d):
+    """Numbers and times of a rule set with transforms, as JSON."""
+    rules = {"Observation": [("id", "direct", "result_id", "toString"), ("valueQuantity.value", "direct", "raw", "toNumber"), ("effectiveDateTime", "direct", "when", "toISOString")]}
+    e = src.table(s, d, "events")
+    n = F.col("event_id")
+    rows = e.select(n.cast("string").alias("result_id"), F.when(n % 4 == 0, "junk").when(n % 4 == 1, (n % 50).cast("string")).otherwise(F.concat((n % 50).cast("string"), F.lit(".5"))).alias("raw"), F.when(n % 3 == 0, F.lit("2024-01-02T03:04:05+08:00")).when(n % 3 == 1, F.lit("2024-01-02 03:04:05")).otherwise("no time").alias("when"))
+    r = fhir.to_resource(rows, "Observation", rules)
+    return r.select("id", fhir.to_json(r).alias("json"))
+
+
+def seed_patients(s, d):
+    return generator.rows(s, "patients", 2000).withColumn("birth_date", day("birth_date"))
+
+
+def seed_visits(s, d):
+    return generator.rows(s, "visits", 2000).withColumn("admit_time", second("admit_time"))
+
+
+def seed_orders(s, d):
+    return generator.rows(s, "orders", 2000).withColumn("order_time", second("order_time"))
+
+
+def seed_labs(s, d):
+    return generator.rows(s, "lab_results", 2000).withColumn("result_time", second("result_time"))
+
+
 NAMES = (
     "visit_wide dept_daily_visits drug_daily_orders patient_monthly rollup_merge_partials rollup_incremental partition_pruned_month latest_version latest_version_visits "
     "latest_version_orders lookup_patient lookup_visit incremental_pull ods_typed_cast cdc_envelope cdc_decode_op cdc_pair_updates cdc_poll_range parse_skip_bad_json json_roundtrip "
     "mask_fields normalize_text route_topic route_target_table partition_key idempotency_key dedup_idempotent dedup_retention apply_changes upsert_merge delete_anti_join "
     "exists_semi union_sources offset_latest event_counts_by_op e2e_latency latency_histogram latency_percentiles report_dept_daily report_drug_consumption report_patient_monthly "
     "report_visit_wide topk_dept topk_drug uniq_exact uniq_approx empi_resolve empi_by_id empi_fuzzy_match access_check access_field_filter fhir_patient fhir_encounter "
-    "fhir_medication_request fhir_diagnostic_report fhir_bundle patient_everything duplicate_pks reconcile_counts reconcile_rows name_prefix_filter"
+    "fhir_medication_request fhir_diagnostic_report fhir_bundle patient_everything duplicate_pks reconcile_counts reconcile_rows name_prefix_filter "
+    "everything_bundle cdc_row_events cdc_lsn_bounds cdc_key_columns normalize_time ods_auto_create olap_typed route_configured distinct_topics empi_ranked list_users fhir_numbers "
+    "seed_patients seed_visits seed_orders seed_labs"
 ).split()
 QUERIES = {name: globals()[name] for name in NAMES}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -10,8 +10,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
+def patients(spark: SparkSession, sf_dir: str, key: int | None = None) -> DataFrame:
+    """key: one patient only, as a filter on the stored column, which reaches the files."""
     c = table(spark, sf_dir, "customer")
+    c = c if key is None else c.filter(F.col("c_custkey") == key)
     return c.select(
         F.col("c_custkey").cast("string").alias("patient_id"),
         F.col("c_name").alias("name"),
@@ -21,8 +23,13 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def visits(spark: SparkSession, sf_dir: str, key: int | None = None, since: str | None = None, until: str | None = None) -> DataFrame:
+    """key, since, until: one visit, or admissions in [since, until), as filters on the stored columns, which reach the files."""
     o = table(spark, sf_dir, "orders")
+    o = o if key is None else o.filter(F.col("o_orderkey") == key)
+    stored = o.schema["o_orderdate"].dataType
+    o = o if since is None else o.filter(F.col("o_orderdate") >= F.lit(since).cast(stored))
+    o = o if until is None else o.filter(F.col("o_orderdate") < F.lit(until).cast(stored))
     admit = F.col("o_orderdate").cast("timestamp")
     return o.select(
         F.col("o_orderkey").cast("string").alias("visit_id"),
@@ -35,14 +42,16 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def medication_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Medication orders with all the versions that the table holds."""
-    line, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part").select("p_partkey", "p_name")
+def medication_versions(spark: SparkSession, sf_dir: str, drugs: bool = True) -> DataFrame:
+    """Medication orders with all the versions that the table holds. drugs: with the names of drugs, which are in another table."""
+    line = table(spark, sf_dir, "lineitem")
     status = F.when(F.col("l_returnflag") == "A", "executed").when(F.col("l_returnflag") == "R", "cancelled").otherwise("pending")
-    return line.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+    if drugs:
+        line = line.join(table(spark, sf_dir, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+    return line.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("order_id"),
         F.col("l_orderkey").cast("string").alias("visit_id"),
-        F.col("p_name").alias("drug_name"),
+        *([F.col("p_name").alias("drug_name")] if drugs else []),
         F.col("l_shipdate").cast("timestamp").alias("order_time"),
         status.alias("status"),
         "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -85,3 +94,12 @@ def master_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         c.select(key.alias("patient_id"), F.concat(F.lit("EMPI-"), F.lpad(key, 8, "0")).alias("empi_id"), F.when(F.col("c_custkey") % 5 != 3, two).otherwise(F.array(entry("his", key))).alias("identifiers")),
         "patient_id",
     )
+
+
+def row_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row events of the change log: an update holds the image before, of the user's event before it, and the image after."""
+    e = table(spark, sf_dir, "events")
+    op = F.when(F.col("event_type") == "signup", "INSERT").when(F.col("event_type") == "error", "DELETE").otherwise("UPDATE")
+    image = lambda event: F.create_map(F.lit("user_id"), F.col("user_id").cast("string"), F.lit("event"), event)
+    last = F.coalesce(F.lag("event_type").over(Window.partitionBy("user_id").orderBy("event_id")), F.lit("none"))
+    return e.select("event_id", op.alias("op_type"), F.array(F.lit("user_id")).alias("keys"), F.when(op == "UPDATE", F.array(image(last), image(F.col("event_type")))).otherwise(F.array(image(F.col("event_type")))).alias("rows"))

@@ -1,23 +1,29 @@
-"""Change streams into a keyed snapshot, once for each change.
+"""Change streams into a keyed table, once for each change.
 
 A micro-batch is decoded, keyed, freed of changes that the ledger holds, reduced to the last change of each
-key, and applied; state and ledger are committed as one version. A batch that runs again finds its changes
-in the ledger and writes nothing.
+key, and written as new files of the buckets that it touches; state and ledger are one commit. A batch that
+runs again finds its changes in the ledger and writes nothing. The cost of a batch follows the batch: of the
+state it reads nothing, of the ledger the days of its changes, and buckets with many files are put together
+one by one. Which version of a key is the last is settled on reading.
 """
 
 from __future__ import annotations
 
 import random
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinlake.operators import changes, versions
-from clinlake.sources.store import Snapshot
+from clinlake.sources.store import Table
 
 POSITION = ("binlog_file", "binlog_pos", "row_seq")
+#: Buckets of the state, and files of a bucket beyond which it is put together.
+BUCKETS, DELTAS = 32, 8
+NO_DAY = "none"
 
 
 def keyed(events: DataFrame) -> DataFrame:
@@ -25,44 +31,73 @@ def keyed(events: DataFrame) -> DataFrame:
     return events.withColumn("idempotency_key", key).withColumn("pk", changes.canonical(F.col("primary_keys")))
 
 
-def apply_batch(snapshot: Snapshot, events: DataFrame, retention_hours: int | None = None) -> int:
-    """Apply change events; returns how many were new. Older changes than a key's state are skipped."""
-    rows = keyed(events)
-    ledger, state = snapshot.read("ledger"), snapshot.read("state")
-    fresh = rows.dropDuplicates(["idempotency_key"]) if ledger is None else versions.unseen(rows, ledger)
-    fresh = fresh.cache()
+def bucket_of(pk: str = "pk", buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(pk), F.lit(buckets)).cast("string")
+
+
+def _day() -> Column:
+    """The part of the ledger: a change that comes again has the same time; changes without a time are a part of their own."""
+    return F.coalesce(F.date_format("source_timestamp", "yyyyMMdd"), F.lit(NO_DAY))
+
+
+def apply_batch(table: Table, events: DataFrame, retention_hours: int | None = None, buckets: int = BUCKETS, deltas: int = DELTAS) -> int:
+    """Apply change events; returns how many were new. A change older than its key's state stays without effect.
+
+    retention_hours: ledger days that ended so long before the latest change are forgotten. Changes without a time are never forgotten.
+    """
+    rows = keyed(events).withColumn("day", _day()).cache()
     try:
+        days = [r.day for r in rows.select("day").distinct().collect()]  # one for each day of a batch
+        ledger = table.read("ledger", set(days))
+        fresh = (rows.dropDuplicates(["idempotency_key"]) if ledger is None else versions.unseen(rows, ledger)).cache()
         n = fresh.count()
         if not n:
             return 0
-        order = list(POSITION)
         # Deleted keys stay as tombstones, so that a change that comes late does not revive them.
-        changed = fresh.select("pk", "op_type", *POSITION, F.coalesce("after", "before").alias("image"))
-        merged = changed if state is None else state.unionByName(changed)
-        seen = fresh.select("idempotency_key", F.col("source_timestamp").alias("applied_at"))
-        seen = seen if ledger is None else ledger.unionByName(seen)
-        if retention_hours is not None:
-            newest = fresh.agg(F.max("source_timestamp")).first()[0]
-            seen = versions.retained(seen, F.lit(newest), retention_hours)
-        snapshot.commit(state=versions.latest(merged, ["pk"], order), ledger=seen)
+        changed = versions.latest(fresh.select("pk", "op_type", *POSITION, F.coalesce("after", "before").alias("image")), ["pk"], POSITION)
+        touched = {r[0] for r in changed.select(bucket_of("pk", buckets)).distinct().collect()}
+        held = [b for _, b in table.files("state", touched)]
+        full = {b for b in touched if held.count(b) >= deltas}
+        if full:
+            changed = versions.latest(table.read("state", full).unionByName(changed), ["pk"], POSITION)
+        seen = fresh.select("idempotency_key", F.col("source_timestamp").alias("applied_at"), "day")
+        old = set()
+        if retention_hours is not None and (newest := fresh.agg(F.max("source_timestamp")).first()[0]) is not None:
+            since = fresh.sparkSession.range(1).select(F.date_format(F.lit(newest) - F.make_dt_interval(F.lit(0), F.lit(retention_hours)), "yyyyMMdd")).first()[0]
+            old = {b for _, b in table.files("ledger") if b != NO_DAY and b < since}
+        table.commit({"state": (changed, bucket_of("pk", buckets)), "ledger": (seen.drop("day"), F.coalesce(F.date_format("applied_at", "yyyyMMdd"), F.lit(NO_DAY)))}, {"state": full, "ledger": old})
+        fresh.unpersist()
         return n
     finally:
-        fresh.unpersist()
+        rows.unpersist()
 
 
-def current(snapshot: Snapshot) -> DataFrame | None:
-    state = snapshot.read("state")
-    return None if state is None else state.filter(F.col("op_type") != "DELETE")
+def current(table: Table) -> DataFrame | None:
+    """The last version of every key that is not deleted."""
+    state = table.read("state")
+    return None if state is None else versions.latest(state, ["pk"], POSITION).filter(F.col("op_type") != "DELETE")
 
 
-def stream(lines: DataFrame, snapshot: Snapshot, checkpoint: str, retention_hours: int | None = None):
-    """Start a query that applies JSON lines (column value) as they come, and stops when none are left."""
+def stream(lines: DataFrame, table: Table, checkpoint: str, retention_hours: int | None = None, every: str | None = None):
+    """Start a query that applies JSON lines (column value). every: an interval such as '1 second', or none to stop when no lines are left."""
 
     def work(batch: DataFrame, _: int) -> None:
         good = changes.parsed(batch, changes.ENVELOPE).filter("ok").select("event.*")
-        apply_batch(snapshot, good, retention_hours)
+        apply_batch(table, good, retention_hours)
+
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    return lines.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def publish(events: DataFrame, topics: Table, source: str, batch: int) -> bool:
+    """Write events (topic, key, value) of a source to their topics, all in one commit. Batches are numbered; one that was committed is not written again.
 
-    return lines.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    Readers of the table see whole transactions only; what an aborted one wrote is not named by any commit.
+    """
+    if topics.marks.get(source, -1) >= batch:
+        return False
+    topics.commit({"messages": (events.withColumn("txn", F.lit(f"{source}-{batch}")), F.col("topic"))}, marks={source: batch}, sort=("key",))
+    return True
 
 
 def kafka(spark: SparkSession, servers: str, topics: list[str], per_batch: int = 500) -> DataFrame:
@@ -104,7 +139,44 @@ def supervise(start: Callable[[], None], policy: Retry, sleep: Callable[[float],
             failed += 1
 
 
-def recovery_plan(snapshot: Snapshot) -> dict:
+class Supervisor:
+    """Several queries at once, each started again after a failure. stop(): no more starts, running ones end within `grace` seconds."""
+
+    def __init__(self, starts: dict[str, Callable], pause: float = 5.0, grace: float = 30.0):
+        self.starts, self.pause, self.grace = starts, pause, grace
+        self.stopping, self.failures, self.running = threading.Event(), dict.fromkeys(starts, 0), {}
+        self.threads = [threading.Thread(target=self._run, args=(name,), daemon=True) for name in starts]
+
+    def _run(self, name: str) -> None:
+        while not self.stopping.is_set():
+            try:
+                self.running[name] = query = self.starts[name]()
+                query.awaitTermination()
+                return
+            except Exception:
+                self.failures[name] += 1
+                self.stopping.wait(self.pause)
+
+    def start(self) -> Supervisor:
+        for t in self.threads:
+            t.start()
+        return self
+
+    def join(self) -> None:
+        for t in self.threads:
+            t.join()
+
+    def stop(self) -> bool:
+        """Whether all have ended in time."""
+        self.stopping.set()
+        for query in list(self.running.values()):
+            query.stop()
+        for t in self.threads:
+            t.join(self.grace)
+        return not any(t.is_alive() for t in self.threads)
+
+
+def recovery_plan(table: Table) -> dict:
     """A fresh start, or a resumption at a version; after a resumption, repeated changes are expected."""
-    now = snapshot.version
+    now = table.version
     return {"fresh": now == 0, "version": now, "may_repeat": now > 0}
