@@ -1,6 +1,6 @@
 """Quality rules from cross-document line frequency, with DataFrame functions only.
 
-Lines are normalised (white space squeezed, A-Z lower-cased by SQL `lower`, digits as 0) and hashed.
+Lines are normalised (white space squeezed, letters of all scripts lower-cased by SQL `lower`, digits as 0) and hashed.
 On each host, the documents that hold a line are counted; exact copies of a text count as one document.
 A line in more documents than the limit is boilerplate and is removed (`cleaned` gives the text that is
 left); a document that loses more than DEPLETED of its words is rejected. The limit is MIN_DOCS documents, or SHARE of the host's documents if
@@ -9,8 +9,11 @@ that is more. Hosts are the values of `source`.
 All of it is decided for each distinct (host, text), which keeps large groups of copies small: they are
 merged in the tasks that read them. Lines of one text are counted once for each text.
 
+Lines, texts and hosts that many rows share are broadcast, as they are few, and other joins are shuffled
+(`common.keyed_join`). The rows of base() are written once, as both sides of such a join read them.
+
 Nulls: a null text has no words and fails the base rules; a null host is a host. Repeated rows are
-judged alike. An empty table gives an empty result. Extra columns are left out.
+judged alike. Very long texts and lines are read whole. An empty table gives an empty result. Extra columns are left out.
 """
 
 from __future__ import annotations
@@ -67,36 +70,39 @@ def normal(line: str) -> str:
 
 
 def text_lines(docs: DataFrame) -> DataFrame:
-    """host, text_hash, line, n_words: the distinct normalised lines of each distinct text of a host, with the words that they hold there."""
+    """host, text_hash, line, n_words, rows: the distinct normalised lines of each distinct text of a host, with the words that they hold there and the rows of the text."""
     lines = rf"transform(filter(split(coalesce(text, ''), '\n', -1), l -> l rlike r'[^{common.SPACE}]'), l -> {normal('l')})"
     marks = F.expr(f"transform({lines}, l -> struct(xxhash64(l) as line, regexp_count(l, '[^ ]+') as n))")
     texts = docs.select(F.col("source").alias("host"), common.text_of().alias("text")).select("host", F.xxhash64("text", F.length("text")).alias("text_hash"), marks.alias("marks"))
-    one = texts.groupBy("host", "text_hash").agg(F.first("marks").alias("marks"))
-    return one.select("host", "text_hash", F.explode("marks").alias("m")).groupBy("host", "text_hash", F.col("m.line").alias("line")).agg(F.sum("m.n").alias("n_words"))
+    one = texts.groupBy("host", "text_hash").agg(F.first("marks").alias("marks"), F.count("*").alias("rows"))
+    each = one.select("host", "text_hash", "rows", F.explode("marks").alias("m")).groupBy("host", "text_hash", F.col("m.line").alias("line"))
+    return each.agg(F.sum("m.n").alias("n_words"), F.first("rows").alias("rows"))
 
 
 def losses(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, depleted: float = DEPLETED, named: bool = False) -> DataFrame:
-    """host, text_hash, gone, depleted of the texts that lose words to lines above the limit; if named, the hashes of these lines."""
+    """host, text_hash, rows, gone, depleted of the texts that lose words to lines above the limit; if named, the hashes of these lines."""
     lines = common.materialize(text_lines(docs), "lines")
-    texts = lines.groupBy("host").agg(F.count_distinct("text_hash").alias("texts"))
+    texts = common.materialize(lines.groupBy(F.col("host").alias("t_host")).agg(F.count_distinct("text_hash").alias("texts"), F.count("*").alias("t_lines")), "hosts")
+    total = lines.count()
+    held = lines.groupBy("host", "line").agg(F.count("*").alias("docs")).filter(F.col("docs") > min_docs)
     limit = F.greatest(F.lit(float(min_docs)), F.col("texts") * share)
-    held = lines.groupBy("host", "line").agg(F.count("*").alias("docs"))
-    same = F.col("host").eqNullSafe(F.col("t_host"))
-    above = held.filter(F.col("docs") > min_docs).join(common.checked_broadcast(texts.withColumnRenamed("host", "t_host")), same).filter(F.col("docs") > limit)
-    above = above.select(F.col("host").alias("a_host"), F.col("line").alias("a_line"))
-    marked = lines.join(common.checked_broadcast(common.materialize(above, "boilerplate")), (F.col("line") == F.col("a_line")) & F.col("host").eqNullSafe(F.col("a_host")), "left")
+    above = common.keyed_join(common.materialize(held, "frequent"), texts, [("host", "t_host")], "t_lines", total, "inner").filter(F.col("docs") > limit)
+    above = common.materialize(above.select(F.col("host").alias("a_host"), F.col("line").alias("a_line"), F.col("docs").alias("a_docs")), "boilerplate")
+    marked = common.keyed_join(lines, above, [("line", "a_line"), ("host", "a_host")], "a_docs", total)
     more = [F.collect_list("a_line").alias("lines")] if named else []
-    lost = marked.groupBy("host", "text_hash").agg(F.sum("n_words").alias("all"), F.sum(F.when(F.col("a_line").isNotNull(), F.col("n_words")).otherwise(0)).alias("gone"), *more)
+    words, gone = F.sum("n_words"), F.sum(F.when(F.col("a_line").isNotNull(), F.col("n_words")).otherwise(0))
+    lost = marked.groupBy("host", "text_hash").agg(words.alias("all"), gone.alias("gone"), F.first("rows").alias("rows"), *more)
     return lost.filter("gone > 0").withColumn("depleted", F.col("gone") > depleted * F.col("all")).drop("all")
 
 
 def _judged(docs: DataFrame, rows: DataFrame, named: bool, limits: dict) -> DataFrame:
     """The rows with boilerplate_words and kept; if named, with the hashes of boilerplate lines in __lines."""
     lost = common.materialize(losses(docs, named=named, **limits), "losses")
-    lost = lost.withColumnsRenamed({"host": "b_host", "text_hash": "b_hash", "lines": "__lines"})
-    judged = rows.join(common.checked_broadcast(lost), (F.col("__hash") == F.col("b_hash")) & F.col("source").eqNullSafe(F.col("b_host")), "left")
+    lost = lost.withColumnsRenamed({"host": "b_host", "text_hash": "b_hash", "lines": "__lines", "rows": "b_rows"})
+    rows = common.materialize(rows, "base")
+    judged = common.keyed_join(rows, lost, [("__hash", "b_hash"), ("source", "b_host")], "b_rows", rows.count())
     judged = judged.withColumn("boilerplate_words", F.coalesce("gone", F.lit(0)).cast("bigint"))
-    return judged.withColumn("kept", ~F.col("base_failed") & ~F.coalesce("depleted", F.lit(False))).drop("__hash", "b_host", "b_hash", "gone", "depleted")
+    return judged.withColumn("kept", ~F.col("base_failed") & ~F.coalesce("depleted", F.lit(False))).drop("__hash", "b_host", "b_hash", "b_rows", "gone", "depleted")
 
 
 def _base(docs: DataFrame) -> DataFrame:

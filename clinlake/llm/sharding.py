@@ -1,7 +1,7 @@
 """Sharding by sampled splitters, with DataFrame functions only.
 
-A record's key is the hash of its text, then the hash of its id and text, so that equal texts stand
-together but a large group of them can be cut. A size-weighted sample of keys gives quantile splitters for many
+A record's key is the hash of its text, then the hash of its id and text, then a number of the row, so that equal
+texts stand together but a large group of them, or of repeated rows, can be cut. A size-weighted sample of keys gives quantile splitters for many
 ranges; the exact bytes of each range are counted, and the ranges in which a shard boundary falls are
 overfull and subdivided by splitters sampled within them. Shards are then runs of whole ranges whose
 bytes come nearest to equal. Law: `bytes`.
@@ -9,8 +9,8 @@ bytes come nearest to equal. Law: `bytes`.
 Within a shard, slots are numbered through slices that grow in number with the rows, so that no task
 orders a whole shard.
 
-Nulls: a null text has no bytes; a null doc_id is an id like others. Repeated rows are hashed alike and fall in
-one place. An empty table gives an empty result. Extra columns are left out.
+Nulls: a null text has no bytes; a null doc_id is an id like others. Repeated rows are records of their own. Very long
+texts are records like others; none is cut. An empty table gives an empty result. Extra columns are left out.
 """
 
 from __future__ import annotations
@@ -68,7 +68,7 @@ def measure(docs: DataFrame) -> DataFrame:
             F.col("doc_id").cast("bigint").alias("doc_id"),
             (F.coalesce(F.octet_length("text"), F.lit(0)) + OVERHEAD).cast("bigint").alias("size"),
             F.crc32(common.text_of().cast("binary")).cast("bigint").alias("text_crc32"),
-            F.concat(digits(F.xxhash64(common.text_of())), digits(F.xxhash64(F.lit(11), F.col("doc_id"), common.text_of()))).alias("key"),
+            F.concat(digits(F.xxhash64(common.text_of())), digits(F.xxhash64(F.lit(11), F.col("doc_id"), common.text_of())), digits(F.monotonically_increasing_id())).alias("key"),
         ),
         "measured",
     )

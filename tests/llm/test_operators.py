@@ -122,7 +122,7 @@ def test_mix(docs, rows, empty):
     assert again.columns == docs.columns
     assert Counter(r.doc_id for r in again.collect()) == Counter({k: v for k, v in ((i, sum(r.copies for r in got if r.doc_id == i)) for i in {r.doc_id for r in got}) if v})
     assert mixing.mix(empty).count() == 0
-    assert mixing.targets([10, 1, 100]) == pytest.approx([20.0, 2.0, 144.5][:3], rel=0.2)
+    assert mixing.targets([10, 1, 100]) == pytest.approx([20.0, 2.0, 144.5])
 
 
 def test_line_quality(docs, rows, empty):
@@ -279,7 +279,7 @@ def test_sharding(docs, rows, empty):
 
 
 def test_language_model(docs, rows, empty):
-    got = language_model.score(docs, most=50, rounds=1).collect()
+    got = language_model.score(docs, most=50).collect()
     tokens = lambda t: [*lower(t).split(), b""]
     c = Counter(w for r in rows if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 7 != 2 for w in tokens(r[1]))
     n, v = sum(c.values()), len(c)
@@ -289,14 +289,7 @@ def test_language_model(docs, rows, empty):
         t = tokens(text[r.doc_id])
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(c[w] > 0 for w in t), n)
         assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t)) and r.score < 0
-    assert language_model.score(empty, rounds=1).count() == 0
-
-
-def test_language_model_is_normalised():
-    m = language_model.Model(3)
-    norm = m.log_norm()
-    p = [10 ** m.log_prob(np.array([5, 9, k]), norm)[2] for k in range(language_model.CLASSES)]
-    assert sum(p) == pytest.approx(1, abs=1e-4)
+    assert language_model.score(empty).count() == 0
 
 
 def test_secrets(spark, empty):
