@@ -3,14 +3,18 @@
 Candidates are runs of at least SHORTEST characters of keys, tokens and hashes that no letter touches, and
 values of at least SHORTEST_VALUE printable characters that are assigned to names of passwords, secrets and
 tokens: up to the closing quote, or to white space if they have no quotes. The forest sees a
-candidate's length, shares of character kinds and transitions between them, how much of it is covered by a
-dictionary (the four-letter pieces of the rest of its text, and a few words of identifiers), the path of
-the document (its source) and the words around it. It is trained in numpy on labelled findings: those
-given, or synthetic ones drawn from a seed (keys, tokens and passwords against long words, numbers,
-checksums, identifiers and placeholders).
-
-Nulls: a null text has no candidates; a null source has no path. Repeated rows give repeated findings.
-An empty table gives an empty result. Extra columns are left out.
+candidate's length, shares of character kinds and transitions between them, how much of it is covered by
+dictionaries (the four-letter pieces of the rest of its text, those of the whole table, and a few words of
+identifiers), the path of the document (its source) and the words around it. It is trained in numpy on
+labelled findings: those given, or synthetic ones drawn from a seed (keys, tokens and passwords against long
+words, numbers, checksums, identifiers and placeholders).
+
+The table's dictionary holds the pieces that stand in at least COMMON of all its texts, outside candidates, so that
+no secret gets into it however often its text is repeated. There are 26**4 pieces, whatever the data: each task
+counts them in one array, and the driver gets one sum a piece. Forests are trained with the dictionary of their findings.
+
+Nulls: a null text has no candidates, and counts as a text without pieces; a null source has no path. Repeated rows
+give repeated findings. Very long texts are counted in blocks. An empty table gives an empty result. Extra columns are left out.
 """
 
 from __future__ import annotations
@@ -32,6 +36,8 @@ SHORTEST, SHORTEST_VALUE = 16, 8
 THRESHOLD = 0.5
 FINDINGS = 4_000
 TREES, DEPTH, LEAF = 30, 9, 4
+#: Least share of texts that makes a piece a part of the table's dictionary, and the number of pieces there are.
+COMMON, PIECES = 0.001, 26**4
 #: Bytes on each side of a candidate whose words count as its neighbours.
 AROUND = 32
 
@@ -128,23 +134,71 @@ def _codes(low: bytes, other: int | None = None) -> np.ndarray:
     return codes[whole] if other is None else np.where(whole, codes, other)
 
 
-def coverage(value: bytes, text: bytes, start: int, stop: int, pieces: Pieces | None = None) -> tuple[float, float]:
-    """Shares of the candidate covered by four-letter pieces of the rest of the text, and by words of identifiers."""
+class Counts:
+    """In how many texts each piece stands outside candidates."""
+
+    def __init__(self):
+        self.texts, self.held, self.last = 0, np.zeros(PIECES, np.int64), np.full(PIECES, -1, np.int64)
+
+    def add(self, text: bytes) -> None:
+        me, at = self.texts, 0
+        self.texts += 1
+        # Candidates part what is beside them; those that overlap part it once.
+        for start, stop in [*candidates(text), (len(text), len(text))]:
+            for low in range(at, start, common.PIECE):
+                found = np.unique(_codes(text[low : min(start, low + common.PIECE + 3)].lower()))
+                found = found[self.last[found] != me]
+                self.last[found] = me
+                self.held[found] += 1
+            at = max(at, stop)
+
+
+def common_pieces(held: np.ndarray, texts: int) -> np.ndarray:
+    """The dictionary as one flag a piece, from the numbers of texts that hold them."""
+    return (held > 0) & (held >= COMMON * texts)
+
+
+def dictionary(docs: DataFrame) -> np.ndarray:
+    """The dictionary of a table, counted over the whole texts of all its rows."""
+    common.tune(docs.sparkSession)
+
+    def run(batches):
+        counts = Counts()
+        for batch in batches:
+            for text in common.byte_rows(batch.column(0)):
+                counts.add(text)
+        at = np.flatnonzero(counts.held)
+        # The number of texts goes along as the piece -1.
+        for piece, n in ((np.array([-1]), np.array([counts.texts])), (at, counts.held[at])):
+            yield pa.record_batch([pa.array(piece, pa.int32()), pa.array(n, pa.int64())], names=["piece", "n"])
+
+    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "piece int, n bigint")
+    sums = rows.groupBy("piece").agg(F.sum("n").alias("n")).toArrow()
+    held = np.zeros(PIECES + 1, np.int64)
+    held[sums.column("piece").to_numpy()] = sums.column("n").to_numpy()
+    return common_pieces(held[:-1], int(held[-1]))
+
+
+def coverage(value: bytes, text: bytes, start: int, stop: int, pieces: Pieces | None = None, known: np.ndarray | None = None) -> tuple[float, float, float]:
+    """Shares of the candidate covered by four-letter pieces of the rest of the text, by words of identifiers, and by
+    pieces of a dictionary; without one, the rest of the text is the dictionary."""
     low = value.lower()
-    hit = np.zeros(len(low), bool)
+    hit, common_hit = np.zeros(len(low), bool), np.zeros(len(low), bool)
     at, found = (pieces or Pieces(text)).outside(text, start, stop)
     for i in at[found]:
         hit[i : i + 4] = True
+    for i in at[found] if known is None else at[known[_codes(low, 0)[at]]]:
+        common_hit[i : i + 4] = True
     word = np.zeros(len(low), bool)
     for w in _DICTIONARY:
         at = low.find(w)
         while at >= 0:
             word[at : at + len(w)] = True
             at = low.find(w, at + 1)
-    return float(hit.mean()), float(word.mean())
+    return float(hit.mean()), float(word.mean()), float(common_hit.mean())
 
 
-def describe(text: bytes, start: int, stop: int, path: str | None, pieces: Pieces | None = None) -> list[float]:
+def describe(text: bytes, start: int, stop: int, path: str | None, pieces: Pieces | None = None, known: np.ndarray | None = None) -> list[float]:
     value = text[start:stop]
     n = len(value)
     kinds = [_kind(c) for c in value]
@@ -155,7 +209,7 @@ def describe(text: bytes, start: int, stop: int, path: str | None, pieces: Piece
     hexes = sum(c in b"0123456789abcdefABCDEF" for c in value) / n
     return [
         float(min(n, 200)), *share, steps, float(-(count * np.log2(count)).sum()), float(count.max()), hexes,
-        float(n in (32, 40, 64, 96, 128)), *coverage(value, text, start, stop, pieces),
+        float(n in (32, 40, 64, 96, 128)), *coverage(value, text, start, stop, pieces, known),
         float(bool(path and _CODE.search(path))), float(bool(path and _TEST_PATH.search(path))),
         float(bool(_HINT.search(before))), float(bool(_ASSIGNED.search(before))), float(bool(_QUOTED.search(before))),
         float(bool(_DIGEST.search(before))), float(bool(_HARMLESS.search(before + value + after))), float(bool(re.match(rb"[A-Z]{3,5}[A-Z0-9]{12,}$|gh[pousr]_|sk-|xox[abp]-|eyJ", value))),
@@ -282,19 +336,27 @@ def labelled_findings(n: int = FINDINGS, seed: int = 0) -> list[tuple[bytes, int
 def train(findings: list[tuple[bytes, int, int, str, int]] | None = None, seed: int = 0) -> Forest:
     """A forest fitted on labelled findings (text, start, stop, path, label)."""
     rows = labelled_findings(seed=seed) if findings is None else findings
-    x = np.array([describe(t, a, b, p) for t, a, b, p, _ in rows])
+    counts = Counts()
+    for text, *_ in rows:
+        counts.add(text)
+    known = common_pieces(counts.held, counts.texts)
+    x = np.array([describe(t, a, b, p, known=known) for t, a, b, p, _ in rows])
     return Forest(seed=seed).fit(x, np.array([y for *_, y in rows], float))
 
 
 FOUND = "doc_id bigint, start int, stop int, value_sha256 string, score double, is_secret boolean"
 
 
-def scan(docs: DataFrame, forest: Forest | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """Every candidate of every text: doc_id, start and stop in code points, a digest of the string, its score and verdict."""
+def scan(docs: DataFrame, forest: Forest | None = None, threshold: float = THRESHOLD, known: np.ndarray | None = None) -> DataFrame:
+    """Every candidate of every text: doc_id, start and stop in code points, a digest of the string, its score and verdict.
+    known: a dictionary that was counted before, in place of the one of docs."""
     common.tune(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(forest or train())  # its size is fixed by TREES and DEPTH
+    known = dictionary(docs) if known is None else known
+    # The size of a forest is fixed by TREES and DEPTH, that of a dictionary by PIECES.
+    shared = docs.sparkSession.sparkContext.broadcast((forest or train(), known))
 
     def run(batches):
+        forest, known = shared.value
         for batch in batches:
             who, where, digest, rows = [], [], [], []
             for doc_id, text, path in zip(batch.column(0).to_pylist(), common.byte_rows(batch.column(1)), batch.column(2).to_pylist()):
@@ -307,8 +369,8 @@ def scan(docs: DataFrame, forest: Forest | None = None, threshold: float = THRES
                     who.append(doc_id)
                     where.append((chars, chars + len(text[start:stop].decode("utf-8", "replace"))))
                     digest.append(hashlib.sha256(text[start:stop]).hexdigest())
-                    rows.append(describe(text, start, stop, path, pieces))
-            score = shared.value.score(np.array(rows))
+                    rows.append(describe(text, start, stop, path, pieces, known))
+            score = forest.score(np.array(rows))
             start, stop = zip(*where) if where else ((), ())
             yield pa.record_batch([pa.array(who, pa.int64()), pa.array(start, pa.int32()), pa.array(stop, pa.int32()), pa.array(digest, pa.string()), pa.array(score, pa.float64()), pa.array(score >= threshold, pa.bool_())], names=["doc_id", "start", "stop", "value_sha256", "score", "is_secret"])
 
