@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clinlake.llm import bpe, chat, exact_dedup, factorisation, language_model, line_quality, mixing, near_dedup, secrets, sharding
+from clinlake.llm import bpe, chat, exact_dedup, factorisation, language_model, line_quality, mixing, near_dedup, secrets, sharding, structure
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_sharding": sharding.query,
     "op9_lm_score": language_model.query,
     "op10_exact_dedup": exact_dedup.query,
+    "op11_conversation_repair": structure.query,
 }
 
 #: BPE, mixing, sharding and the trained models have no SQL: their tests compare them with brute force.
@@ -23,4 +24,5 @@ ORACLES = {
     "op5_near_dedup": near_dedup.ORACLE,
     "op7_chat_format": chat.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
+    "op11_conversation_repair": structure.ORACLE,
 }
