@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clinlake.llm import bpe, chat, exact_dedup, factorisation, language_model, line_quality, mixing, near_dedup, secrets, sharding, structure
+from clinlake.llm import bpe, chat, decontamination, exact_dedup, factorisation, language_model, line_quality, mixing, near_dedup, secrets, sharding, structure
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_lm_score": language_model.query,
     "op10_exact_dedup": exact_dedup.query,
     "op11_conversation_repair": structure.query,
+    "op12_decontamination": decontamination.query,
 }
 
 #: BPE, mixing, sharding and the trained models have no SQL: their tests compare them with brute force.
@@ -25,4 +26,5 @@ ORACLES = {
     "op7_chat_format": chat.ORACLE,
     "op10_exact_dedup": exact_dedup.ORACLE,
     "op11_conversation_repair": structure.ORACLE,
+    "op12_decontamination": decontamination.ORACLE,
 }
