@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clinlake.llm import bpe, chat, decontamination, exact_dedup, factorisation, language_model, line_quality, mixing, near_dedup, secrets, sharding, structure
+from clinlake.llm import bpe, chat, decontamination, exact_dedup, factorisation, language_model, line_quality, mixing, near_dedup, point_in_time, secrets, sharding, structure
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_exact_dedup": exact_dedup.query,
     "op11_conversation_repair": structure.query,
     "op12_decontamination": decontamination.query,
+    "op13_point_in_time": point_in_time.query,
 }
 
 #: BPE, mixing, sharding and the trained models have no SQL: their tests compare them with brute force.
@@ -27,4 +28,5 @@ ORACLES = {
     "op10_exact_dedup": exact_dedup.ORACLE,
     "op11_conversation_repair": structure.ORACLE,
     "op12_decontamination": decontamination.ORACLE,
+    "op13_point_in_time": point_in_time.ORACLE,
 }
