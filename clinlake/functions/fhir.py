@@ -15,6 +15,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clinlake.operators import changes
+
 CDC = "urn:hospital:data-platform:cdc"
 #: The rules of the four resources.
 RULES: dict[str, list[tuple]] = {
@@ -92,7 +94,9 @@ def _transform(value: Column, name: str | None) -> Column:
     text = value.cast("string")
     if name == "toISOString":
         # Texts that name their zone stay as they are, and so do those that are no times.
-        made = F.date_format(text.try_cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+        at = text.try_cast("timestamp")
+        millis = F.lpad(F.floor(F.pmod(F.unix_micros(at), F.lit(1_000_000)) / 1_000).cast("string"), 3, "0")
+        made = changes.utc_text(at, F.concat(F.lit("."), millis))
         return F.when(text.endswith("Z") | text.contains("+"), text).otherwise(F.coalesce(made, text))
     if name == "toDateString":
         return F.substring_index(F.substring_index(text, "T", 1), " ", 1)

@@ -18,7 +18,7 @@ ENVELOPE = T.StructType([
     T.StructField("table", T.StringType()), T.StructField("op_type", T.StringType()), T.StructField("primary_keys", TEXT_MAP),
     T.StructField("before", TEXT_MAP), T.StructField("after", TEXT_MAP), T.StructField("binlog_file", T.StringType()),
     T.StructField("binlog_pos", T.LongType()), T.StructField("row_seq", T.IntegerType()), T.StructField("lsn", T.StringType()),
-    T.StructField("source_timestamp", T.TimestampType()),
+    T.StructField("txn_id", T.StringType()), T.StructField("source_timestamp", T.TimestampType()),
 ])
 
 
@@ -57,10 +57,22 @@ def masked_columns(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     return df.withColumns({f: F.lit(MASK) for f in fields if f in df.columns})
 
 
+def utc_text(instant: Column, fraction: Column) -> Column:
+    """An instant as UTC with Z, whatever the session's zone; fraction: the text of its part of a second."""
+    seconds = F.floor(F.unix_micros(instant) / 1_000_000)
+    of_day = F.pmod(seconds, F.lit(86_400))
+    two = lambda n: F.lpad(n.cast("bigint").cast("string"), 2, "0")
+    day = F.date_from_unix_date(F.floor(seconds / 86_400).cast("int")).cast("string")
+    return F.concat(day, F.lit("T"), two(F.floor(of_day / 3_600)), F.lit(":"), two(F.floor(of_day / 60) % 60), F.lit(":"), two(of_day % 60), fraction, F.lit("Z"))
+
+
 def as_text(column: Column, kind: str) -> Column:
     """A value as the operational store keeps it: text, with true and false, whole numbers exact, and UTC times with
-    the fraction of a second that they have, without trailing zeros (RFC 3339)."""
+    the fraction of a second that they have, without trailing zeros (RFC 3339). A time without a zone (timestamp_ntz) is UTC."""
     if kind == "timestamp":
+        micros = F.pmod(F.unix_micros(column), F.lit(1_000_000)).cast("string")
+        return utc_text(column, F.regexp_replace(F.concat(F.lit("."), F.lpad(micros, 6, "0")), r"\.?0+$", ""))
+    if kind == "timestamp_ntz":
         fraction = F.regexp_replace(F.date_format(column, ".SSSSSS"), r"\.?0+$", "")
         return F.concat(F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit("Z"))
     if kind == "binary":
@@ -126,6 +138,15 @@ def idempotency_key(source: Column, table: Column, op: Column, keys: Column, fil
     return F.sha2(F.concat_ws("|", source, table, op, canonical(keys), file, pos.cast("string"), seq.cast("string")), 256)
 
 
+def event_key(events: DataFrame) -> Column:
+    """The idempotency key of events of any kind of source: with the log sequence number, which is one of its database, and the
+    transaction where there are such."""
+    c = F.col
+    lsn = F.when(c("lsn").isNotNull(), F.concat_ws("/", F.lit("lsn"), F.coalesce("database", F.lit("")), "lsn"))
+    txn = F.when(c("txn_id").isNotNull(), F.concat_ws("/", F.lit("txn"), "txn_id"))
+    return F.sha2(F.concat_ws("|", "source_id", "table", "op_type", canonical(c("primary_keys")), "binlog_file", c("binlog_pos").cast("string"), c("row_seq").cast("string"), lsn, txn), 256)
+
+
 def partition_key(keys: Column, field: Column | str | None = None) -> Column:
     """The value of the configured key field, if the keys have it, or else of the first key by name."""
     first = F.get(F.array_sort(F.map_entries(keys)), 0)["value"]

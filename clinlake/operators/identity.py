@@ -28,7 +28,8 @@ def by_master_id(index: DataFrame, empi_id: str) -> DataFrame:
 
 
 def match_score(name: Column, gender: Column, birth: Column, p_name: Column, p_gender: Column, p_birth: Column) -> Column:
-    """Tenths: equal or contained name, gender, birth date."""
+    """Tenths: equal or contained name, gender, birth date. What is empty on either side does not count."""
+    name, gender, birth, p_name, p_gender, p_birth = (F.nullif(c, F.lit("")) for c in (name, gender, birth, p_name, p_gender, p_birth))
     part = p_name.contains(name) | name.contains(p_name)
     points = lambda ok, n: F.when(ok, n).otherwise(0)
     return F.when(name == p_name, NAME).when(part, NAME_PART).otherwise(0) + points(gender == p_gender, GENDER) + points(birth == p_birth, BIRTH)
@@ -60,10 +61,11 @@ def fuzzy(queries: DataFrame, persons: DataFrame) -> DataFrame:
     No pair reaches the limit without an equal birth date, an equal name, or a contained name and an equal
     gender. All three are equi-joins: for the last, names meet in the rarest piece of three letters of the shorter one,
     so a name gives a few rows for each of its letters. Persons of a query's birth date are matches by definition, so
-    they are all in the result.
+    they are all in the result. Empty values are as missing ones.
     """
-    p = persons.select("empi_id", F.col("name").alias("p_name"), F.col("gender").alias("p_gender"), F.col("birth_date").alias("p_birth"))
-    q = queries.select("query_id", "q_name", "q_gender", "q_birth")
+    said = lambda c: F.nullif(F.col(c), F.lit(""))
+    p = persons.select("empi_id", said("name").alias("p_name"), said("gender").alias("p_gender"), said("birth_date").alias("p_birth"))
+    q = queries.select("query_id", *[said(c).alias(c) for c in ("q_name", "q_gender", "q_birth")])
     count = lambda df, name: df.select(F.explode(_grams(name)).alias("__g")).groupBy("__g").agg(F.count("*").alias("__n"))
     pairs = q.join(p, F.col("q_birth") == F.col("p_birth")).unionByName(q.join(p, F.col("q_name") == F.col("p_name")))
     pairs = pairs.unionByName(_inside(q, "q_name", "q_gender", p, "p_name", "p_gender", count(p, "p_name"))).unionByName(_inside(p, "p_name", "p_gender", q, "q_name", "q_gender", count(q, "q_name")))

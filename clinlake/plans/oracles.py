@@ -26,7 +26,34 @@ LINES = """lines AS (SELECT event_id, CASE event_id % 10 WHEN 3 THEN 'bad' WHEN
 LAT = "lat AS (SELECT event_id, event_type, (event_id * 7919) % 4000 AS ms FROM events)"
 META = '"meta":{"source":"urn:hospital:data-platform:cdc"}'
 
+EVERYTHING = f"""WITH {LATEST}, {VISITS}, {PATIENTS}, e AS (
+        SELECT patient_id, 0 AS r, 'Patient' AS kind, patient_id AS id, 'match' AS search_mode,
+          '{{"resourceType":"Patient","id":"' || patient_id || '","identifier":[{{"system":"urn:hospital:his:patient-id","value":"' || patient_id || '"}},{{"system":"urn:hospital:empi"' || CASE WHEN k % 4 <> 0 THEN ',"value":"EMPI-' || lpad(patient_id, 8, '0') || '"' ELSE '' END
+          || '}}],"name":[{{"use":"official","text":"' || name || '"}}],"gender":"' || CASE gender WHEN 'M' THEN 'male' ELSE 'female' END || '","birthDate":"' || birth_date || '","address":[{{"use":"home","text":"' || address || '"}}],{META}}}' AS resource FROM patients
+        UNION ALL SELECT patient_id, 1, 'Encounter', visit_id, 'include',
+          '{{"resourceType":"Encounter","id":"' || visit_id || '","identifier":[{{"system":"urn:hospital:his:visit-id","value":"' || visit_id || '"}}],"status":"' || CASE WHEN discharge_time IS NULL THEN 'in-progress' ELSE 'finished' END
+          || '","class":{{"system":"http://terminology.hl7.org/CodeSystem/v3-ActCode","code":"' || CASE visit_type WHEN 'outpatient' THEN 'AMB' WHEN 'inpatient' THEN 'IMP' ELSE 'EMER' END || '","display":"' || visit_type || '"}},"subject":{{"reference":"Patient/' || patient_id
+          || '"}},"period":{{"start":"' || strftime(admit_time, '%Y-%m-%dT%H:%M:%S.000Z') || '"' || coalesce(',"end":"' || strftime(discharge_time, '%Y-%m-%dT%H:%M:%S.000Z') || '"', '') || '}},"reasonCode":[{{"text":"' || diagnosis || '"}}],"serviceProvider":{{"display":"' || dept || '"}},{META}}}' FROM visits
+        UNION ALL SELECT v.patient_id, 2, 'MedicationRequest', order_id, 'include',
+          '{{"resourceType":"MedicationRequest","id":"' || order_id || '","identifier":[{{"system":"urn:hospital:his:order-id","value":"' || order_id || '"}}],"status":"' || CASE status WHEN 'executed' THEN 'completed' WHEN 'pending' THEN 'active' ELSE 'cancelled' END
+          || '","intent":"order","medicationCodeableConcept":{{"text":"' || drug_name || '"}},"subject":{{"reference":"Patient/' || v.patient_id || '"}},"encounter":{{"reference":"Encounter/' || l.visit_id || '"}},"authoredOn":"' || strftime(order_time, '%Y-%m-%dT%H:%M:%S.000Z') || '",{META}}}'
+          FROM latest l JOIN visits v ON l.visit_id = v.visit_id
+        UNION ALL SELECT CAST(user_id AS VARCHAR), 3, 'DiagnosticReport', CAST(event_id AS VARCHAR), 'include',
+          '{{"resourceType":"DiagnosticReport","id":"' || event_id || '","identifier":[{{"system":"urn:hospital:lis:result-id","value":"' || event_id || '"}}],"status":"final","category":[{{"coding":[{{"system":"http://terminology.hl7.org/CodeSystem/v2-0074","code":"LAB"}}]}}],"code":{{"coding":[{{"code":"' || event_type
+          || '","display":"' || upper(event_type[1]) || event_type[2:] || '"}}]}},"subject":{{"reference":"Patient/' || user_id || '"}},"effectiveDateTime":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z","result":[{{"display":"' || upper(event_type[1]) || event_type[2:] || '"}}],"conclusion":"' || CASE WHEN value > 50 THEN '异常' ELSE '正常' END || '",{META}}}' FROM events)
+      SELECT patient_id, CAST(row_number() OVER (PARTITION BY patient_id ORDER BY r, id) AS INTEGER) AS position, kind, id, search_mode, resource, count(*) OVER (PARTITION BY patient_id) AS total FROM e WHERE patient_id IN (SELECT patient_id FROM patients)"""
+
+MIXED = """mixed AS (
+  SELECT 'ods_his_users' AS target, CAST(user_id AS VARCHAR) AS id, CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'error' THEN 'DELETE' ELSE 'UPDATE' END AS op_type, event_type AS event, event_id AS n FROM events
+  UNION ALL SELECT 'ods_crm_clients', CAST(client_id AS VARCHAR), CASE op WHEN 'I' THEN 'INSERT' WHEN 'D' THEN 'DELETE' ELSE 'UPDATE' END, segment, change_id FROM client_changes
+  UNION ALL SELECT 'ods_shop_clients', CAST(client_id AS VARCHAR), 'INSERT', segment, client_id FROM clients
+), last AS (SELECT target, id, op_type, event FROM mixed QUALIFY row_number() OVER (PARTITION BY target, id ORDER BY n DESC) = 1), kept AS (SELECT * FROM last WHERE op_type <> 'DELETE')"""
+
 SQL = {
+    "apply_many_tables": f"WITH {MIXED} SELECT * FROM kept",
+    "apply_levels": f"WITH {MIXED} SELECT target, event, count(*) AS keys FROM kept GROUP BY ALL",
+    "stream_state": f"WITH {MIXED} SELECT * FROM kept",
+    "stream_clicks_once": "SELECT click_id, client_id, kind, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, sha256(props) AS props FROM (SELECT DISTINCT * FROM clicks WHERE arrived_at IS NOT NULL)",
     "visit_wide": f"WITH {WIDE} SELECT * FROM wide",
     "dept_daily_visits": f"WITH {DAILY} SELECT * FROM daily",
     "drug_daily_orders": f"WITH {DRUGS} SELECT * FROM drugs",
@@ -97,22 +124,10 @@ SQL = {
     "reconcile_counts": f"WITH {VISITS} SELECT dept, count(*) AS source_rows, count(*) FILTER (WHERE k % 50 <> 0) AS target_rows, count(*) = count(*) FILTER (WHERE k % 50 <> 0) AS equal FROM visits GROUP BY dept",
     "reconcile_rows": f"WITH {VISITS} SELECT visit_id, dept, visit_type FROM visits WHERE k % 97 = 0",
     "name_prefix_filter": "SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_name LIKE 'Customer#00000001%'",
-    "everything_bundle": f"""WITH {LATEST}, {VISITS}, {PATIENTS}, e AS (
-        SELECT patient_id, 0 AS r, 'Patient' AS kind, patient_id AS id, 'match' AS search_mode,
-          '{{"resourceType":"Patient","id":"' || patient_id || '","identifier":[{{"system":"urn:hospital:his:patient-id","value":"' || patient_id || '"}},{{"system":"urn:hospital:empi"' || CASE WHEN k % 4 <> 0 THEN ',"value":"EMPI-' || lpad(patient_id, 8, '0') || '"' ELSE '' END
-          || '}}],"name":[{{"use":"official","text":"' || name || '"}}],"gender":"' || CASE gender WHEN 'M' THEN 'male' ELSE 'female' END || '","birthDate":"' || birth_date || '","address":[{{"use":"home","text":"' || address || '"}}],{META}}}' AS resource FROM patients
-        UNION ALL SELECT patient_id, 1, 'Encounter', visit_id, 'include',
-          '{{"resourceType":"Encounter","id":"' || visit_id || '","identifier":[{{"system":"urn:hospital:his:visit-id","value":"' || visit_id || '"}}],"status":"' || CASE WHEN discharge_time IS NULL THEN 'in-progress' ELSE 'finished' END
-          || '","class":{{"system":"http://terminology.hl7.org/CodeSystem/v3-ActCode","code":"' || CASE visit_type WHEN 'outpatient' THEN 'AMB' WHEN 'inpatient' THEN 'IMP' ELSE 'EMER' END || '","display":"' || visit_type || '"}},"subject":{{"reference":"Patient/' || patient_id
-          || '"}},"period":{{"start":"' || strftime(admit_time, '%Y-%m-%dT%H:%M:%S.000Z') || '"' || coalesce(',"end":"' || strftime(discharge_time, '%Y-%m-%dT%H:%M:%S.000Z') || '"', '') || '}},"reasonCode":[{{"text":"' || diagnosis || '"}}],"serviceProvider":{{"display":"' || dept || '"}},{META}}}' FROM visits
-        UNION ALL SELECT v.patient_id, 2, 'MedicationRequest', order_id, 'include',
-          '{{"resourceType":"MedicationRequest","id":"' || order_id || '","identifier":[{{"system":"urn:hospital:his:order-id","value":"' || order_id || '"}}],"status":"' || CASE status WHEN 'executed' THEN 'completed' WHEN 'pending' THEN 'active' ELSE 'cancelled' END
-          || '","intent":"order","medicationCodeableConcept":{{"text":"' || drug_name || '"}},"subject":{{"reference":"Patient/' || v.patient_id || '"}},"encounter":{{"reference":"Encounter/' || l.visit_id || '"}},"authoredOn":"' || strftime(order_time, '%Y-%m-%dT%H:%M:%S.000Z') || '",{META}}}'
-          FROM latest l JOIN visits v ON l.visit_id = v.visit_id
-        UNION ALL SELECT CAST(user_id AS VARCHAR), 3, 'DiagnosticReport', CAST(event_id AS VARCHAR), 'include',
-          '{{"resourceType":"DiagnosticReport","id":"' || event_id || '","identifier":[{{"system":"urn:hospital:lis:result-id","value":"' || event_id || '"}}],"status":"final","category":[{{"coding":[{{"system":"http://terminology.hl7.org/CodeSystem/v2-0074","code":"LAB"}}]}}],"code":{{"coding":[{{"code":"' || event_type
-          || '","display":"' || upper(event_type[1]) || event_type[2:] || '"}}]}},"subject":{{"reference":"Patient/' || user_id || '"}},"effectiveDateTime":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z","result":[{{"display":"' || upper(event_type[1]) || event_type[2:] || '"}}],"conclusion":"' || CASE WHEN value > 50 THEN '异常' ELSE '正常' END || '",{META}}}' FROM events)
-      SELECT patient_id, CAST(row_number() OVER (PARTITION BY patient_id ORDER BY r, id) AS INTEGER) AS position, kind, id, search_mode, resource, count(*) OVER (PARTITION BY patient_id) AS total FROM e WHERE patient_id IN (SELECT patient_id FROM patients)""",
+    "everything_bundle": EVERYTHING,
+    "bundle_pages": f"""SELECT patient_id, CAST((position - 1) // 1000 + 1 AS INTEGER) AS page, any_value(total) AS total,
+      '{{"resourceType":"Bundle","type":"searchset","total":' || any_value(total) || ',"timestamp":"2024-02-01T00:00:00.000Z","entry":[' || string_agg('{{"resource":' || resource || ',"search":{{"mode":"' || search_mode || '"}}}}', ',' ORDER BY position) || ']}}' AS bundle
+      FROM ({EVERYTHING}) GROUP BY ALL""",
     "cdc_row_events": "SELECT event_id, CAST(0 AS INTEGER) AS row_seq, CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'error' THEN 'DELETE' ELSE 'UPDATE' END AS op_type, CAST(user_id AS VARCHAR) AS pk, CASE WHEN event_type = 'error' THEN event_type WHEN event_type <> 'signup' THEN coalesce(lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id), 'none') END AS before_event, CASE WHEN event_type <> 'error' THEN event_type END AS after_event FROM events",
     "cdc_lsn_bounds": "SELECT min(lpad(upper(to_hex(event_id // 4)), 20, '0')) AS min_lsn, max(lpad(upper(to_hex(event_id // 4)), 20, '0')) AS max_lsn FROM events",
     "cdc_key_columns": "SELECT * FROM (VALUES ('dbo', 'lab_results', 'result_id'), ('his', 'visits', 'patient_id,visit_id')) t(table_schema, table_name, key_columns)",

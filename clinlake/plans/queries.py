@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -30,14 +31,33 @@ def at(text: str) -> Column:
     return F.lit(text).cast("timestamp")
 
 
+_made: list[tuple] = []
+
+
 def scratch(s, name: str) -> str:
-    """A new folder in the one that all executors share; a temporary one in local mode, as in tests."""
+    """A new folder in the one that all executors share; a temporary one in local mode, as in tests. `release` deletes it."""
     base = s.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not s.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/clinlake-{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/clinlake-{name}-{uuid.uuid4().hex}"
+    _made.append((s, path))
+    return path
+
+
+def release() -> None:
+    """Delete the scratch folders so far; results that read them must have been written before. Called at exit too."""
+    while _made:
+        s, path = _made.pop()
+        try:
+            where = s._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(s._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception:  # the session may have ended
+            return
+
+
+atexit.register(release)
 
 
 def _patients(s, d):
@@ -198,7 +218,7 @@ def mask_fields(s, d):
 
 def normalize_text(s, d):
     o = src.table(s, d, "orders")
-    return o.select(changes.as_text(F.col("o_orderkey") * 1000000, "bigint").alias("id"), changes.as_text(F.col("o_orderdate").cast("timestamp"), "timestamp").alias("at"), changes.as_text(F.col("o_orderstatus") == "F", "boolean").alias("final"))
+    return o.select(changes.as_text(F.col("o_orderkey") * 1000000, "bigint").alias("id"), changes.as_text(F.col("o_orderdate").cast("timestamp_ntz"), "timestamp_ntz").alias("at"), changes.as_text(F.col("o_orderstatus") == "F", "boolean").alias("final"))
 
 
 def route_topic(s, d):
@@ -257,6 +277,81 @@ def apply_changes(s, d):
     return state.select(F.get_json_object("pk", "$.user_id").alias("pk"), "op_type", "binlog_pos", F.col("image")["event"].alias("event"))
 
 
+def _thirds(log: DataFrame) -> list[DataFrame]:
+    """A log in two batches that overlap and are not in order."""
+    third = F.col("n") % 3
+    return [log.filter(third != 0), log.filter(third != 1)]
+
+
+def _targets(state: DataFrame) -> DataFrame:
+    from clinlake.streaming import apply
+
+    return state.select(apply.target().alias("target"), F.get_json_object("pk", "$.id").alias("id"), "op_type", F.col("image")["event"].alias("event"))
+
+
+def apply_many_tables(s, d):
+    """Changes of three tables with equal keys, one of them with log sequence numbers only, in two batches: each batch is one commit of all targets."""
+    from clinlake.sources.store import Table
+    from clinlake.streaming import apply
+
+    table = Table(s, scratch(s, "many"))
+    for batch in _thirds(src.mixed_log(s, d)):
+        apply.apply_batch(table, batch)
+    state = apply.current(table)
+    return _targets(src.mixed_log(s, d).limit(0).selectExpr("*", "'' as pk", "after as image") if state is None else state)
+
+
+def apply_levels(s, d):
+    """The mixed log in six batches, by state that is put together by size, and what each target's state has in the end."""
+    from clinlake.sources.store import Table
+    from clinlake.streaming import apply
+
+    table, log = Table(s, scratch(s, "levels")), src.mixed_log(s, d).cache()
+    for k in range(6):
+        apply.apply_batch(table, log.filter(F.pmod("n", F.lit(6)) == (k * 5) % 6), buckets=1, deltas=3, task_rows=500)
+    log.unpersist()
+    keys = [F.col("image")["event"].alias("event"), apply.target().alias("target")]
+    return apply.current(table).select(*keys).groupBy("target", "event").agg(F.count("*").alias("keys"))
+
+
+def _lines_of(log: DataFrame) -> DataFrame:
+    from clinlake.operators.changes import ENVELOPE
+
+    held = log.withColumns({f.name: F.lit(None).cast(f.dataType) for f in ENVELOPE if f.name not in log.columns}).withColumn("event_id", F.uuid())
+    return held.select(F.to_json(F.struct(*ENVELOPE.fieldNames())).alias("value"))
+
+
+def stream_state(s, d):
+    """The mixed log as lines through a stream that is stopped and started again in mid-stream, its repeated changes known by the stream's own state."""
+    from clinlake.sources.store import Table
+    from clinlake.streaming import apply
+
+    base = scratch(s, "stream")
+    table = Table(s, f"{base}/table")
+    for batch in _thirds(src.mixed_log(s, d)):
+        _lines_of(batch).write.mode("append").text(f"{base}/in")
+        apply.stream_deduplicated(s.readStream.text(f"{base}/in"), table, f"{base}/checkpoint").awaitTermination()
+    return _targets(apply.current(table))
+
+
+def stream_clicks_once(s, d):
+    """Clicks in three deliveries by arrival, of which each repeats days of the one before, through one stream that is started for each."""
+    from clinlake.streaming import dedup
+
+    base = scratch(s, "clicks")
+    clicks = src.table(s, d, "clicks")
+    for since, until in (("2000-01-01", "2024-02-10"), ("2024-02-05", "2024-03-20"), ("2024-03-15", "2100-01-01")):
+        at = F.col("arrived_at")
+        clicks.filter((at >= F.lit(since).cast("timestamp_ntz")) & (at < F.lit(until).cast("timestamp_ntz"))).write.mode("append").parquet(f"{base}/in")
+        rows = s.readStream.schema(clicks.schema).parquet(f"{base}/in")
+        whole = F.sha2(F.to_json(F.struct(*clicks.columns), {"ignoreNullFields": "false"}), 256)
+        first = dedup.first_only(rows.withColumn("row", whole), ["row"]).drop("row")
+        query = first.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").option("path", f"{base}/out").trigger(availableNow=True).start()
+        query.awaitTermination()
+    out = s.read.schema(clicks.schema).parquet(f"{base}/out")
+    return out.select("click_id", "client_id", "kind", second("ts").alias("ts"), F.sha2("props", 256).alias("props"))
+
+
 def upsert_merge(s, d):
     fields = ["pk", "event", "pos"]
     flat = lambda x: x.select("pk", "op_type", F.coalesce(F.col("after"), F.col("before"))["event"].alias("event"), F.col("binlog_pos").alias("pos"))
@@ -436,9 +531,21 @@ def everything_entries(s, d):
     for rank, (kind, df) in enumerate([("Encounter", _fhir_visits(s, d)), ("MedicationRequest", _fhir_orders(s, d)), ("DiagnosticReport", src.lab_results(s, d))], 1):
         out = out.unionByName(entry(df, kind, rank, "include"))
     out = out.join(src.patients(s, d).select(F.col("patient_id").cast("string").alias("patient_id")), "patient_id", "left_semi")
-    totals = out.groupBy(F.col("patient_id").alias("t_id")).agg(F.count("*").alias("total"))
+    # Positions and totals come from one pass over the entries.
     position = F.row_number().over(Window.partitionBy("patient_id").orderBy("rank", "id"))
-    return out.withColumn("position", position).join(totals, F.col("patient_id") == F.col("t_id")).select("patient_id", "position", "kind", "id", "search_mode", "resource", "total")
+    total = F.count("*").over(Window.partitionBy("patient_id"))
+    return out.withColumns({"position": position, "total": total}).select("patient_id", "position", "kind", "id", "search_mode", "resource", "total")
+
+
+def bundle_pages(s, d, size: int = 1_000, timestamp: str = "2024-02-01T00:00:00.000Z"):
+    """Bundle objects of every patient as JSON: resourceType, type, total, timestamp, entry. A bundle has `size` entries at most; patients with more have several pages."""
+    page = F.floor((F.col("position") - 1) / size).cast("int")
+    # Resources are JSON already, so a bundle is put together as text.
+    entry = F.concat(F.lit('{"resource":'), F.col("resource"), F.lit(',"search":{"mode":"'), F.col("search_mode"), F.lit('"}}'))
+    held = everything_entries(s, d).select("patient_id", (page + 1).alias("page"), "total", F.struct("position", entry.alias("entry")).alias("e"))
+    one = held.groupBy("patient_id", "page").agg(F.first("total").alias("total"), F.array_sort(F.collect_list("e")).alias("es"))
+    head = F.concat(F.lit('{"resourceType":"Bundle","type":"searchset","total":'), F.col("total").cast("string"), F.lit(f',"timestamp":"{timestamp}","entry":['))
+    return one.select("patient_id", "page", "total", F.concat(head, F.array_join(F.col("es.entry"), ","), F.lit("]}")).alias("bundle"))
 
 
 def patient_everything(s, d):
@@ -497,8 +604,9 @@ def cdc_key_columns(s, d):
 
 def normalize_time(s, d):
     e = src.table(s, d, "events")
-    shown = F.col("ts").cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("event_id") % 4 * 250).cast("decimal(18,6)") / 1000)
-    return e.select("event_id", changes.as_text(F.date_trunc("second", F.col("ts").cast("timestamp")) + (shown - F.col("ts").cast("timestamp")), "timestamp").alias("at"))
+    stored = F.date_trunc("second", F.col("ts").cast("timestamp_ntz")).cast("timestamp_ntz")
+    shown = stored + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("event_id") % 4 * 250).cast("decimal(18,6)") / 1000)
+    return e.select("event_id", changes.as_text(shown, "timestamp_ntz").alias("at"))
 
 
 def ods_auto_create(s, d):
@@ -571,6 +679,7 @@ NAMES = (
     "report_visit_wide topk_dept topk_drug uniq_exact uniq_approx empi_resolve empi_by_id empi_fuzzy_match access_check access_field_filter fhir_patient fhir_encounter "
     "fhir_medication_request fhir_diagnostic_report fhir_bundle patient_everything duplicate_pks reconcile_counts reconcile_rows name_prefix_filter "
     "everything_bundle cdc_row_events cdc_lsn_bounds cdc_key_columns normalize_time ods_auto_create olap_typed route_configured distinct_topics empi_ranked list_users fhir_numbers "
-    "seed_patients seed_visits seed_orders seed_labs"
+    "seed_patients seed_visits seed_orders seed_labs "
+    "apply_many_tables apply_levels stream_state stream_clicks_once bundle_pages"
 ).split()
 QUERIES = {name: globals()[name] for name in NAMES}

@@ -84,16 +84,37 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change events of three tables in one log, whose primary keys are alike: users of one server and clients of another, each with
+    places in log files, and clients of a third, with log sequence numbers only and with repeated changes. n: a number of the change."""
+    key = lambda c: F.create_map(F.lit("id"), F.col(c).cast("string"))
+    null = lambda kind: F.lit(None).cast(kind)
+    users = change_log(spark, sf_dir).withColumns({"primary_keys": F.create_map(F.lit("id"), F.col("primary_keys")["user_id"]), "lsn": null("string"), "n": F.col("binlog_pos")})
+    changed = table(spark, sf_dir, "client_changes")
+    op = F.when(F.col("op") == "I", "INSERT").when(F.col("op") == "D", "DELETE").otherwise("UPDATE")
+    image = F.create_map(F.lit("id"), F.col("client_id").cast("string"), F.lit("event"), F.col("segment"), F.lit("city"), F.col("city"))
+    numbered = changed.select(
+        F.lit("crm_sqlserver_01").alias("source_id"), F.lit("crm").alias("database"), F.lit("Clients").alias("table"), op.alias("op_type"), key("client_id").alias("primary_keys"),
+        F.when(op != "DELETE", image).alias("after"), F.when(op == "DELETE", image).alias("before"), null("string").alias("binlog_file"), null("bigint").alias("binlog_pos"), F.lit(0).alias("row_seq"),
+        F.col("valid_at").cast("timestamp").alias("source_timestamp"), F.lpad(F.hex("change_id"), 20, "0").alias("lsn"), F.col("change_id").alias("n"),
+    )
+    held = table(spark, sf_dir, "clients")
+    image = F.create_map(F.lit("id"), F.col("client_id").cast("string"), F.lit("event"), F.col("segment"), F.lit("name"), F.col("name"))
+    clients = held.select(
+        F.lit("shop_mysql_02").alias("source_id"), F.lit("shop").alias("database"), F.lit("Clients").alias("table"), F.lit("INSERT").alias("op_type"), key("client_id").alias("primary_keys"),
+        image.alias("after"), null("map<string,string>").alias("before"), F.lit("bin.000007").alias("binlog_file"), F.col("client_id").alias("binlog_pos"), F.lit(0).alias("row_seq"),
+        F.col("updated_at").cast("timestamp").alias("source_timestamp"), null("string").alias("lsn"), F.col("client_id").alias("n"),
+    )
+    return users.unionByName(numbered).unionByName(clients)
+
+
 def master_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Persons with identifiers of one or two source systems."""
-    c = table(spark, sf_dir, "customer")
-    key = F.col("c_custkey").cast("string")
+    key = F.col("patient_id")
     entry = lambda system, value: F.struct(F.lit(system).alias("system"), value.alias("value"))
     two = F.array(entry("his", key), entry("lis", F.concat(F.lit("L"), key)))
-    return patients(spark, sf_dir).join(
-        c.select(key.alias("patient_id"), F.concat(F.lit("EMPI-"), F.lpad(key, 8, "0")).alias("empi_id"), F.when(F.col("c_custkey") % 5 != 3, two).otherwise(F.array(entry("his", key))).alias("identifiers")),
-        "patient_id",
-    )
+    known = F.when(key.cast("bigint") % 5 != 3, two).otherwise(F.array(entry("his", key)))
+    return patients(spark, sf_dir).withColumns({"empi_id": F.concat(F.lit("EMPI-"), F.lpad(key, 8, "0")), "identifiers": known})
 
 
 def row_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,94 +1,205 @@
-"""Change streams into a keyed table, once for each change.
+"""Change streams into keyed tables, once for each change.
 
 A micro-batch is decoded, keyed, freed of changes that the ledger holds, reduced to the last change of each
-key, and written as new files of the buckets that it touches; state and ledger are one commit. A batch that
-runs again finds its changes in the ledger and writes nothing. The cost of a batch follows the batch: of the
-state it reads nothing, of the ledger the days of its changes, and buckets with many files are put together
-one by one. Which version of a key is the last is settled on reading.
+key, and written as new runs of the targets and buckets that it touches; the states of all targets and the ledger are one
+commit. A batch that runs again finds its changes in the ledger and writes nothing.
+
+A key is source, database, table and primary key; its target is the table `ods_` database and table, which is a part of
+the state of its own. A change is known by its source, table, operation, keys and position: log file and place with the
+row's sequence, or the log sequence number of its database, and the transaction if it is named.
+
+The cost of a batch follows the batch: a run of the ledger names its first and last day, and the runs are read whose days meet those of the
+batch; of the state it reads the runs that are put together, by size (`store.to_merge`), so that a row is written again once for each power of the fan-out; large runs are
+written by several tasks. Which version of a key is the last is settled on reading.
 """
 
 from __future__ import annotations
 
 import random
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinlake.operators import changes, versions
-from clinlake.sources.store import Table
-
-POSITION = ("binlog_file", "binlog_pos", "row_seq")
-#: Buckets of the state, and files of a bucket beyond which it is put together.
-BUCKETS, DELTAS = 32, 8
+from clinlake.sources.store import TASK_ROWS, Table, to_merge
+
+#: Where a change stands: in a log file, or by sequence number. Sources have one or the other.
+POSITION = ("binlog_file", "binlog_pos", "lsn", "row_seq")
+KEY = ("source_id", "database", "table", "pk")
+#: Buckets of a target's state, and how many runs of about one size a bucket may not have.
+BUCKETS, FANOUT = 8, 4
+#: The same for the ledger, whose runs are narrow in time if they are put together seldom.
+LEDGER_FANOUT = 8
 NO_DAY = "none"
 
 
 def keyed(events: DataFrame) -> DataFrame:
-    key = changes.idempotency_key(*[F.col(c) for c in ("source_id", "table", "op_type", "primary_keys", *POSITION)])
+    """Events with all columns of the envelope that identify them, their idempotency key, and pk."""
+    lacking = {f.name: F.lit(None).cast(f.dataType) for f in changes.ENVELOPE if f.name not in events.columns}
+    events = events.withColumns(lacking) if lacking else events
+    key = changes.event_key(events)
     return events.withColumn("idempotency_key", key).withColumn("pk", changes.canonical(F.col("primary_keys")))
 
 
-def bucket_of(pk: str = "pk", buckets: int = BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(pk), F.lit(buckets)).cast("string")
+def target() -> Column:
+    return changes.target_table(F.coalesce("database", F.lit("")), F.coalesce("table", F.lit("")))
+
+
+def bucket_of(buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*KEY), F.lit(buckets)).cast("string")
+
+
+def _meets(bucket: str, first: str | None, last: str | None, untimed: bool) -> bool:
+    """Whether a ledger run can hold a change of these days. A change that comes again has the same time; changes without a time are runs of their own."""
+    if bucket == NO_DAY:
+        return untimed
+    since, _, until = bucket.partition("-")
+    return first is not None and since <= last and first <= until
+
+
+def _merging(table: Table, part: str, counts: Mapping[tuple[str, str], int], fanout: int) -> tuple[set[str], dict[tuple[str, str], int]]:
+    """Paths of the runs that are put together with the new rows, and the rows of each (part, bucket) after that, at most."""
+    held: dict[tuple[str, str], list] = {}
+    for p, b, path, n in table.runs(part):
+        held.setdefault((p, b), []).append((path, n))
+    paths, sizes = set(), dict(counts)
+    for key, n in counts.items():
+        mine = to_merge(held.get(key, []), n, fanout)
+        paths |= mine
+        sizes[key] += sum(rows for path, rows in held.get(key, []) if path in mine)
+    return paths, sizes
+
+
+def _split(sizes: Mapping[tuple[str, str], int], part: Column, bucket: Column, key: Column, rows: int) -> Column:
+    """The task of a bucket that writes a row: buckets with many rows have several."""
+    tasks = {f"{p}|{b}": -(-n // rows) for (p, b), n in sizes.items() if n > rows}
+    if not tasks:
+        return F.lit(0)
+    known = F.create_map(*[F.lit(x) for pair in tasks.items() for x in pair])
+    return F.pmod(F.xxhash64(key, F.lit(1)), F.coalesce(F.try_element_at(known, F.concat_ws("|", part, bucket)), F.lit(1)))
+
+
+def _changed(table: Table, fresh: DataFrame, buckets: int, fanout: int, task_rows: int) -> tuple[tuple, set[str]]:
+    """What a commit adds to the state for changes, and the runs that it drops for that."""
+    # Deleted keys stay as tombstones, so that a change that comes late does not revive them.
+    last = versions.latest(fresh.select(*KEY, "op_type", *POSITION, F.coalesce("after", "before").alias("image")), KEY, POSITION)
+    counts = {(f"state/{r.t}", r.b): r["count"] for r in last.groupBy(target().alias("t"), bucket_of(buckets).alias("b")).count().collect()}  # targets and buckets of a batch
+    old, sizes = _merging(table, "state", counts, fanout)
+    if old:
+        last = versions.latest(table.read_runs(old).unionByName(last), KEY, POSITION)
+    return (last, bucket_of(buckets), target(), _split(sizes, F.concat(F.lit("state/"), target()), bucket_of(buckets), F.col("pk"), task_rows), None if old else sizes), old
+
 
+def apply_once(table: Table, events: DataFrame, name: str, batch: int, buckets: int = BUCKETS, deltas: int = FANOUT, task_rows: int = TASK_ROWS) -> bool:
+    """Apply a numbered micro-batch of changes that are known to be new, without a ledger; False where it was applied before.
 
-def _day() -> Column:
-    """The part of the ledger: a change that comes again has the same time; changes without a time are a part of their own."""
-    return F.coalesce(F.date_format("source_timestamp", "yyyyMMdd"), F.lit(NO_DAY))
+    The number is a mark of the same commit, so a batch that runs again after a crash changes nothing.
+    """
+    if table.marks.get(name, -1) >= batch:
+        return False
+    rows = keyed(events).cache()
+    try:
+        if rows.isEmpty():
+            table.commit(marks={name: batch})
+        else:
+            state, old = _changed(table, rows, buckets, deltas, task_rows)
+            table.commit({"state": state}, marks={name: batch}, drop=old)
+        return True
+    finally:
+        rows.unpersist()
 
 
-def apply_batch(table: Table, events: DataFrame, retention_hours: int | None = None, buckets: int = BUCKETS, deltas: int = DELTAS) -> int:
-    """Apply change events; returns how many were new. A change older than its key's state stays without effect.
+def apply_batch(table: Table, events: DataFrame, retention_hours: int | None = None, buckets: int = BUCKETS, deltas: int = FANOUT, task_rows: int = TASK_ROWS) -> int:
+    """Apply change events of any tables in one commit; returns how many were new. A change older than its key's state stays without effect.
 
     retention_hours: ledger days that ended so long before the latest change are forgotten. Changes without a time are never forgotten.
     """
-    rows = keyed(events).withColumn("day", _day()).cache()
+    rows = keyed(events).withColumn("day", F.date_format("source_timestamp", "yyyyMMdd")).cache()
     try:
-        days = [r.day for r in rows.select("day").distinct().collect()]  # one for each day of a batch
-        ledger = table.read("ledger", set(days))
+        first, last, untimed = rows.agg(F.min("day"), F.max("day"), F.count_if(F.col("day").isNull()) > 0).first()
+        runs = table.runs("ledger")
+        ledger = table.read_runs([path for _, b, path, _ in runs if _meets(b, first, last, untimed)])
         fresh = (rows.dropDuplicates(["idempotency_key"]) if ledger is None else versions.unseen(rows, ledger)).cache()
-        n = fresh.count()
-        if not n:
+        counts = {r.timed: r["count"] for r in fresh.groupBy(F.col("day").isNotNull().alias("timed")).count().collect()}  # two rows
+        if not counts:
             return 0
-        # Deleted keys stay as tombstones, so that a change that comes late does not revive them.
-        changed = versions.latest(fresh.select("pk", "op_type", *POSITION, F.coalesce("after", "before").alias("image")), ["pk"], POSITION)
-        touched = {r[0] for r in changed.select(bucket_of("pk", buckets)).distinct().collect()}
-        held = [b for _, b in table.files("state", touched)]
-        full = {b for b in touched if held.count(b) >= deltas}
-        if full:
-            changed = versions.latest(table.read("state", full).unionByName(changed), ["pk"], POSITION)
-        seen = fresh.select("idempotency_key", F.col("source_timestamp").alias("applied_at"), "day")
-        old = set()
-        if retention_hours is not None and (newest := fresh.agg(F.max("source_timestamp")).first()[0]) is not None:
-            since = fresh.sparkSession.range(1).select(F.date_format(F.lit(newest) - F.make_dt_interval(F.lit(0), F.lit(retention_hours)), "yyyyMMdd")).first()[0]
-            old = {b for _, b in table.files("ledger") if b != NO_DAY and b < since}
-        table.commit({"state": (changed, bucket_of("pk", buckets)), "ledger": (seen.drop("day"), F.coalesce(F.date_format("applied_at", "yyyyMMdd"), F.lit(NO_DAY)))}, {"state": full, "ledger": old})
+        state, drop = _changed(table, fresh, buckets, deltas, task_rows)
+        since = None
+        if retention_hours is not None and last is not None:
+            newest = fresh.agg(F.max("source_timestamp") - F.make_dt_interval(F.lit(0), F.lit(retention_hours)))
+            since = newest.select(F.date_format(newest.columns[0], "yyyyMMdd")).first()[0]
+        forgotten = {path for _, b, path, _ in runs if since and b != NO_DAY and b.partition("-")[2] < since}
+        seen = fresh.select("idempotency_key", F.col("source_timestamp").alias("applied_at"))
+        sizes, label, known = {}, NO_DAY, set()
+        for timed, n in counts.items():
+            held = [(path, rows) for _, b, path, rows in runs if (b != NO_DAY) == timed and path not in forgotten]
+            mine = to_merge(held, n, LEDGER_FANOUT)
+            if timed:
+                days = [d for _, b, path, _ in runs if path in mine for d in b.split("-")]
+                label = f"{min([first, *days])}-{max([last, *days])}"
+            sizes["ledger", label if timed else NO_DAY] = n + sum(rows for path, rows in held if path in mine)
+            known |= mine
+        day = F.date_format("applied_at", "yyyyMMdd")
+        if known:
+            seen = seen.unionByName(table.read_runs(known))
+        if since:
+            seen = seen.filter(F.coalesce(day >= since, F.lit(True)))
+        bucket = F.when(day.isNull(), NO_DAY).otherwise(F.lit(label))
+        ledger_rows = (seen, bucket, None, _split(sizes, F.lit("ledger"), bucket, F.col("idempotency_key"), task_rows), sizes)
+        table.commit({"state": state, "ledger": ledger_rows}, drop=drop | known | forgotten)
         fresh.unpersist()
-        return n
+        return sum(counts.values())
     finally:
         rows.unpersist()
 
 
-def current(table: Table) -> DataFrame | None:
-    """The last version of every key that is not deleted."""
-    state = table.read("state")
-    return None if state is None else versions.latest(state, ["pk"], POSITION).filter(F.col("op_type") != "DELETE")
+def current(table: Table, name: str | None = None) -> DataFrame | None:
+    """The last version of every key that is not deleted, of one target or of all."""
+    state = table.read("state" if name is None else f"state/{name}")
+    return None if state is None else versions.latest(state, KEY, POSITION).filter(F.col("op_type") != "DELETE")
+
+
+def masked(events: DataFrame, fields: Mapping[str, Mapping[str, list[str]]]) -> DataFrame:
+    """Events whose images have the fields of their source and table masked; fields by source and table, as `config.masks` gives them."""
+    def one(name: str) -> Column:
+        out = None
+        for source, tables in fields.items():
+            for table, columns in tables.items():
+                here = (F.col("source_id") == source) & (F.col("table") == table)
+                hidden = changes.masked(F.col(name), columns)
+                out = F.when(here, hidden) if out is None else out.when(here, hidden)
+        return F.col(name) if out is None else out.otherwise(F.col(name))
 
+    return events.withColumns({name: one(name) for name in ("before", "after")})
 
-def stream(lines: DataFrame, table: Table, checkpoint: str, retention_hours: int | None = None, every: str | None = None):
-    """Start a query that applies JSON lines (column value). every: an interval such as '1 second', or none to stop when no lines are left."""
+
+def stream(lines: DataFrame, table: Table, checkpoint: str, retention_hours: int | None = None, every: str | None = None, masks: Mapping[str, Mapping[str, list[str]]] | None = None):
+    """Start a query that applies JSON lines (column value) of any tables. every: an interval such as '1 second', or none to stop when no lines are left.
+
+    masks: fields by source and table that do not reach the state.
+    """
 
     def work(batch: DataFrame, _: int) -> None:
         good = changes.parsed(batch, changes.ENVELOPE).filter("ok").select("event.*")
-        apply_batch(table, good, retention_hours)
+        apply_batch(table, masked(good, masks or {}), retention_hours)
 
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     return lines.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+def stream_deduplicated(lines: DataFrame, table: Table, checkpoint: str, hours: int = 168, at: str | None = None, name: str = "stream", every: str | None = None):
+    """As stream(), but repeated changes are known by the query's own state (`dedup.first_only`) in place of the ledger."""
+    from clinlake.streaming import dedup
+
+    good = keyed(changes.parsed(lines, changes.ENVELOPE).filter("ok").select("event.*"))
+    first = dedup.first_only(good, ["idempotency_key"], hours, at)
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    return first.writeStream.foreachBatch(lambda batch, n: apply_once(table, batch, name, n)).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def publish(events: DataFrame, topics: Table, source: str, batch: int) -> bool:
     """Write events (topic, key, value) of a source to their topics, all in one commit. Batches are numbered; one that was committed is not written again.
 

@@ -278,9 +278,9 @@ def test_fuzzy_against_all_pairs(spark):
     want = set()
     for q, n, g, b in asked:
         for e, pn, pg, pb in people:
-            score = (4 if n == pn else 2 if (n in pn or pn in n) else 0) + 2 * (g == pg) + 4 * (b == pb)
-            # An empty name is a name of its own: it is not inside others.
-            if (n == pn or b == pb or (n and pn and (n in pn or pn in n) and g == pg)) and score >= 4:
+            # An empty name counts as a missing one: it equals none and is inside none.
+            score = (0 if not n or not pn else 4 if n == pn else 2 if (n in pn or pn in n) else 0) + 2 * (g == pg) + 4 * (b == pb)
+            if score >= 4:
                 want.add((q, e, score))
     got = identity.fuzzy(spark.createDataFrame(asked, "query_id string, q_name string, q_gender string, q_birth string"), spark.createDataFrame(people, "empi_id string, name string, gender string, birth_date string"))
     assert {tuple(r) for r in got.collect()} == want
