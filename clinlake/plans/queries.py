@@ -344,7 +344,7 @@ def stream_clicks_once(s, d):
         at = F.col("arrived_at")
         clicks.filter((at >= F.lit(since).cast("timestamp_ntz")) & (at < F.lit(until).cast("timestamp_ntz"))).write.mode("append").parquet(f"{base}/in")
         rows = s.readStream.schema(clicks.schema).parquet(f"{base}/in")
-        whole = F.sha2(F.to_json(F.struct(*clicks.columns), {"ignoreNullFields": "false"}), 256)
+        whole = F.unhex(F.sha2(F.to_json(F.struct(*clicks.columns), {"ignoreNullFields": "false"}), 256))
         first = dedup.first_only(rows.withColumn("row", whole), ["row"]).drop("row")
         query = first.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").option("path", f"{base}/out").trigger(availableNow=True).start()
         query.awaitTermination()
