@@ -54,6 +54,13 @@ SQL = {
     "apply_levels": f"WITH {MIXED} SELECT target, event, count(*) AS keys FROM kept GROUP BY ALL",
     "stream_state": f"WITH {MIXED} SELECT * FROM kept",
     "stream_clicks_once": "SELECT click_id, client_id, kind, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, sha256(props) AS props FROM (SELECT DISTINCT * FROM clicks WHERE arrived_at IS NOT NULL)",
+    "stream_two_phase": f"""WITH {MIXED} SELECT CASE target WHEN 'ods_his_users' THEN 'cdc.his.Users' WHEN 'ods_crm_clients' THEN 'cdc.crm.Clients' ELSE 'cdc.shop.Clients' END AS topic,
+      count(*) AS messages, count(DISTINCT id) AS keys FROM mixed GROUP BY 1""",
+    "lookup_indexed": f"WITH {VISITS} SELECT visit_id, patient_id, dept, strftime(admit_time, '%Y-%m-%d %H:%M:%S') AS admit_time FROM visits WHERE patient_id = '77'",
+    "month_from_layout": f"WITH {VISITS} SELECT dept, count(*) AS visits FROM visits WHERE admit_time >= TIMESTAMP '1997-03-01' AND admit_time < TIMESTAMP '1997-04-01' GROUP BY dept",
+    "rollup_states": f"WITH {VISITS} SELECT strftime(admit_time, '%Y-%m') AS year_month, dept, count(*) AS visit_count, true AS patients_close FROM visits GROUP BY ALL",
+    "report_from_states": f"WITH {VISITS} SELECT strftime(admit_time, '%Y-%m') AS year_month, visit_type, count(*) AS visit_count FROM visits WHERE dept = '1-URGENT' GROUP BY ALL",
+    "latency_states": f"WITH {LAT} SELECT event_type, count(*) AS events, true AS ok_50, true AS ok_95, true AS ok_99 FROM lat GROUP BY event_type",
     "visit_wide": f"WITH {WIDE} SELECT * FROM wide",
     "dept_daily_visits": f"WITH {DAILY} SELECT * FROM daily",
     "drug_daily_orders": f"WITH {DRUGS} SELECT * FROM drugs",

@@ -352,6 +352,98 @@ def stream_clicks_once(s, d):
     return out.select("click_id", "client_id", "kind", second("ts").alias("ts"), F.sha2("props", 256).alias("props"))
 
 
+def stream_two_phase(s, d):
+    """The mixed log to topics by a sink of two phases, stopped and started again; what its commits hold, by topic."""
+    from clinlake.sources import two_phase
+
+    base, kinds = scratch(s, "topics"), "topic string, key string, value string"
+    s.dataSource.register(two_phase.TwoPhaseSink)
+    for n, batch in enumerate(_thirds(src.mixed_log(s, d))):
+        events = batch.filter(F.col("n") % 3 != 2) if n else batch  # here every change is sent once
+        out = events.select(changes.topic(F.col("database"), F.col("table")).alias("topic"), changes.partition_key(F.col("primary_keys")).alias("key"), F.to_json(F.coalesce("after", "before")).alias("value"))
+        out.write.mode("append").parquet(f"{base}/in")
+        rows = s.readStream.schema(kinds).parquet(f"{base}/in")
+        rows.writeStream.format("two_phase").option("path", f"{base}/sink").option("producer", "mixed").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return two_phase.committed(s, f"{base}/sink", kinds).groupBy("topic").agg(F.count("*").alias("messages"), F.count_distinct("key").alias("keys"))
+
+
+def _indexed_visits(s, d) -> str:
+    from clinlake.sources import indexed
+
+    path = scratch(s, "visits")
+    v = src.visits(s, d)
+    indexed.write(v.withColumn("patient", F.col("patient_id").cast("bigint")), path, "patient", "admit_time", ["admit_time", "visit_id"])
+    return path
+
+
+def lookup_indexed(s, d):
+    """Visits of one patient from files by month, of which the index names those to open."""
+    from clinlake.sources import indexed
+
+    got = indexed.lookup(s, _indexed_visits(s, d), "patient", 77)
+    return got.select("visit_id", "patient_id", "dept", second("admit_time").alias("admit_time"))
+
+
+def month_from_layout(s, d):
+    """partition_pruned_month() from files by month: the other months' folders are not read."""
+    from clinlake.sources import indexed
+
+    return indexed.month(s, _indexed_visits(s, d), "199703").groupBy("dept").agg(F.count("*").alias("visits"))
+
+
+def visit_rollups():
+    from clinlake.operators.states import Rollup
+
+    kinds = {"dept": "dept", "visit_type": "visit_type"}
+    sums, who, stay = {"visit_count": "1L"}, {"patients": "patient_id"}, {"hours": "(unix_seconds(discharge_time) - unix_seconds(admit_time)) / 3600"}
+    return [
+        Rollup("daily", {"visit_date": "to_date(admit_time)", "year_month": "date_format(admit_time, 'yyyy-MM')", **kinds}, sums, who, stay),
+        Rollup("monthly", {"year_month": "date_format(admit_time, 'yyyy-MM')", **kinds}, sums, who, stay),
+        Rollup("overall", kinds, sums, who),
+    ]
+
+
+def _visit_rollups(s, d):
+    """Visits in five appended blocks; the monthly roll-up lacks the last one."""
+    from clinlake.operators.states import Rollups
+    from clinlake.sources.store import Table
+
+    kept = Rollups(Table(s, scratch(s, "rollups")), visit_rollups())
+    for k in range(5):
+        kept.append(src.visits(s, d).filter(F.col("visit_id").cast("bigint") % 5 == k), ["daily", "monthly", "overall"] if k < 4 else ["daily", "overall"])
+    return kept
+
+
+def _close(estimate: str, exact: str) -> Column:
+    """Within five standard errors of the sketch."""
+    from clinlake.operators.states import HLL
+
+    return F.abs(F.col(estimate) - F.col(exact)) <= F.greatest(F.lit(1.0), 5 * 1.04 / 2 ** (HLL / 2) * F.col(exact))
+
+
+def rollup_states(s, d):
+    """Visits and patients by month and department from merged states; whether the estimates are within their error."""
+    got = _visit_rollups(s, d).report(["year_month", "dept"], ["visit_count", "patients"])
+    exact = src.visits(s, d).groupBy(F.date_format("admit_time", "yyyy-MM").alias("year_month"), "dept").agg(F.count_distinct("patient_id").alias("exact"))
+    return got.join(exact, ["year_month", "dept"], "left").select("year_month", "dept", "visit_count", _close("patients", "exact").alias("patients_close"))
+
+
+def report_from_states(s, d):
+    """Visits by month of one department, from the smallest roll-up that has both."""
+    return _visit_rollups(s, d).report(["year_month", "visit_type"], ["visit_count"], {"dept": "1-URGENT", "visit_type": None})
+
+
+def latency_states(s, d):
+    """Quantiles of latency by type from the states of days; whether their ranks are right within two hundredths."""
+    from clinlake.operators.states import Rollup
+
+    rows = _latency(s, d).join(src.table(s, d, "events").select("event_id", F.to_date("ts").alias("day")), "event_id")
+    daily = Rollup("latency", {"day": "day", "event_type": "event_type"}, {"events": "1L"}, quantiles={"ms": "ms"})
+    got = daily.shown(daily.merged(daily.states(rows), ["event_type"]))
+    near = lambda c, r: ((F.count_if(F.col("ms") < F.col(c)) / F.count("*") - r < 0.02) & (r - F.count_if(F.col("ms") <= F.col(c)) / F.count("*") < 0.02)).alias(f"ok_{c[3:]}")
+    return rows.join(F.broadcast(got), "event_type").groupBy("event_type", "events").agg(near("ms_50", 0.5), near("ms_95", 0.95), near("ms_99", 0.99))  # a row for each type
+
+
 def upsert_merge(s, d):
     fields = ["pk", "event", "pos"]
     flat = lambda x: x.select("pk", "op_type", F.coalesce(F.col("after"), F.col("before"))["event"].alias("event"), F.col("binlog_pos").alias("pos"))
@@ -680,6 +772,6 @@ NAMES = (
     "fhir_medication_request fhir_diagnostic_report fhir_bundle patient_everything duplicate_pks reconcile_counts reconcile_rows name_prefix_filter "
     "everything_bundle cdc_row_events cdc_lsn_bounds cdc_key_columns normalize_time ods_auto_create olap_typed route_configured distinct_topics empi_ranked list_users fhir_numbers "
     "seed_patients seed_visits seed_orders seed_labs "
-    "apply_many_tables apply_levels stream_state stream_clicks_once bundle_pages"
+    "apply_many_tables apply_levels stream_state stream_clicks_once bundle_pages stream_two_phase lookup_indexed month_from_layout rollup_states report_from_states latency_states"
 ).split()
 QUERIES = {name: globals()[name] for name in NAMES}

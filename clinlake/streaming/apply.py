@@ -31,6 +31,8 @@ POSITION = ("binlog_file", "binlog_pos", "lsn", "row_seq")
 KEY = ("source_id", "database", "table", "pk")
 #: Buckets of a target's state, and how many runs of about one size a bucket may not have.
 BUCKETS, FANOUT = 8, 4
+#: Rows for which a run gets another task, as long as the session has as many shuffle partitions.
+FEW_ROWS = 20_000
 #: The same for the ledger, whose runs are narrow in time if they are put together seldom.
 LEDGER_FANOUT = 8
 NO_DAY = "none"
@@ -73,9 +75,10 @@ def _merging(table: Table, part: str, counts: Mapping[tuple[str, str], int], fan
     return paths, sizes
 
 
-def _split(sizes: Mapping[tuple[str, str], int], part: Column, bucket: Column, key: Column, rows: int) -> Column:
+def _split(spark: SparkSession, sizes: Mapping[tuple[str, str], int], part: Column, bucket: Column, key: Column, rows: int) -> Column:
     """The task of a bucket that writes a row: buckets with many rows have several."""
-    tasks = {f"{p}|{b}": -(-n // rows) for (p, b), n in sizes.items() if n > rows}
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = {f"{p}|{b}": max(-(-n // rows), min(most, -(-n // FEW_ROWS))) for (p, b), n in sizes.items() if n > min(rows, FEW_ROWS)}
     if not tasks:
         return F.lit(0)
     known = F.create_map(*[F.lit(x) for pair in tasks.items() for x in pair])
@@ -90,7 +93,7 @@ def _changed(table: Table, fresh: DataFrame, buckets: int, fanout: int, task_row
     old, sizes = _merging(table, "state", counts, fanout)
     if old:
         last = versions.latest(table.read_runs(old).unionByName(last), KEY, POSITION)
-    return (last, bucket_of(buckets), target(), _split(sizes, F.concat(F.lit("state/"), target()), bucket_of(buckets), F.col("pk"), task_rows), None if old else sizes), old
+    return (last, bucket_of(buckets), target(), _split(table.spark, sizes, F.concat(F.lit("state/"), target()), bucket_of(buckets), F.col("pk"), task_rows), None if old else sizes), old
 
 
 def apply_once(table: Table, events: DataFrame, name: str, batch: int, buckets: int = BUCKETS, deltas: int = FANOUT, task_rows: int = TASK_ROWS) -> bool:
@@ -148,7 +151,7 @@ def apply_batch(table: Table, events: DataFrame, retention_hours: int | None = N
         if since:
             seen = seen.filter(F.coalesce(day >= since, F.lit(True)))
         bucket = F.when(day.isNull(), NO_DAY).otherwise(F.lit(label))
-        ledger_rows = (seen, bucket, None, _split(sizes, F.lit("ledger"), bucket, F.col("idempotency_key"), task_rows), sizes)
+        ledger_rows = (seen, bucket, None, _split(table.spark, sizes, F.lit("ledger"), bucket, F.col("idempotency_key"), task_rows), sizes)
         table.commit({"state": state, "ledger": ledger_rows}, drop=drop | known | forgotten)
         fresh.unpersist()
         return sum(counts.values())
