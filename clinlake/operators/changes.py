@@ -179,3 +179,37 @@ def incremental(df: DataFrame, at: str, key: str, since: tuple, most: int) -> Da
     """The next rows after a compound watermark, so that equal times across a cut are read once."""
     ts, last = since
     return df.filter((F.col(at) > ts) | ((F.col(at) == ts) & (F.col(key) > last))).orderBy(at, key).limit(most)
+
+
+def grown_schema(rows: DataFrame, image: str = "image") -> T.StructType:
+    """The columns that the images (VARIANT objects) of all rows have, with the narrowest types that hold all of their values.
+
+    A pass over the images that shuffles one schema a task. Fields whose values are all null or that never agree are text.
+    """
+    found = rows.agg(F.schema_of_variant_agg(F.when(F.typeof(F.col(image)) == "variant", F.col(image)))).first()[0]
+    kind = T._parse_datatype_string(found.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING").replace("VARIANT", "STRING")) if found and found.startswith("OBJECT<") else None
+    return kind if isinstance(kind, T.StructType) else T.StructType([])
+
+
+def merged_schema(held: T.StructType, new: T.StructType) -> T.StructType:
+    """The columns held, in their order, and then new ones; a column whose type has changed is widened, or else text."""
+    numbers = ("decimal", "bigint", "double")
+
+    def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+        if a == b:
+            return a
+        if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+            return merged_schema(a, b)
+        if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+            return T.ArrayType(wider(a.elementType, b.elementType))
+        return T.DoubleType() if a.typeName().replace("long", "bigint") in numbers and b.typeName().replace("long", "bigint") in numbers else T.StringType()
+
+    known = {f.name: f.dataType for f in held}
+    late = {f.name: f.dataType for f in new}
+    return T.StructType([T.StructField(n, wider(t, late[n]) if n in late else t) for n, t in known.items()] + [T.StructField(n, t) for n, t in late.items() if n not in known])
+
+
+def as_typed(rows: DataFrame, schema: T.StructType, image: str = "image") -> DataFrame:
+    """Images as columns of a schema; what an image lacks or what does not fit is null."""
+    typed = [F.try_variant_get(F.col(image), f"$['{f.name}']", f.dataType.simpleString()).alias(f.name) for f in schema]
+    return rows.select(*[c for c in rows.columns if c != image and c not in schema.fieldNames()], *typed)

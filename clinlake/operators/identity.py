@@ -121,3 +121,14 @@ def visible(resource: DataFrame, fields: list[str], always: tuple[str, ...] = ("
     if "*" in fields:
         return resource
     return resource.select(*[c for c in resource.columns if c in always or c in fields])
+
+
+def projected(resources: DataFrame, role: str, rules: DataFrame, always: tuple[str, ...] = ("resourceType", "id")) -> DataFrame:
+    """Resources (one column for each field, and the column `role`) as JSON with the fields that the role of each row may see.
+
+    rules: role, fields; one row for each role, a handful, so they are broadcast. A role without a rule sees nothing: json is null.
+    """
+    held = resources.join(F.broadcast(rules.select(F.col("role").alias("__role"), F.col("fields").alias("__fields"))), F.col(role) == F.col("__role"), "left")
+    may = lambda c: F.array_contains("__fields", c) | F.array_contains("__fields", "*")
+    shown = [F.col(f"`{c}`") if c in always else F.when(may(c), F.col(f"`{c}`")).alias(c) for c in resources.columns if c != role]
+    return held.withColumn("json", F.when(F.col("__fields").isNotNull(), F.to_json(F.struct(*shown)))).drop("__role", "__fields")

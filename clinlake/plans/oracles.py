@@ -155,3 +155,17 @@ SQL = {
     "seed_orders": "SELECT i AS order_id, i % 1000 AS visit_id, ['阿莫西林', '布洛芬', '头孢克洛', '阿司匹林', '奥美拉唑', '甲硝唑'][i % 6 + 1] AS drug_name, (50 + (i * 7919 + 2) % 450) || '.0mg' AS dosage, '每日三次' AS frequency, ['口服', '静脉注射', '肌肉注射', '外用'][i % 4 + 1] AS route, strftime(TIMESTAMP '2024-01-01' + to_seconds(i), '%Y-%m-%d %H:%M:%S') AS order_time, '医生' || (i % 50) AS doctor, 'pending' AS status FROM range(2000) t(i)",
     "seed_labs": "SELECT i AS result_id, i % 1000 + 1 AS visit_id, i % 500 + 1 AS patient_id, 'CBC' || lpad(CAST(i % 20 AS VARCHAR), 3, '0') AS item_code, '全血细胞计数' AS item_name, (50 + (i * 7919 + 3) % 150) / 10 AS value, 'g/L' AS unit, i % 5 = 0 AS is_abnormal, strftime(TIMESTAMP '2024-01-01' + to_seconds(i), '%Y-%m-%d %H:%M:%S') AS result_time FROM range(2000) t(i)",
 }
+
+SQL["reconcile_tree"] = SQL["reconcile_rows"]
+SQL["visit_wide_colocated"] = SQL["visit_wide"]
+SQL["access_projected"] = f"""WITH {VISITS}, r AS (SELECT *, ['role_admin', 'role_doctor', 'role_nurse', 'role_lab_tech', 'role_guest'][k % 5 + 1] AS role FROM visits), p AS (
+  SELECT visit_id, role, '{{"resourceType":"Encounter","id":"' || visit_id || '"' AS head, ',"identifier":[{{"system":"urn:hospital:his:visit-id","value":"' || visit_id || '"}}]' AS identifier,
+    ',"status":"' || CASE WHEN discharge_time IS NULL THEN 'in-progress' ELSE 'finished' END || '"' AS status,
+    ',"class":{{"system":"http://terminology.hl7.org/CodeSystem/v3-ActCode","code":"' || CASE visit_type WHEN 'outpatient' THEN 'AMB' WHEN 'inpatient' THEN 'IMP' ELSE 'EMER' END || '","display":"' || visit_type || '"}}' AS class,
+    ',"period":{{"start":"' || strftime(admit_time, '%Y-%m-%dT%H:%M:%S.000Z') || '"' || coalesce(',"end":"' || strftime(discharge_time, '%Y-%m-%dT%H:%M:%S.000Z') || '"', '') || '}}' AS period,
+    ',"subject":{{"reference":"Patient/' || patient_id || '"}}' AS subject, ',"reasonCode":[{{"text":"' || diagnosis || '"}}],"serviceProvider":{{"display":"' || dept || '"}},{META}' AS rest FROM r)
+  SELECT visit_id AS id, role, CASE role WHEN 'role_guest' THEN NULL WHEN 'role_nurse' THEN head || identifier || class || period || '}}' WHEN 'role_lab_tech' THEN head || identifier || status || '}}'
+    ELSE head || identifier || status || class || subject || period || rest || '}}' END AS json FROM p"""
+SQL["columns_grown"] = """SELECT click_id, TRY_CAST(json_extract_string(j, '$.k') AS BIGINT) AS k, CASE WHEN ts IS NULL OR ts >= TIMESTAMP '2024-02-01' THEN json_extract_string(j, '$.device.os') END AS os,
+  CASE WHEN json_type(j, '$.items') = 'ARRAY' THEN CAST(json_array_length(j, '$.items') AS BIGINT) END AS n_items
+  FROM (SELECT click_id, ts, CASE WHEN json_valid(props) THEN props END AS j FROM (SELECT DISTINCT click_id, ts, props FROM clicks))"""

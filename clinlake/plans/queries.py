@@ -32,6 +32,7 @@ def at(text: str) -> Column:
 
 
 _made: list[tuple] = []
+_tables: list[tuple] = []
 
 
 def scratch(s, name: str) -> str:
@@ -47,7 +48,13 @@ def scratch(s, name: str) -> str:
 
 
 def release() -> None:
-    """Delete the scratch folders so far; results that read them must have been written before. Called at exit too."""
+    """Delete the scratch folders and tables so far; results that read them must have been written before. Called at exit too."""
+    while _tables:
+        s, name = _tables.pop()
+        try:
+            s.sql(f"DROP TABLE IF EXISTS {name}")
+        except Exception:  # the session may have ended
+            break
     while _made:
         s, path = _made.pop()
         try:
@@ -670,6 +677,51 @@ def reconcile_rows(s, d):
     return left.exceptAll(right)
 
 
+def reconcile_tree(s, d):
+    """reconcile_rows() by hash trees: only rows of leaves that differ are compared."""
+    from clinlake.operators import reconcile
+
+    left = src.visits(s, d).select("visit_id", "dept", "visit_type")
+    right = left.withColumn("dept", F.when(F.col("visit_id").cast("bigint") % 97 == 0, F.lit("LOST")).otherwise(F.col("dept")))
+    return reconcile.only_left(left, right, ["visit_id"])
+
+
+def access_projected(s, d):
+    """Visits as resources with the fields that the role of each request may see."""
+    roles = F.lit(["role_admin", "role_doctor", "role_nurse", "role_lab_tech", "role_guest"])
+    r = fhir.to_resource(_fhir_visits(s, d), "Encounter").withColumn("role", roles[(F.col("id").cast("bigint") % 5).cast("int")])
+    return identity.projected(r, "role", identity.policies(s)).select("id", "role", "json")
+
+
+def columns_grown(s, d):
+    """Clicks' properties as typed columns: those of January first, then columns that appear later, which are null in the old rows."""
+    c = src.table(s, d, "clicks").select("click_id", "ts", "props").distinct().withColumn("image", F.try_parse_json("props"))
+    first = c.filter(F.col("ts") < F.lit("2024-02-01").cast("timestamp_ntz"))
+    plain = first.withColumn("image", F.try_parse_json(F.regexp_replace("props", r'(, )?"device": \{[^}]*\}', "")))
+    late = c.filter(~F.coalesce(F.col("ts") < F.lit("2024-02-01").cast("timestamp_ntz"), F.lit(False)))
+    schema = changes.merged_schema(changes.grown_schema(plain), changes.grown_schema(late))
+    names = schema.fieldNames()
+    have = lambda *path: all(p in names for p in path[:1])
+    out = changes.as_typed(plain.unionByName(late).drop("props"), schema)
+    k = F.col("k") if have("k") else F.lit(None)
+    os = F.col("device.os") if have("device") else F.lit(None)
+    sizes = F.when(F.col("items").isNotNull(), F.size("items")) if have("items") else F.lit(None)
+    return out.select("click_id", k.try_cast("bigint").alias("k"), os.cast("string").alias("os"), sizes.cast("bigint").alias("n_items"))
+
+
+def visit_wide_colocated(s, d):
+    """visit_wide() over tables in buckets of patients: a join without a shuffle."""
+    from clinlake.sources import colocated
+
+    n = uuid.uuid4().hex
+    names = (f"visits_{n}", f"patients_{n}")
+    colocated.save(src.visits(s, d), names[0], "patient_id")
+    colocated.save(_patients(s, d), names[1], "patient_id")
+    _tables.extend((s, x) for x in names)
+    w = rollups.visit_wide(s.table(names[0]), s.table(names[1]).hint("merge"), at(AS_OF))
+    return w.select("visit_id", "patient_id", "patient_name", "gender", "dept", "visit_type", "diagnosis", second("admit_time").alias("admit_time"), F.round("age", 4).alias("age"), "los_hours")
+
+
 def name_prefix_filter(s, d):
     return src.table(s, d, "customer").filter(F.col("c_name").startswith("Customer#00000001")).select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
 
@@ -772,6 +824,7 @@ NAMES = (
     "fhir_medication_request fhir_diagnostic_report fhir_bundle patient_everything duplicate_pks reconcile_counts reconcile_rows name_prefix_filter "
     "everything_bundle cdc_row_events cdc_lsn_bounds cdc_key_columns normalize_time ods_auto_create olap_typed route_configured distinct_topics empi_ranked list_users fhir_numbers "
     "seed_patients seed_visits seed_orders seed_labs "
-    "apply_many_tables apply_levels stream_state stream_clicks_once bundle_pages stream_two_phase lookup_indexed month_from_layout rollup_states report_from_states latency_states"
+    "apply_many_tables apply_levels stream_state stream_clicks_once bundle_pages stream_two_phase lookup_indexed month_from_layout rollup_states report_from_states latency_states "
+    "reconcile_tree access_projected columns_grown visit_wide_colocated"
 ).split()
 QUERIES = {name: globals()[name] for name in NAMES}
