@@ -169,3 +169,8 @@ SQL["access_projected"] = f"""WITH {VISITS}, r AS (SELECT *, ['role_admin', 'rol
 SQL["columns_grown"] = """SELECT click_id, TRY_CAST(json_extract_string(j, '$.k') AS BIGINT) AS k, CASE WHEN ts IS NULL OR ts >= TIMESTAMP '2024-02-01' THEN json_extract_string(j, '$.device.os') END AS os,
   CASE WHEN json_type(j, '$.items') = 'ARRAY' THEN CAST(json_array_length(j, '$.items') AS BIGINT) END AS n_items
   FROM (SELECT click_id, ts, CASE WHEN json_valid(props) THEN props END AS j FROM (SELECT DISTINCT click_id, ts, props FROM clicks))"""
+TOPICS = {"cdc.his.Users": "ods_his_users", "cdc.crm.Clients": "ods_crm_clients", "cdc.shop.Clients": "ods_shop_clients"}
+SQL["route_default"] = f"WITH {MIXED} SELECT CASE target " + " ".join(f"WHEN '{t}' THEN '{n}'" for n, t in TOPICS.items()) + " END AS topic, count(*) AS n FROM mixed GROUP BY 1"
+SQL["dedup_positions"] = f"WITH {MIXED} SELECT target, op_type, count(DISTINCT (n, id)) AS changes FROM mixed WHERE n % 2 <> 0 GROUP BY ALL"
+SQL["uniq_approx_close"] = f"WITH {VISITS} SELECT dept, count(DISTINCT patient_id) AS patients, true AS close FROM visits GROUP BY dept"
+SQL["stream_settings"] = f"""WITH {MIXED} SELECT CASE target WHEN 'ods_his_users' THEN 'cdc.his.Users' ELSE 'cdc.all.clients' END AS topic, count(*) AS messages, count(DISTINCT id) AS keys, CAST(0 AS BIGINT) AS shown FROM mixed GROUP BY 1"""

@@ -492,9 +492,11 @@ def e2e_latency(s, d):
 
 
 def latency_histogram(s, d):
-    bounds = s.createDataFrame([(b,) for b in (5, 10, 25, 50, 100, 250, 500, 1000, 2500, 5000)], "le int")
-    held = _latency(s, d).groupBy("ms").agg(F.count("*").alias("n"))
-    return F.broadcast(bounds).join(held, F.col("ms") <= F.col("le"), "left").groupBy("le").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("count"))
+    """Events at or below each bound, in one pass."""
+    bounds = (5, 10, 25, 50, 100, 250, 500, 1000, 2500, 5000)
+    one = _latency(s, d).agg(*[F.count_if(F.col("ms") <= b).alias(f"b{b}") for b in bounds])
+    each = F.array(*[F.struct(F.lit(b).alias("le"), F.col(f"b{b}").alias("count")) for b in bounds])
+    return one.select(F.inline(each))
 
 
 def latency_percentiles(s, d):
@@ -677,6 +679,47 @@ def reconcile_rows(s, d):
     return left.exceptAll(right)
 
 
+def route_default(s, d):
+    """Topics of changes without a route of their own: by database and table."""
+    return src.mixed_log(s, d).groupBy(changes.topic(F.col("database"), F.col("table")).alias("topic")).agg(F.count("*").alias("n"))
+
+
+def dedup_positions(s, d):
+    """The mixed log twice over, once for each change: by log places, or by sequence numbers where there are no places."""
+    from clinlake.streaming import apply
+
+    keyed = apply.keyed(src.mixed_log(s, d))
+    half = keyed.filter(F.col("n") % 2 == 0).select("idempotency_key")
+    new = versions.unseen(keyed.unionByName(keyed), half)
+    return new.groupBy(apply.target().alias("target"), "op_type").agg(F.count("*").alias("changes"))
+
+
+def uniq_approx_close(s, d):
+    """Whether the estimates of uniq_approx() are within five standard errors."""
+    both = rollups.sketched(src.visits(s, d)).withColumnRenamed("patients", "estimate").join(uniq_exact(s, d), "dept")
+    return both.select("dept", "patients", _close("estimate", "patients").alias("close"))
+
+
+#: Settings as a file would hold them: fields to mask, and a route.
+SETTINGS = {
+    "sources": [{"id": "crm_sqlserver_01", "mask_fields": {"Clients": ["city"]}}, {"id": "shop_mysql_02", "mask_fields": {"Clients": ["name"]}}],
+    "topics": [{"source_id": "crm_sqlserver_01", "table": "Clients", "topic": "cdc.all.clients", "partition_key_field": "id"}, {"source_id": "shop_mysql_02", "table": "Clients", "topic": "cdc.all.clients"}],
+}
+
+
+def stream_settings(s, d):
+    """The mixed log to topics as settings say; what each topic holds, and how many of its values show a masked field."""
+    from clinlake.sources import two_phase
+    from clinlake.streaming import apply
+
+    base = scratch(s, "settings")
+    _lines_of(src.mixed_log(s, d)).write.text(f"{base}/in")
+    apply.stream_messages(s.readStream.text(f"{base}/in"), f"{base}/sink", f"{base}/checkpoint", SETTINGS).awaitTermination()
+    got = two_phase.committed(s, f"{base}/sink", "topic string, key string, value string")
+    hidden = F.coalesce(*[F.get_json_object("value", f"$.{image}.{field}") for image in ("after", "before") for field in ("city", "name")])
+    return got.groupBy("topic").agg(F.count("*").alias("messages"), F.count_distinct("key").alias("keys"), F.count_if(hidden.isNotNull() & (hidden != changes.MASK)).alias("shown"))
+
+
 def reconcile_tree(s, d):
     """reconcile_rows() by hash trees: only rows of leaves that differ are compared."""
     from clinlake.operators import reconcile
@@ -825,6 +868,6 @@ NAMES = (
     "everything_bundle cdc_row_events cdc_lsn_bounds cdc_key_columns normalize_time ods_auto_create olap_typed route_configured distinct_topics empi_ranked list_users fhir_numbers "
     "seed_patients seed_visits seed_orders seed_labs "
     "apply_many_tables apply_levels stream_state stream_clicks_once bundle_pages stream_two_phase lookup_indexed month_from_layout rollup_states report_from_states latency_states "
-    "reconcile_tree access_projected columns_grown visit_wide_colocated"
+    "reconcile_tree access_projected columns_grown visit_wide_colocated route_default dedup_positions uniq_approx_close stream_settings"
 ).split()
 QUERIES = {name: globals()[name] for name in NAMES}

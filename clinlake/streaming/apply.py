@@ -203,6 +203,27 @@ def stream_deduplicated(lines: DataFrame, table: Table, checkpoint: str, hours:
     return first.writeStream.foreachBatch(lambda batch, n: apply_once(table, batch, name, n)).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+def messages(events: DataFrame, settings: Mapping) -> DataFrame:
+    """topic, key, value of events under settings (`config.load`): masked, and routed by source and table, or else by database and table."""
+    from clinlake.sources import config
+
+    spark = events.sparkSession
+    routes = spark.createDataFrame(config.routes(dict(settings)), "source_id string, table string, topic string, partition_key_field string")
+    out = changes.routed(masked(events, config.masks(dict(settings))), routes)
+    return out.select("topic", "key", F.to_json(F.struct("op_type", "primary_keys", "before", "after")).alias("value"))
+
+
+def stream_messages(lines: DataFrame, path: str, checkpoint: str, settings: Mapping, every: str | None = None):
+    """Start a query that sends JSON lines (column value) to their topics as the settings say, by a sink whose readers see whole micro-batches."""
+    from clinlake.sources import two_phase
+
+    lines.sparkSession.dataSource.register(two_phase.TwoPhaseSink)
+    good = changes.parsed(lines, changes.ENVELOPE).filter("ok").select("event.*")
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    out = messages(good, settings).writeStream.format("two_phase").option("path", path).option("checkpointLocation", checkpoint)
+    return out.trigger(**trigger).start()
+
+
 def publish(events: DataFrame, topics: Table, source: str, batch: int) -> bool:
     """Write events (topic, key, value) of a source to their topics, all in one commit. Batches are numbered; one that was committed is not written again.
 

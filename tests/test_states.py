@@ -158,3 +158,41 @@ def test_catching_up_and_merging_runs(spark, tmp_path):
 def test_quantiles_from_states(spark):
     got = plans.latency_states(spark, DATA).collect()
     assert got and all(r.ok_50 and r.ok_95 and r.ok_99 for r in got)
+
+
+def test_distinct_estimates_are_within_their_error(spark):
+    exact = {r.dept: r.patients for r in plans.uniq_exact(spark, DATA).collect()}
+    near = {r.dept: r.patients for r in plans.uniq_approx(spark, DATA).collect()}
+    assert exact.keys() == near.keys() and all(abs(near[k] - n) <= max(1, 5 * 1.04 / 2 ** (HLL / 2) * n) for k, n in exact.items())
+    assert all(r.close for r in plans.uniq_approx_close(spark, DATA).collect())
+
+
+def test_settings_reach_the_stream(spark):
+    got = {r.topic: r for r in plans.stream_settings(spark, DATA).collect()}
+    assert set(got) == {"cdc.his.Users", "cdc.all.clients"} and not any(r.shown for r in got.values())
+
+
+def test_many_topics_are_subscribed(spark):
+    """The connector is not here: what it would be asked for."""
+    from types import SimpleNamespace
+
+    from clinlake.streaming import apply
+
+    class Reader:
+        def __init__(self):
+            self.options = {}
+
+        def format(self, kind):
+            self.kind = kind
+            return self
+
+        def option(self, key, value):
+            self.options[key] = value
+            return self
+
+        def load(self):
+            return spark.createDataFrame([(bytearray(b"{}"),)], "value binary")
+
+    reader = Reader()
+    assert apply.kafka(SimpleNamespace(readStream=reader), "h:1", ["b", "a", "b"]).collect()[0].value == "{}"
+    assert reader.kind == "kafka" and reader.options["subscribe"] == "a,b" and reader.options["kafka.isolation.level"] == "read_committed" and reader.options["maxOffsetsPerTrigger"] == 500
