@@ -2,12 +2,14 @@
 
 Candidates are runs of at least SHORTEST characters of keys, tokens and hashes that no letter touches, and
 values of at least SHORTEST_VALUE printable characters that are assigned to names of passwords, secrets and
-tokens: up to the closing quote, or to white space if they have no quotes. The forest sees a
+tokens: up to the closing quote, or to white space or the next parameter if they have no quotes; and passwords between the
+user and the host of an address. The forest sees a
 candidate's length, shares of character kinds and transitions between them, how much of it is covered by
 dictionaries (the four-letter pieces of the rest of its text, those of the whole table, and a few words of
-identifiers), the path of the document (its source) and the words around it. It is trained in numpy on
-labelled findings: those given, or synthetic ones drawn from a seed (keys, tokens and passwords against long
-words, numbers, checksums, identifiers and placeholders).
+identifiers), the path of the document (its source) and the words around it: names of secrets, of checksums, of public
+keys, of encoded data, of trackers and of markup, and the part of an address that it stands in. It is trained in numpy on
+labelled findings: those given, or synthetic ones drawn from a seed (keys, tokens, passwords and passphrases against checksums, public keys,
+encoded images, ids in addresses, classes, long words, numbers, identifiers and placeholders).
 
 The table's dictionary holds the pieces that stand in at least COMMON of all its texts, outside candidates, so that
 no secret gets into it however often its text is repeated. There are 26**4 pieces, whatever the data: each task
@@ -34,8 +36,8 @@ from clinlake.llm import common
 
 SHORTEST, SHORTEST_VALUE = 16, 8
 THRESHOLD = 0.5
-FINDINGS = 4_000
-TREES, DEPTH, LEAF = 30, 9, 4
+FINDINGS = 8_000
+TREES, DEPTH, LEAF = 40, 12, 3
 #: Least share of texts that makes a piece a part of the table's dictionary, and the number of pieces there are.
 COMMON, PIECES = 0.001, 26**4
 #: Bytes on each side of a candidate whose words count as its neighbours.
@@ -51,12 +53,20 @@ _VALUE = re.compile(
     (
         rf"(?:{_NAMES})[A-Za-z0-9_.\-]{{0,40}}[\"'`\]]{{0,2}}[ \t]{{0,8}}{_SIGN}[ \t]{{0,8}}"
         r"(?:\"([^\"\x00-\x1f\x7f]+)\"|'([^'\x00-\x1f\x7f]+)'|`([^`\x00-\x1f\x7f]+)`|“((?:(?!”)[^\x00-\x1f\x7f])+)”|‘((?:(?!’)[^\x00-\x1f\x7f])+)’"
-        rf"|(?!{_OPEN})([^\x00-\x20\x7f]+))"
+        # Without quotes, the next parameter of an address ends a value.
+        rf"|(?!{_OPEN})((?:(?!&[A-Za-z_][\w.\-]*=)[^\x00-\x20\x7f])+))"
     ).encode(),
     re.I,
 )
+#: The password of an address: scheme, user, password, host.
+_LOGIN = re.compile(rb"[A-Za-z][A-Za-z0-9+.\-]{1,20}://[^\x00-\x20:/@?#\x7f]{0,64}:([^\x00-\x20/@\x7f]{%d,256})@" % SHORTEST_VALUE)
 _HARMLESS = re.compile(rb"example|sample|dummy|placeholder|your|xxxx|test|todo|changeme", re.I)
-_DIGEST = re.compile(rb"sha\d*|md5|checksum|digest|commit|integrity|uuid|revision|etag", re.I)
+_DIGEST = re.compile(rb"sha-?\d*|md5|checksum|digest|commit|integrity|uuid|revision|etag|\bh\d:|blob|tree|parent|crc|hash|trace|request.?id", re.I)
+_PUBLIC = re.compile(rb"ssh-(?:rsa|dss|ed25519)|ecdsa-sha2|certificate|public.?key|fingerprint|AAAA[BCE]3Nza|pubkey", re.I)
+_DATA = re.compile(rb"base64|data:|image/|font/|application/", re.I)
+_TRACKER = re.compile(rb"[?&;](?:utm_\w+|[a-z]*clid|ref|id|\w+_id|\w*[a-z]Id|v|cid|rev|hash|page|q|tag|doc|session|s|t|track\w*)=$", re.I)
+_MARKUP = re.compile(rb"(?:class|className|id|for|style|href|src|d|aria-\w+)\s*=\s*[\"'{]?[^\"'<>]{0,60}$|[.#]$", re.I)
+_GLUED = re.compile(rb"\S*$")
 _ASSIGNED = re.compile(rf"{_SIGN}\s*{_OPEN}?$".encode())
 _QUOTED = re.compile(f"{_OPEN}$".encode())
 _DICTIONARY = (b"name", b"type", b"value", b"class", b"get", b"set", b"list", b"data", b"file", b"path", b"user", b"config", b"service", b"manager", b"factory", b"handler", b"test", b"index", b"model", b"error", b"http", b"html", b"image", b"version", b"abstract", b"default", b"request", b"response")
@@ -97,9 +107,14 @@ def values(text: bytes) -> list[tuple[int, int]]:
     return out
 
 
+def logins(text: bytes) -> list[tuple[int, int]]:
+    """Passwords in addresses."""
+    return [m.span(1) for m in _LOGIN.finditer(text)] if b"://" in text else []
+
+
 def candidates(text: bytes) -> list[tuple[int, int]]:
-    """Start and stop of all candidates, in order; a span that is both a run and a value counts once."""
-    return sorted({*runs(text), *values(text)})
+    """Start and stop of all candidates, in order; a span that is of several kinds counts once."""
+    return sorted({*runs(text), *values(text), *logins(text)})
 
 
 def _kind(c: int) -> int:
@@ -207,12 +222,17 @@ def describe(text: bytes, start: int, stop: int, path: str | None, pieces: Piece
     count = np.array(list(Counter(value).values())) / n
     before, after = text[max(0, start - AROUND) : start], text[stop : stop + AROUND]
     hexes = sum(c in b"0123456789abcdefABCDEF" for c in value) / n
+    # What stands before it without a space says which part of an address it is.
+    glued = _GLUED.search(text[max(0, start - 300) : start])[0]
+    address = b"://" in glued or glued.startswith(b"www.")
     return [
         float(min(n, 200)), *share, steps, float(-(count * np.log2(count)).sum()), float(count.max()), hexes,
         float(n in (32, 40, 64, 96, 128)), *coverage(value, text, start, stop, pieces, known),
         float(bool(path and _CODE.search(path))), float(bool(path and _TEST_PATH.search(path))),
         float(bool(_HINT.search(before))), float(bool(_ASSIGNED.search(before))), float(bool(_QUOTED.search(before))),
-        float(bool(_DIGEST.search(before))), float(bool(_HARMLESS.search(before + value + after))), float(bool(re.match(rb"[A-Z]{3,5}[A-Z0-9]{12,}$|gh[pousr]_|sk-|xox[abp]-|eyJ", value))),
+        float(bool(_DIGEST.search(before))), float(bool(_HARMLESS.search(before + value + after))), float(bool(re.match(rb"[A-Z]{3,5}[A-Z0-9]{12,}$|gh[pousr]_|sk[-_]|xox[abp]-|eyJ|AIza|npm_|glpat-|[rp]k_", value))),
+        float(bool(_PUBLIC.search(before + value[:12]))), float(bool(_DATA.search(before))), float(bool(re.match(rb"sha\d+-", value))), float(address), float(address and b"?" in glued), float(address and text[stop : stop + 1] == b"@"),
+        float(bool(_TRACKER.search(glued))), float(bool(_MARKUP.search(before))), float(bool(_HINT.search(glued))), float(value.count(b"-")), float(value.count(b"_")), float(value.count(b"/")), float(value.count(b".")), float(after[:1] in (b"(", b"[")),
     ]
 
 
@@ -290,46 +310,59 @@ def labelled_findings(n: int = FINDINGS, seed: int = 0) -> list[tuple[bytes, int
     """Synthetic (text, start, stop, path, label): half secrets, half strings that look like them."""
     rng = np.random.default_rng(seed)
     pick = lambda items: items[int(rng.integers(len(items)))]
-    draw = lambda letters, k: "".join(pick(letters) for _ in range(k))
-    low, up, num = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    draw = lambda letters, k: "".join(letters[i] for i in rng.integers(len(letters), size=k))
+    some = lambda a, b: int(rng.integers(a, b))
+    low, up, num, hexes = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
+    both = low + up + num
+    b64 = both + "+/"
+    # Syllables of an invented language, so that the forest learns no vocabulary.
+    syllables: list[str] = []
+    word = lambda k: "".join(pick(syllables) for _ in range(k))
+    words = lambda k, by, size=2: by.join(word(size) for _ in range(k))
+    # Chosen passwords mix kinds of characters; plain values are words, references and calls.
+    chosen = lambda k: word(1).capitalize()[: k - 4] + draw(both + "!#$%*.?^~", max(k - 4, 4)) + draw(num, 1) + draw("!#$%*.?^~", 1)
+    named = lambda: pick(["password=", "token = \"", "secret: ", "api_key=", "auth_token='", "Authorization: Bearer ", "passwd = ", "token = “", "密码：", "\"client_secret\": \"", "export DB_PASSWORD=", "access_key = ", "apiKey: '", "X-Auth-Token: ", "_authToken="])
+    weak = lambda: pick(["password=", "token = ", "secret: ", "password = \"", "token: ", "密码：", "api_key = ", "auth: "])
+    host = lambda: f"{word(2)}.{pick(['com', 'org', 'io', 'net'])}"
+    secret = [
+        lambda: (pick(["", named()]), "AKIA" + draw(up + num, 16)), lambda: (named(), draw(hexes, pick([18, 20, 24, 32, 40, 64]))), lambda: (named(), draw(both, some(20, 60))),
+        lambda: (named(), draw(b64, pick([40, 64, 86, 88])) + pick(["", "=", "=="])), lambda: (pick(["", named()]), pick(["ghp_", "gho_", "npm_"]) + draw(both, 36)), lambda: (named(), draw(both + "_-", some(16, 44))),
+        lambda: (named(), chosen(some(8, 24))), lambda: (pick(["passphrase: ", "password: ", "pass_phrase=", "password = \"", "pwd: "]), words(some(4, 7), "-", 1) if rng.random() < 0.5 else words(some(4, 6), "-")),
+        lambda: (f"{pick(['postgres', 'mysql', 'amqp', 'redis', 'https', 'mongodb+srv'])}://{word(2)}:", pick([chosen(some(8, 18)).replace("?", "x").replace("#", "y"), draw(both, some(8, 24))]), f"@{host()}/{word(1)}"),
+        lambda: (f"?{word(1)}=1&{pick(['token', 'api_key', 'access_token', 'password'])}=", draw(both, some(16, 40)), f"&{word(1)}={word(1)}"), lambda: (pick(["key ", "maps ", named()]), "AIza" + draw(both + "_-", 35)),
+        lambda: (pick(["", named()]), f"{pick(['xoxb', 'xoxp'])}-{draw(num, 12)}-{draw(num, 12)}-{draw(both, 24)}"), lambda: (pick(["", named()]), pick(["sk_live_", "rk_live_", "sk-", "glpat-"]) + draw(both, some(20, 40))),
+        lambda: (pick(["Bearer ", "jwt ", named()]), f"eyJ{draw(both, some(20, 40))}"), lambda: (f"-----BEGIN {pick(['RSA ', 'EC ', ''])}PRIVATE KEY-----\n", draw(b64, 64), "\n"), lambda: ("Authorization: Basic ", draw(b64, some(20, 44)) + pick(["", "="])),
+        lambda: (pick(["AccountKey=", "SharedAccessKey=", "aws_secret_access_key = "]), draw(b64, pick([40, 43, 86])) + pick(["", "=", "=="]), ";"),
+    ]
+    plain = [lambda: word(4), lambda: word(2) + "." + word(2), lambda: f"{word(2)}.{word(2)}()", lambda: "${" + word(3).upper() + "}", lambda: f"<{word(3)}>", lambda: f"{word(2)} {word(2)} {word(1)}", lambda: word(2) + "_" + word(2), lambda: f"get{word(2).capitalize()}{word(2).capitalize()}()", lambda: words(3, "_"), lambda: f"os.environ['{word(3).upper()}']"]
+    uuid = lambda: f"{draw(hexes, 8)}-{draw(hexes, 4)}-4{draw(hexes, 3)}-a{draw(hexes, 3)}-{draw(hexes, 12)}"
+    other = [
+        lambda: ("", word(some(6, 10))), lambda: ("", word(7).upper()), lambda: ("", draw(num, pick([16, 16, 18, 20]))), lambda: (pick(["", "uuid ", "id: "]), uuid()), lambda: ("", "get" + "".join(word(2).capitalize() for _ in range(4)), pick(["(", " "])),
+        lambda: ("", words(4, "_")), lambda: ("", words(4, "/")), lambda: (pick(["token = \"", "password=", ""]), "x" * some(16, 40)), lambda: (pick(["token = \"", "api_key="]), "your_api_key_" + word(3)), lambda: (weak(), pick(plain)()), lambda: (weak(), pick(plain)()),
+        lambda: (pick(["sha256: ", "commit ", "md5=", "checksum: ", "blob ", "etag: \"", "@sha256:", "tree "]), draw(hexes, pick([32, 40, 64]))), lambda: ("", "-" * some(16, 60)), lambda: (pick(["", "const "]), words(4, "_").upper()),
+        lambda: (pick(["integrity=\"", "\"integrity\": \"", "integrity "]), f"{pick(['sha512', 'sha384', 'sha256', 'sha1'])}-{draw(b64, pick([43, 64, 86]))}" + pick(["", "=", "=="])), lambda: (f"{host()}/{word(2)} v{draw(num, 1)}.{draw(num, 2)}.0 h1:", draw(b64, 43) + "="),
+        lambda: (pick(["data:image/png;base64,", "url(data:font/woff2;base64,", "src=\"data:image/gif;base64,"]), draw(b64, some(40, 200)) + pick(["", "=", "=="])), lambda: (pick(["ssh-rsa ", "ssh-ed25519 ", "ecdsa-sha2-nistp256 "]), pick(["AAAAB3NzaC1yc2E", "AAAAC3NzaC1lZDI1NTE5AAAAI", "AAAAE2VjZHNhLXNoYTItbmlzdHAyNTYA"]) + draw(b64, some(40, 200)), f" {word(2)}@{host()}"),
+        lambda: (pick(["-----BEGIN CERTIFICATE-----\n", "-----BEGIN PUBLIC KEY-----\n", "public_key: ", "fingerprint SHA256:"]), draw(b64, pick([43, 64]))), lambda: (f"https://{host()}/{word(1)}/", draw(both + "_-", some(16, 44)), pick(["/", " ", f"/{word(1)}"])),
+        lambda: (f"https://{host()}/{word(2)}/{pick(['d/', 'watch/', 'id/', 'file/'])}", draw(both + "_-", some(20, 44)) + pick(["", "/edit", "/view"])),
+        lambda: (f"https://{host()}/{word(1)}?{pick(['utm_id', 'utm_source', 'gclid', 'fbclid', 'ref', 'id', 'cid', 'v', 'rev', 'doc_id', 'itemId', 'page'])}=", draw(both + "_-", some(16, 60)), pick([" ", f"&{word(1)}={word(1)}"])),
+        lambda: (f"https://{host()}/?{word(1)}={word(1)}&{pick(['utm_campaign', 'msclkid', 'session', 'hash', 'q', 'tag'])}=", draw(both, some(16, 40))), lambda: (pick(["class=\"", "className=\"", "<div class='", "class=\"" + word(2) + " "]), f"{word(2).capitalize()}_{word(1)}__{draw(both, some(5, 12))}" if rng.random() < 0.5 else words(some(3, 6), "-")),
+        lambda: (pick(["class=\"", "id=\"", "."]), f"{pick(['css', 'sc', 'jss', word(1)])}-{draw(both, some(12, 24))}"), lambda: (pick(["href=\"#", "id=\"", "for=\""]), words(some(3, 6), "-")), lambda: (f"{word(1)}/static/{word(1)}.", draw(hexes, pick([16, 20, 32])), ".js"),
+        lambda: (pick(["X-Request-Id: ", "trace_id=", "traceparent: 00-", "correlation id "]), draw(hexes, 32)), lambda: (f"<path d=\"", f"M{draw(num, 2)}-{draw(num, 3)}-{draw(num, 3)}-{draw(num, 4)}-{draw(num, 3)}"), lambda: (pick(["at ", "id ", "ts="]), "2024" + draw(num, some(12, 16))),
+        lambda: (pick(["pip install ", "import ", "docker pull "]), words(some(2, 4), "-") + "-" + words(2, "/")),
+    ]
     out = []
     for i in range(n):
-        # Syllables of an invented language, so that the forest learns no vocabulary.
-        syllables = [draw("bcdfghklmnprstvz", 1) + draw("aeiou", 1) + draw("lmnrst", int(rng.integers(2))) for _ in range(30)]
-        word = lambda k: "".join(pick(syllables) for _ in range(k))  # noqa: B023, E731
-        # Chosen passwords mix kinds of characters; plain values are words, references and calls.
-        chosen = lambda k: word(1).capitalize()[: k - 4] + draw(low + up + num + "!#$%&*.?@^~", k)[: max(k - 4, 4)] + draw(num, 1) + draw("!#$%&*.?@^~", 1)  # noqa: B023, E731
-        plain = [lambda: word(4), lambda: word(2) + "." + word(2), lambda: f"{word(2)}.{word(2)}()", lambda: "${" + word(3).upper() + "}", lambda: f"<{word(3)}>", lambda: f"{word(2)} {word(2)} {word(1)}", lambda: word(2) + "_" + word(2)]  # noqa: B023
+        syllables[:] = [draw("bcdfghklmnprstvz", 1) + draw("aeiou", 1) + draw("lmnrst", some(0, 2)) for _ in range(30)]
         label = i % 2
-        if label:
-            value = pick([
-                lambda: "AKIA" + draw(up + num, 16), lambda: draw("0123456789abcdef", pick([18, 20, 24, 32, 40, 64])),
-                lambda: draw(low + up + num, int(rng.integers(20, 60))), lambda: draw(low + up + num + "+/", pick([40, 64, 88])),
-                lambda: "ghp_" + draw(low + up + num, 36), lambda: draw(low + up + num + "_-", int(rng.integers(16, 44))),
-                lambda: chosen(int(rng.integers(8, 24))),
-            ])()
-            lead = pick(["", "password=", "token = \"", "secret: ", "api_key=", "auth_token='", "Authorization: Bearer ", "passwd = ", "token = “", "密码："])
-            if not value.startswith(("AKIA", "ghp_")) and not lead:
-                lead = "token = \""
-        else:
-            value = pick([
-                lambda: word(int(rng.integers(6, 10))), lambda: word(7).upper(), lambda: draw(num, pick([16, 16, 18, 20])),
-                lambda: f"{draw('0123456789abcdef', 8)}-{draw('0123456789abcdef', 4)}-4{draw('0123456789abcdef', 3)}-a{draw('0123456789abcdef', 3)}-{draw('0123456789abcdef', 12)}",
-                lambda: "get" + "".join(word(2).capitalize() for _ in range(4)), lambda: "_".join(word(2) for _ in range(4)), lambda: "/".join(word(2) for _ in range(4)),
-                lambda: "x" * int(rng.integers(16, 40)), lambda: "your_api_key_" + word(3), lambda: pick(plain)(), lambda: draw("0123456789abcdef", pick([32, 40, 64])), lambda: "-" * int(rng.integers(16, 60)),
-            ])()
-            lead = "" if not re.fullmatch("[0-9a-f]{32,}", value) else pick(["sha256: ", "commit ", "md5=", "checksum: "])
-            if value.startswith("your") or value[0] == "x":
-                lead = pick(["token = \"", "password=", ""])
-            if value[0] in "$<{(" or len(value) < SHORTEST or "." in value or " " in value:
-                lead = pick(["password=", "token = ", "secret: ", "password = \"", "token: ", "密码："])
+        kinds = secret if label else other
+        lead, value, *tail = kinds[(i // 2) % len(kinds)]()
         if len(value) < SHORTEST_VALUE:
             value += draw(low, SHORTEST) if label else word(6)
-        sentence = lambda: " ".join(word(int(rng.integers(1, 4))) for _ in range(int(rng.integers(8, 60))))
+        sentence = lambda: " ".join(word(some(1, 4)) for _ in range(some(8, 60)))
         head = f"{sentence()} {lead}".encode()
-        tail = {"'": "'", '"': '"', "“": "”"}.get(lead[-1:], "") + " " + sentence()
+        close = tail[0] if tail else {"'": "'", '"': '"', "“": "”"}.get(lead[-1:], "") + " "
         path = pick(["src/app.py", "deploy/prod.env", "conf/site.yaml", "tests/fixtures/a.json", "docs/readme.md", "notes.txt", ""])
-        out.append((head + value.encode() + tail.encode(), len(head), len(head) + len(value), path, label))
+        out.append((head + value.encode() + (close + sentence()).encode(), len(head), len(head) + len(value.encode()), path, label))
     return out
 
 
