@@ -7,7 +7,7 @@ as the text of the turn shows which part of the span is the text, for the loss m
 
 Every prefix of every conversation is rendered, whatever its length, so a template that rewrites at any one
 turn is caught. The work grows with the square of a conversation's turns, which is what looking at a
-template from outside costs; the template of this module remembers its turns, so that a prefix is one join.
+template from outside costs; the template of this module remembers the turns of the conversation at hand, so that a prefix is one join.
 
 A conversation is one record and must fit into a worker's memory; conversations are streamed one by one.
 Very long texts are turns like others.
@@ -49,7 +49,7 @@ def unescape(text: str) -> str:
 START, END, LINE = "<|im_start|>", "<|im_end|>", "<|nl|>"
 
 
-@lru_cache(maxsize=4096)
+@lru_cache(maxsize=None)  # `spans` forgets them with each conversation
 def _turn(role: str, text: str) -> str:
     return f"{START}{escape(role).replace(chr(10), LINE)}\n{escape(text)}{END}\n"
 
@@ -80,6 +80,7 @@ def parsed(formatted: str) -> list[tuple[str, str, int, int]]:
 def spans(turns: Turns, template: Template = marked) -> tuple[str, list[tuple[str, int, int]], int | None]:
     """The formatted conversation; for each turn what it adds, and start and end of its text in that; and the first turn
     at which the template rewrites what stood before, if any."""
+    _turn.cache_clear()
     before, found = template([]), []
     for n, (role, text) in enumerate(turns):
         after = template(turns[: n + 1])

@@ -10,7 +10,7 @@ Training uses at most TRAIN_ROWS labelled rows, drawn by a hash of the id, the s
 takes place in numpy on the driver with a fixed seed. Scoring streams over whole texts.
 
 Nulls: a null text is empty and gets a score from its structure alone; a null label is no label; a null
-n_chars is a step of its own. Repeated rows are scored alike; several labels of one id are all used.
+n_chars is a step of its own. Very long texts are read whole, in pieces of words. Repeated rows are scored alike; several labels of one id are all used.
 An empty table gives an empty result; without labels the score is the prior 0.5. Extra columns are left out.
 """
 

@@ -7,7 +7,8 @@ over it, the words beyond it a second pass, so a document is taken 0, 1 or 2 tim
 are a few numbers for each source, and the documents are then filtered without sorting.
 
 Nulls: a null text has size 0; a null source is a source, the last; documents with a null id share
-one hash. Equal ids are taken together. An empty table gives an empty result. Extra columns pass.
+one hash. Equal ids are taken together. Very long texts are counted whole. An empty table gives an empty result. Extra columns pass, but
+names that begin with `__mix_` are of this module.
 """
 
 from __future__ import annotations

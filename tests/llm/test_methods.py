@@ -234,3 +234,52 @@ def test_stages_of_the_pipeline_against_brute_force(spark):
     tokens = p.tokenize(spark, mixed, "").collect()
     assert len(tokens) == sum(copies.values()) and all(r.round_trip and r.n_tokens * 4 == len(r.ids) for r in tokens)
     assert hashlib.sha256(b"").hexdigest() in {hashlib.sha256(bytes(r.ids)).hexdigest() for r in tokens} or not any(copies[i] for i in copies if not by[i])
+
+
+def test_components_of_hubs_and_odd_edges(spark, monkeypatch):
+    """Hubs go by broadcast, other nodes by a shuffle; nulls, loops and repeated edges as stated."""
+    from clinlake.llm import common, graph
+
+    monkeypatch.setattr(common, "MAX_BROADCAST_ROWS", 40)
+    rng = random.Random(4)
+    edges = [(0, n) for n in range(1, 1_500)] + [(5_000 + n, 5_001 + n) for n in range(60)] + [(rng.randrange(6_000, 6_400), rng.randrange(6_000, 6_400)) for _ in range(150)]
+    edges += [(None, 3), (7, None), (9_999, 9_999), (0, 1), (1, 0)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for u, v in edges:
+        if u is not None and v is not None and u != v:
+            a, b = sorted((find(u), find(v)))
+            root[b] = a
+    table = spark.createDataFrame([(u, v, "x") for u, v in edges], "u bigint, v bigint, m string").repartition(5)
+    got = graph.components(table).collect()
+    assert {r.node: r.root for r in got} == {x: find(x) for x in root} and len(got) == len(root)
+    assert graph.components(table.limit(0)).count() == 0
+
+
+def test_long_conversations_stay_linear_in_escaping(monkeypatch):
+    from clinlake.llm import chat
+
+    calls, escape = [], chat.escape
+    monkeypatch.setattr(chat, "escape", lambda text: calls.append(1) or escape(text))
+    turns = [("user" if n % 2 == 0 else "assistant", f"turn {n} <|") for n in range(4_500)]
+    formatted, spans, bad = chat.spans(turns)
+    assert bad is None and len(spans) == 4_500 and len(calls) <= 5 * 4_500
+    assert [t[:2] for t in chat.parsed(formatted)] == turns
+
+
+def test_lines_of_a_host_of_many_texts_are_still_marked(spark):
+    """Above 20,000 texts of a host the limit is a share: planted lines in more than that are boilerplate, those in fewer are not; both parameters are free."""
+    from clinlake.llm import line_quality
+
+    often, seldom = "a licence line that many texts share", "a line of a few texts only"
+    rows = [(n, f"text {'abcdefgh'[n % 8]} number-{n * 7919 % 100_003:x}-{n:x} of this host\n" + (often if n < 60 else seldom if n < 82 else ""), "h") for n in range(21_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    gone = {r.doc_id for r in line_quality.cleaned(docs).filter("boilerplate_words > 0").collect()}
+    assert set(range(60)) <= gone and (set(range(60, 82)) <= gone) == (22 > 21_000 * line_quality.SHARE)
+    strict = {r.doc_id for r in line_quality.cleaned(docs, min_docs=70, share=0.0).filter("boilerplate_words > 0").collect()}
+    assert not strict & set(range(82))
