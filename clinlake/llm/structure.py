@@ -51,6 +51,9 @@ SLACK = 2 * INSERT
 #: Edits after which the last set is looked through for final ones.
 FLUSH = 24
 
+#: A column that is true where a row only says that there is a conversation.
+MARK = "__structure_gone"
+
 Item = tuple[str, int, int]
 Value = tuple[int, str]
 LEGAL = ("su", "ua", "au")
@@ -148,12 +151,12 @@ class Parse:
 
 
 def faulty(rows: DataFrame) -> DataFrame:
-    """conv_id, turn, role, text, gone, fault, dealt by conversation and sorted by row. gone: rows that only say that there is a conversation."""
+    """conv_id, turn, role, text, gone (MARK, if there is such), fault, dealt by conversation and sorted by row."""
     text, stops = F.col("text"), F.lit(" \t\n\x0b\f\r")
     end = F.rtrim(text, stops)
     wide = rows.select(
         F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit(" ")).alias("role"),
-        F.coalesce(F.col("text").cast("string"), F.lit(" ")).alias("text"), (F.col("gone") if "gone" in rows.columns else F.lit(False)).alias("gone"),
+        F.coalesce(F.col("text").cast("string"), F.lit(" ")).alias("text"), (F.col(MARK) if MARK in rows.columns else F.lit(False)).alias("gone"),
     ).withColumn("end", F.substring(end, -1, 1))
     # One shuffle: rows of a conversation are in one place for the search of duplicates and for parsing.
     seen = Window.partitionBy("conv_id", "gone", "role", "text").orderBy("turn")
@@ -242,7 +245,7 @@ def repaired(rows: DataFrame) -> DataFrame:
 
 
 def damaged(rows: DataFrame) -> DataFrame:
-    """Rows with the faults that the crc32 of `conv_id:turn` modulo 20 says: 0 drops (gone), 1 empties, 2 takes the ends of sentences, 3 repeats, 4 makes the role user.
+    """Rows with the faults that the crc32 of `conv_id:turn` modulo 20 says: 0 drops (MARK), 1 empties, 2 takes the ends of sentences, 3 repeats, 4 makes the role user.
 
     Nulls are one space. Dropped rows stay as marks, so that a conversation that lost all of its rows is known.
     """
@@ -250,7 +253,7 @@ def damaged(rows: DataFrame) -> DataFrame:
     held = rows.select("conv_id", "turn", part("role").alias("role"), part("text").alias("text"), (F.crc32(F.concat(part("conv_id"), F.lit(":"), part("turn")).cast("binary")) % 20).alias("m"))
     m = F.col("m")
     text = F.when(m.isin(0, 1), "").when(m == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
-    out = held.select("conv_id", "turn", F.when(m.isin(0, 4), "user").otherwise(F.col("role")).alias("role"), text.alias("text"), (m == 0).alias("gone"), F.explode(F.array_repeat(F.lit(0), F.when(m == 3, 2).otherwise(1))).alias("copy"))
+    out = held.select("conv_id", "turn", F.when(m.isin(0, 4), "user").otherwise(F.col("role")).alias("role"), text.alias("text"), (m == 0).alias(MARK), F.explode(F.array_repeat(F.lit(0), F.when(m == 3, 2).otherwise(1))).alias("copy"))
     return out.drop("copy")
 
 

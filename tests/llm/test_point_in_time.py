@@ -109,6 +109,17 @@ def test_times_do_not_depend_on_the_session(spark, tables):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+def test_instants_are_taken_as_they_are(spark, tables):
+    """Tables whose times have a zone give the same features, in any session."""
+    zoned = [t.withColumns({c: F.timestamp_micros(point_in_time.micros(t, c)) for c, kind in t.dtypes if kind == "timestamp_ntz"}) for t in tables]
+    assert [dict(t.dtypes)[c] for t, c in zip(zoned, ("ts", "sold_at", "shipped_at"))] == ["timestamp"] * 3
+    for plain, other in zip(tables, zoned):
+        for c, kind in plain.dtypes:
+            if kind == "timestamp_ntz":
+                at = lambda t: sorted(str(r[0]) for r in t.select(point_in_time.micros(t, c)).collect())  # noqa: B023, E731
+                assert at(plain) == at(other)
+
+
 def test_empty_tables(spark, shop):
     none = [spark.createDataFrame([], kind) for kind in (CLICKS, SALES, LINES)]
     assert point_in_time.features(*none).count() == 0

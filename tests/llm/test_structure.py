@@ -11,7 +11,7 @@ import pytest
 from clinlake.llm import structure
 
 SPACE = " \t\n\x0b\f\r"
-SCHEMA = "conv_id bigint, turn bigint, role string, text string, gone_before string, fault string, copy int"
+SCHEMA = "conv_id bigint, turn bigint, role string, text string, gone string, fault string, copy int"
 
 
 def marked(turns):
