@@ -158,6 +158,7 @@ SQL = {
 
 SQL["reconcile_tree"] = SQL["reconcile_rows"]
 SQL["visit_wide_colocated"] = SQL["visit_wide"]
+SQL["everything_colocated"] = SQL["everything_bundle"]
 SQL["access_projected"] = f"""WITH {VISITS}, r AS (SELECT *, ['role_admin', 'role_doctor', 'role_nurse', 'role_lab_tech', 'role_guest'][k % 5 + 1] AS role FROM visits), p AS (
   SELECT visit_id, role, '{{"resourceType":"Encounter","id":"' || visit_id || '"' AS head, ',"identifier":[{{"system":"urn:hospital:his:visit-id","value":"' || visit_id || '"}}]' AS identifier,
     ',"status":"' || CASE WHEN discharge_time IS NULL THEN 'in-progress' ELSE 'finished' END || '"' AS status,

@@ -621,8 +621,8 @@ def _bundles(s, d):
     return out.join(src.patients(s, d).select("patient_id"), "patient_id", "left_semi")
 
 
-def everything_entries(s, d):
-    """Bundle entries of every patient, a row each: the patient as match, then the other resources as include."""
+def _mapped_entries(s, d):
+    """The resources of all kinds with their patient and the rank of their kind, a row each."""
     def entry(df, kind, rank, mode):
         r = fhir.to_resource(df, kind)
         who = F.col("id") if kind == "Patient" else F.substring_index("subject.reference", "/", -1)
@@ -631,11 +631,29 @@ def everything_entries(s, d):
     out = entry(_fhir_patients(s, d), "Patient", 0, "match")
     for rank, (kind, df) in enumerate([("Encounter", _fhir_visits(s, d)), ("MedicationRequest", _fhir_orders(s, d)), ("DiagnosticReport", src.lab_results(s, d))], 1):
         out = out.unionByName(entry(df, kind, rank, "include"))
-    out = out.join(src.patients(s, d).select(F.col("patient_id").cast("string").alias("patient_id")), "patient_id", "left_semi")
-    # Positions and totals come from one pass over the entries.
+    return out.join(src.patients(s, d).select(F.col("patient_id").cast("string").alias("patient_id")), "patient_id", "left_semi")
+
+
+def _positioned(entries: DataFrame) -> DataFrame:
+    """Entries with their position in the patient's bundle, and its total, from one pass."""
     position = F.row_number().over(Window.partitionBy("patient_id").orderBy("rank", "id"))
     total = F.count("*").over(Window.partitionBy("patient_id"))
-    return out.withColumns({"position": position, "total": total}).select("patient_id", "position", "kind", "id", "search_mode", "resource", "total")
+    return entries.withColumns({"position": position, "total": total}).select("patient_id", "position", "kind", "id", "search_mode", "resource", "total")
+
+
+def everything_entries(s, d):
+    """Bundle entries of every patient, a row each: the patient as match, then the other resources as include."""
+    return _positioned(_mapped_entries(s, d))
+
+
+def everything_colocated(s, d):
+    """everything_entries() from one table of resources in buckets of patients: no shuffle when it is read."""
+    from clinlake.sources import colocated
+
+    name = f"entries_{uuid.uuid4().hex}"
+    colocated.save(_mapped_entries(s, d), name, "patient_id", ["rank", "id"])
+    _tables.append((s, name))
+    return _positioned(s.table(name))
 
 
 def bundle_pages(s, d, size: int = 1_000, timestamp: str = "2024-02-01T00:00:00.000Z"):
@@ -868,6 +886,6 @@ NAMES = (
     "everything_bundle cdc_row_events cdc_lsn_bounds cdc_key_columns normalize_time ods_auto_create olap_typed route_configured distinct_topics empi_ranked list_users fhir_numbers "
     "seed_patients seed_visits seed_orders seed_labs "
     "apply_many_tables apply_levels stream_state stream_clicks_once bundle_pages stream_two_phase lookup_indexed month_from_layout rollup_states report_from_states latency_states "
-    "reconcile_tree access_projected columns_grown visit_wide_colocated route_default dedup_positions uniq_approx_close stream_settings"
+    "reconcile_tree access_projected columns_grown visit_wide_colocated everything_colocated route_default dedup_positions uniq_approx_close stream_settings"
 ).split()
 QUERIES = {name: globals()[name] for name in NAMES}

@@ -77,4 +77,7 @@ def test_buckets_join_without_a_shuffle(spark):
     wide = plans.visit_wide_colocated(spark, DATA)
     assert "Exchange" not in wide._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(str, wide.collect())) == sorted(map(str, plans.visit_wide(spark, DATA).collect()))
+    entries = plans.everything_colocated(spark, DATA)
+    assert "Exchange" not in entries._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, entries.collect())) == sorted(map(str, plans.everything_bundle(spark, DATA).collect()))
     plans.release()
