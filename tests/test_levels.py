@@ -81,7 +81,9 @@ def test_rows_are_written_again_a_logarithm_of_times(spark, tmp_path):
     for n in fresh._numbers("checkpoints"):
         fresh.folder.remove(f"checkpoints/{n:012d}.json")
     assert Table(spark, str(path)).manifest() == table.manifest()
-    assert table.vacuum() > 0 and Table(spark, str(path)).manifest()["parts"] == table.manifest()["parts"] and apply.current(Table(spark, str(path))).count() == 20_000
+    behind = Table(spark, str(path))
+    behind._known = (3, behind.manifest(3))  # as of a reader that has seen no commit since
+    assert table.vacuum() > 0 and behind.manifest() == table.manifest() and Table(spark, str(path)).manifest()["parts"] == table.manifest()["parts"] and apply.current(Table(spark, str(path))).count() == 20_000
 
 
 def test_large_runs_are_written_by_several_tasks(spark, tmp_path):
