@@ -283,3 +283,18 @@ def test_lines_of_a_host_of_many_texts_are_still_marked(spark):
     assert set(range(60)) <= gone and (set(range(60, 82)) <= gone) == (22 > 21_000 * line_quality.SHARE)
     strict = {r.doc_id for r in line_quality.cleaned(docs, min_docs=70, share=0.0).filter("boilerplate_words > 0").collect()}
     assert not strict & set(range(82))
+
+
+def test_stages_of_an_empty_table(spark):
+    import corpus_pipeline
+
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs = documents.limit(0)
+    for n, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.count() == 0, name
+        assert n == len(corpus_pipeline.STAGES) - 1 or out.columns == documents.columns
+
+
+def test_encoding_of_an_empty_table(spark):
+    assert bpe.round_trip(spark.createDataFrame([], "doc_id bigint, text string"), bpe.load(spark, bpe.default_path())).count() == 0
