@@ -1,6 +1,10 @@
 """A corpus from raw documents: quality, exact and near duplicates, source mix, token ids.
 
 Every stage takes (spark, docs, sf_dir) and works on all that the stage before it kept.
+
+Nulls: a null text is empty; a null source is a source; rows with a null doc_id are rows like others, and near-duplicate
+detection leaves them alone. Repeated rows fall to one in the stage for exact copies. Very long texts are read whole. An empty table stays
+empty through all stages. Extra columns pass up to the last stage, which returns its own; names that begin with `__` are the stages' own.
 """
 
 from __future__ import annotations
