@@ -35,40 +35,41 @@ def match_score(name: Column, gender: Column, birth: Column, p_name: Column, p_g
     return F.when(name == p_name, NAME).when(part, NAME_PART).otherwise(0) + points(gender == p_gender, GENDER) + points(birth == p_birth, BIRTH)
 
 
-#: Letters of the pieces by which contained names are found.
-GRAM = 3
+#: Letters of a name, at most, by which contained names meet.
+HEAD = 32
 
 
-def _grams(name: str) -> Column:
-    """The distinct pieces of 1 to GRAM letters of a name: at most GRAM for each letter."""
-    each = ", ".join(f"transform(sequence(1, greatest(length({name}) - {k}, 1)), i -> substring({name}, i, {k + 1}))" for k in range(GRAM))
-    return F.expr(f"array_distinct(filter(concat({each}), g -> g <> ''))")
+def _pieces(long: DataFrame, l_name: str, widths: DataFrame) -> DataFrame:
+    """Names with their pieces (`__piece`) of the given lengths that are shorter than the name. widths: one row, of HEAD lengths at most."""
+    each = f"transform(filter(__widths, w -> w < length({l_name})), w -> transform(sequence(1, length({l_name}) - w + 1), i -> substring({l_name}, i, w)))"
+    return long.crossJoin(F.broadcast(widths)).withColumn("__piece", F.explode(F.expr(f"array_distinct(flatten({each}))"))).drop("__widths")
 
 
-def _inside(short: DataFrame, s_name: str, s_gender: str, long: DataFrame, l_name: str, l_gender: str, grams: DataFrame) -> DataFrame:
-    """Pairs of equal gender where the one name is in the other. They meet in the rarest piece of the shorter name, which the longer one must have."""
-    width = f"least({GRAM}, length({s_name}))"
-    own = short.filter(f"length({s_name}) > 0").withColumn("__gram", F.explode(F.expr(f"transform(sequence(1, length({s_name}) - {width} + 1), i -> substring({s_name}, i, {width}))")))
-    counted = own.join(grams, F.col("__gram") == F.col("__g"), "left")
-    rarest = counted.groupBy(*[f"`{c}`" for c in short.columns]).agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__gram").alias("g"))).alias("__r"))
-    spread = long.filter(f"length({l_name}) > 0").withColumn("__piece", F.explode(_grams(l_name)))
-    return rarest.join(spread, (F.col("__r.g") == F.col("__piece")) & (F.col(s_gender) == F.col(l_gender)) & F.col(l_name).contains(F.col(s_name))).drop("__r", "__piece")
+def _inside(short: DataFrame, s_name: str, s_gender: str, long: DataFrame, l_name: str, l_gender: str) -> DataFrame:
+    """Pairs of equal gender where the one name is in the other, longer one.
+
+    The shorter name meets the equal pieces of the longer one, which is cut into pieces of such lengths only as shorter names have. So
+    whoever meets is a match, but for names of more than HEAD letters, which meet by the first HEAD of them.
+    """
+    own = short.filter(f"length({s_name}) > 0").withColumn("__head", F.substring(s_name, 1, HEAD))
+    spread = _pieces(long, l_name, own.agg(F.collect_set(F.length("__head")).alias("__widths")))
+    met = (F.col("__head") == F.col("__piece")) & (F.col(s_gender) == F.col(l_gender)) & (F.length(s_name) < F.length(l_name)) & F.col(l_name).contains(F.col(s_name))
+    return own.join(spread, met).drop("__head", "__piece")
 
 
 def fuzzy(queries: DataFrame, persons: DataFrame) -> DataFrame:
     """Matches of queries (query_id, q_name, q_gender, q_birth) with persons, scored in tenths and above 3.
 
     No pair reaches the limit without an equal birth date, an equal name, or a contained name and an equal
-    gender. All three are equi-joins: for the last, names meet in the rarest piece of three letters of the shorter one,
-    so a name gives a few rows for each of its letters. Persons of a query's birth date are matches by definition, so
+    gender. All three are equi-joins: for the last, the shorter name meets a piece of the longer one, so a name gives at most
+    HEAD rows for each of its letters, and none where no name is shorter. Persons of a query's birth date are matches by definition, so
     they are all in the result. Empty values are as missing ones.
     """
     said = lambda c: F.nullif(F.col(c), F.lit(""))
     p = persons.select("empi_id", said("name").alias("p_name"), said("gender").alias("p_gender"), said("birth_date").alias("p_birth"))
     q = queries.select("query_id", *[said(c).alias(c) for c in ("q_name", "q_gender", "q_birth")])
-    count = lambda df, name: df.select(F.explode(_grams(name)).alias("__g")).groupBy("__g").agg(F.count("*").alias("__n"))
     pairs = q.join(p, F.col("q_birth") == F.col("p_birth")).unionByName(q.join(p, F.col("q_name") == F.col("p_name")))
-    pairs = pairs.unionByName(_inside(q, "q_name", "q_gender", p, "p_name", "p_gender", count(p, "p_name"))).unionByName(_inside(p, "p_name", "p_gender", q, "q_name", "q_gender", count(q, "q_name")))
+    pairs = pairs.unionByName(_inside(q, "q_name", "q_gender", p, "p_name", "p_gender")).unionByName(_inside(p, "p_name", "p_gender", q, "q_name", "q_gender"))
     score = match_score(F.col("q_name"), F.col("q_gender"), F.col("q_birth"), F.col("p_name"), F.col("p_gender"), F.col("p_birth"))
     return pairs.withColumn("score", score).filter(F.col("score") >= LEAST).select("query_id", "empi_id", "score").distinct()
 
