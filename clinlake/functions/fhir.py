@@ -11,9 +11,11 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from clinlake.operators import changes
 
@@ -90,8 +92,16 @@ RULES: dict[str, list[tuple]] = {
 }
 
 
-def _transform(value: Column, name: str | None) -> Column:
+def _transform(value: Column, name: str | None, timed: bool = False) -> Column:
+    """timed: the value is a timestamp already, not a text."""
     text = value.cast("string")
+    if name == "toISOString" and timed:
+        # As a time of UTC without a zone, whose text is the same in any session; short code, as one plan may hold many such times.
+        micros = F.unix_micros(value)
+        shown = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.expr("interval '0.000001' second") * micros
+        millis = F.lpad(F.floor(F.pmod(micros, F.lit(1_000_000)) / 1_000).cast("string"), 3, "0")
+        made = F.concat(F.translate(F.substring_index(shown.cast("string"), ".", 1), " ", "T"), F.lit("."), millis, F.lit("Z"))
+        return F.when(F.year(value) > 9999, text).otherwise(made)  # such years have a + in their text
     if name == "toISOString":
         # Texts that name their zone stay as they are, and so do those that are no times.
         at = text.try_cast("timestamp")
@@ -108,8 +118,8 @@ def _transform(value: Column, name: str | None) -> Column:
     return text
 
 
-def leaf(rule: tuple, columns: list[str]) -> Column:
-    """The value of one rule, as text; a field that the table lacks is null."""
+def leaf(rule: tuple, columns: Collection[str], get: Callable[[str], Column] | None = None, timed: Collection[str] = ()) -> Column:
+    """The value of one rule, as text; a field that the table lacks is null. get: a field's column, by its name; timed: fields that are timestamps."""
     _, kind, field, detail = rule
     if kind not in ("constant", "direct", "mapping", "template", "conditional"):
         raise ValueError(f"unknown kind of rule: {kind}")
@@ -117,9 +127,9 @@ def leaf(rule: tuple, columns: list[str]) -> Column:
         return F.lit(detail)
     if field not in columns:
         return F.lit(detail[0]) if kind == "conditional" else F.lit(None).cast("string")
-    value = F.col(f"`{field}`")
+    value = F.col(f"`{field}`") if get is None else get(field)
     if kind == "direct":
-        return _transform(value, detail)
+        return _transform(value, detail, field in timed)
     if kind == "mapping":
         table, default = detail
         known = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
@@ -131,14 +141,14 @@ def leaf(rule: tuple, columns: list[str]) -> Column:
     return F.when(value.isNull(), F.lit(detail[0])).otherwise(F.lit(detail[1]))
 
 
-def _tree(rules: list[tuple], columns: list[str]) -> dict:
+def _tree(rules: list[tuple], columns: Collection[str], get: Callable[[str], Column] | None = None, timed: Collection[str] = ()) -> dict:
     root: dict = {}
     for rule in rules:
         steps = [int(s) if s.isdigit() else s for s in re.findall(r"[^.\[\]]+", rule[0])]
         at = root
         for step in steps[:-1]:
             at = at.setdefault(step, {})
-        at[steps[-1]] = leaf(rule, columns)
+        at[steps[-1]] = leaf(rule, columns, get, timed)
     return root
 
 
@@ -162,16 +172,26 @@ def _column(tree, leaves: list[Column]) -> Column:
     return F.when(F.coalesce(*mine).isNotNull(), F.struct(*[c.alias(k) for k, c in parts.items()]))
 
 
-def compiled(resource: str, columns: list[str], rules: dict[str, list[tuple]] | None = None) -> list[Column]:
+def compiled(resource: str, columns: Collection[str], rules: dict[str, list[tuple]] | None = None, get: Callable[[str], Column] | None = None, timed: Collection[str] = ()) -> list[Column]:
     """The top-level fields of a resource."""
     known = RULES if rules is None else rules
     if resource not in known:
         raise ValueError(f"no rules for {resource}")
-    return [_column(v, []).alias(k) for k, v in _tree(known[resource], columns).items()]
+    return [_column(v, []).alias(k) for k, v in _tree(known[resource], columns, get, timed).items()]
 
 
 def to_resource(df: DataFrame, resource: str, rules: dict[str, list[tuple]] | None = None) -> DataFrame:
-    return df.select(*compiled(resource, df.columns, rules))
+    return df.select(*compiled(resource, df.columns, rules, timed=timestamps(df)))
+
+
+def timestamps(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, TimestampType)]
+
+
+def used(df: DataFrame, resource: str) -> list[str]:
+    """The columns that the rules of a resource read."""
+    fields = {rule[2] for rule in RULES[resource]}
+    return [c for c in df.columns if c in fields]
 
 
 def to_json(df: DataFrame) -> Column:

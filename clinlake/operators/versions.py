@@ -6,6 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, AtomicType, DataType, StructType, VariantType
+
+
+def _sortable(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return all(_sortable(f.dataType) for f in kind)
+    if isinstance(kind, ArrayType):
+        return _sortable(kind.elementType)
+    return isinstance(kind, AtomicType) and not isinstance(kind, VariantType)
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], deleted: Column | None = None, columns: Sequence[str] | None = None) -> DataFrame:
@@ -17,9 +26,19 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], de
     wanted = [c for c in (df.columns if columns is None else columns) if c not in keys]
     rank = F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"o{i}") for i, o in enumerate(order)])
     gone = [] if deleted is None else [deleted.alias("__gone")]
-    whole = F.struct(*[F.col(f"`{c}`") for c in wanted], *gone, F.lit(0).alias("__one"))
-    out = df.groupBy(*keys).agg(F.max_by(whole, rank).alias("__row"))
-    out = out.select(*keys, *[F.col("__row")[c].alias(c) for c in wanted], *([F.col("__row.__gone").alias("__gone")] if gone else []))
+    # What is in the order is not carried twice.
+    place = {o: f"o{i}" for i, o in enumerate(order) if isinstance(o, str)}
+    rest = [c for c in wanted if c not in place]
+    whole = F.struct(*[F.col(f"`{c}`") for c in rest], *gone, F.lit(0).alias("__one"))
+    if _sortable(df.select(*[f"`{c}`" for c in rest]).schema):
+        # The largest of (order, rest) is one of the last in order.
+        out = df.groupBy(*keys).agg(F.max(F.struct(rank.alias("r"), whole.alias("w"))).alias("__last"))
+        of = lambda c: F.col("__last.r")[place[c]] if c in place else F.col("__last.w")[c]
+    else:
+        whole = F.struct(*[F.col(f"`{c}`") for c in wanted], *gone, F.lit(0).alias("__one"))
+        out = df.groupBy(*keys).agg(F.struct(F.max_by(whole, rank).alias("w")).alias("__last"))
+        of = lambda c: F.col("__last.w")[c]
+    out = out.select(*keys, *[of(c).alias(c) for c in wanted], *([F.col("__last.w")["__gone"].alias("__gone")] if gone else []))
     if gone:
         out = out.filter(~F.coalesce("__gone", F.lit(False)))
     order_of = [*keys, *wanted] if columns is not None else df.columns

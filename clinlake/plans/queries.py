@@ -621,50 +621,79 @@ def _bundles(s, d):
     return out.join(src.patients(s, d).select("patient_id"), "patient_id", "left_semi")
 
 
-def _mapped_entries(s, d):
-    """The resources of all kinds with their patient and the rank of their kind, a row each."""
-    def entry(df, kind, rank, mode):
-        r = fhir.to_resource(df, kind)
-        who = F.col("id") if kind == "Patient" else F.substring_index("subject.reference", "/", -1)
-        return r.select(who.alias("patient_id"), F.lit(kind).alias("kind"), F.lit(rank).alias("rank"), "id", F.lit(mode).alias("search_mode"), fhir.to_json(r).alias("resource"))
+#: Kinds of a bundle's resources by rank, with the field of their id.
+KINDS = (("Patient", "patient_id"), ("Encounter", "visit_id"), ("MedicationRequest", "order_id"), ("DiagnosticReport", "result_id"))
 
-    out = entry(_fhir_patients(s, d), "Patient", 0, "match")
-    for rank, (kind, df) in enumerate([("Encounter", _fhir_visits(s, d)), ("MedicationRequest", _fhir_orders(s, d)), ("DiagnosticReport", src.lab_results(s, d))], 1):
-        out = out.unionByName(entry(df, kind, rank, "include"))
-    return out.join(src.patients(s, d).select(F.col("patient_id").cast("string").alias("patient_id")), "patient_id", "left_semi")
+
+def _unmapped_entries(s, d):
+    """What the resources of all kinds are made from, a row each: patient_id, rank of the kind, id, and in the kind's own column the other
+    fields that its rules read. Much narrower than the resources, so this is what is shuffled, sorted and stored. Also the names of
+    the fields of each kind, and of those that are timestamps."""
+    out, fields, timed = None, {}, {}
+    for rank, ((kind, key), df) in enumerate(zip(KINDS, (_fhir_patients(s, d), _fhir_visits(s, d), _fhir_orders(s, d), src.lab_results(s, d)))):
+        fields[kind], timed[kind] = fhir.used(df, kind), fhir.timestamps(df)
+        own = F.struct(*[c for c in fields[kind] if c not in ("patient_id", key)]).alias(kind)
+        rows = df.select(F.col("patient_id").cast("string").alias("patient_id"), F.lit(rank).alias("rank"), F.col(key).cast("string").alias("id"), own)
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out.join(src.patients(s, d).select(F.col("patient_id").cast("string").alias("patient_id")), "patient_id", "left_semi"), fields, timed
+
+
+def _mapped(entry, fields: dict, timed: dict) -> Column:
+    """The resource of an entry as JSON. entry: a column of it, by its name."""
+    out = None
+    for rank, (kind, key) in enumerate(KINDS):
+        get = lambda c, kind=kind, key=key: entry("patient_id") if c == "patient_id" else entry("id") if c == key else entry(kind)[c]
+        made = F.to_json(F.struct(*fhir.compiled(kind, fields[kind], get=get, timed=timed[kind])))
+        out = F.when(entry("rank") == rank, made) if out is None else out.when(entry("rank") == rank, made)
+    return out
 
 
 def _positioned(entries: DataFrame) -> DataFrame:
     """Entries with their position in the patient's bundle, and its total, from one pass."""
     position = F.row_number().over(Window.partitionBy("patient_id").orderBy("rank", "id"))
     total = F.count("*").over(Window.partitionBy("patient_id"))
-    return entries.withColumns({"position": position, "total": total}).select("patient_id", "position", "kind", "id", "search_mode", "resource", "total")
+    return entries.withColumns({"position": position, "total": total})
+
+
+def _search_mode(rank: Column) -> Column:
+    return F.when(rank == 0, "match").otherwise("include")
+
+
+def _shown(positioned: DataFrame, fields: dict, timed: dict) -> DataFrame:
+    kind = F.element_at(F.array(*[F.lit(k) for k, _ in KINDS]), F.col("rank") + 1)
+    return positioned.select("patient_id", "position", kind.alias("kind"), "id", _search_mode(F.col("rank")).alias("search_mode"), _mapped(F.col, fields, timed).alias("resource"), "total")
 
 
 def everything_entries(s, d):
     """Bundle entries of every patient, a row each: the patient as match, then the other resources as include."""
-    return _positioned(_mapped_entries(s, d))
+    held, fields, timed = _unmapped_entries(s, d)
+    return _shown(_positioned(held), fields, timed)
 
 
 def everything_colocated(s, d):
-    """everything_entries() from one table of resources in buckets of patients: no shuffle when it is read."""
+    """everything_entries() from one table of what resources are made from, in buckets of patients: no shuffle when it is read."""
     from clinlake.sources import colocated
 
     name = f"entries_{uuid.uuid4().hex}"
-    colocated.save(_mapped_entries(s, d), name, "patient_id", ["rank", "id"])
+    held, fields, timed = _unmapped_entries(s, d)
+    rows = sum(src.table(s, d, t).count() for t in ("customer", "orders", "lineitem", "events"))  # from the files' footers
+    colocated.save(held, name, "patient_id", ["rank", "id"], colocated.buckets_for(rows))
     _tables.append((s, name))
-    return _positioned(s.table(name))
+    return _shown(_positioned(s.table(name)), fields, timed)
 
 
 def bundle_pages(s, d, size: int = 1_000, timestamp: str = "2024-02-01T00:00:00.000Z"):
     """Bundle objects of every patient as JSON: resourceType, type, total, timestamp, entry. A bundle has `size` entries at most; patients with more have several pages."""
     page = F.floor((F.col("position") - 1) / size).cast("int")
-    # Resources are JSON already, so a bundle is put together as text.
-    entry = F.concat(F.lit('{"resource":'), F.col("resource"), F.lit(',"search":{"mode":"'), F.col("search_mode"), F.lit('"}}'))
-    held = everything_entries(s, d).select("patient_id", (page + 1).alias("page"), "total", F.struct("position", entry.alias("entry")).alias("e"))
+    rows, fields, timed = _unmapped_entries(s, d)
+    # A page is collected from what its resources are made from, and mapped then, so that no resource is sorted.
+    held = _positioned(rows).select("patient_id", (page + 1).alias("page"), "total", F.struct("position", "rank", "id", *[k for k, _ in KINDS]).alias("e"))
     one = held.groupBy("patient_id", "page").agg(F.first("total").alias("total"), F.array_sort(F.collect_list("e")).alias("es"))
+    # Resources are JSON already, so a bundle is put together as text.
+    resource = lambda e: _mapped(lambda c: F.col("patient_id") if c == "patient_id" else e[c], fields, timed)
+    entry = lambda e: F.concat(F.lit('{"resource":'), resource(e), F.lit(',"search":{"mode":"'), _search_mode(e["rank"]), F.lit('"}}'))
     head = F.concat(F.lit('{"resourceType":"Bundle","type":"searchset","total":'), F.col("total").cast("string"), F.lit(f',"timestamp":"{timestamp}","entry":['))
-    return one.select("patient_id", "page", "total", F.concat(head, F.array_join(F.col("es.entry"), ","), F.lit("]}")).alias("bundle"))
+    return one.select("patient_id", "page", "total", F.concat(head, F.array_join(F.transform("es", entry), ","), F.lit("]}")).alias("bundle"))
 
 
 def patient_everything(s, d):
@@ -776,8 +805,9 @@ def visit_wide_colocated(s, d):
 
     n = uuid.uuid4().hex
     names = (f"visits_{n}", f"patients_{n}")
-    colocated.save(src.visits(s, d), names[0], "patient_id")
-    colocated.save(_patients(s, d), names[1], "patient_id")
+    buckets = colocated.buckets_for(src.table(s, d, "orders").count())
+    colocated.save(src.visits(s, d), names[0], "patient_id", buckets=buckets)
+    colocated.save(_patients(s, d), names[1], "patient_id", buckets=buckets)
     _tables.extend((s, x) for x in names)
     w = rollups.visit_wide(s.table(names[0]), s.table(names[1]).hint("merge"), at(AS_OF))
     return w.select("visit_id", "patient_id", "patient_name", "gender", "dept", "visit_type", "diagnosis", second("admit_time").alias("admit_time"), F.round("age", 4).alias("age"), "los_hours")

@@ -6,7 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-BUCKETS = 16
+#: Buckets at least, and rows of a bucket: a bucket is sorted by one task.
+BUCKETS, ROWS = 16, 2_000_000
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets of a table of so many rows, so that a task's share stays the same when the table grows."""
+    return max(BUCKETS, -(-rows // ROWS))
 
 
 def save(rows: DataFrame, name: str, key: str, sort: Sequence[str] = (), buckets: int = BUCKETS) -> None:

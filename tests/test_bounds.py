@@ -1,6 +1,13 @@
 """What is shuffled, kept and made grows with the input, not with its squares or its widest rows."""
 
-from clinlake.operators import identity
+from pyspark.sql import functions as F
+
+from clinlake.functions import fhir
+from clinlake.operators import identity, versions
+from clinlake.plans import queries as plans
+from clinlake.sources import colocated
+
+DATA = "/root/testdata/sf0.001"
 
 PEOPLE = "empi_id string, name string, gender string, birth_date string"
 ASKED = "query_id string, q_name string, q_gender string, q_birth string"
@@ -21,3 +28,34 @@ def test_long_names_inside_longer_ones(spark):
     names = {r.empi_id: (r.name, r.gender) for r in people.collect()}
     want = {(q, e) for q, n in (("q1", long[20:53]), ("q2", long)) for e, (p, g) in names.items() if n == p or (g == "M" and (n in p or p in n))}
     assert {(r.query_id, r.empi_id) for r in identity.fuzzy(asked, people).collect()} == want
+
+
+def test_resources_are_made_after_the_shuffle(spark):
+    for made in (plans.everything_bundle, plans.bundle_pages, plans.everything_colocated):
+        df = made(spark, DATA)
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "urn:hospital" in text and "urn:hospital" not in text[text.index("Window [") :]  # the plan's lower part comes last
+    name = plans._tables[-1][1]
+    assert "resource" not in spark.table(name).columns
+    plans.release()
+
+
+def test_buckets_grow_with_the_rows():
+    assert colocated.buckets_for(0) == colocated.BUCKETS
+    assert [colocated.buckets_for(n * 1_000_000_000) for n in (1, 2, 4)] == [500, 1000, 2000]
+
+
+def test_latest_carries_the_order_once(spark):
+    rows = spark.createDataFrame([(1, "a", 1, "x", {"k": "1"}), (1, "b", 2, None, None), (2, "c", None, "y", {"k": "2"}), (2, "d", 1, "z", {"k": "3"})], "k int, v string, at int, w string, m map<string,string>")
+    got = versions.latest(rows, ["k"], ["at"], columns=["v", "at", "w"])
+    assert "max_by" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == [(1, "b", 2, None), (2, "d", 1, "z")]
+    whole = versions.latest(rows, ["k"], ["at"], deleted=F.col("w").isNull())
+    assert [tuple(r) for r in whole.collect()] == [(2, "d", 1, "z", {"k": "3"})]  # a map has no order
+
+
+def test_times_of_resources(spark):
+    texts = ["1969-12-31 23:59:59.999", "2024-02-29 00:00:00", "0001-01-01 05:06:07.5", "2024-01-01 01:02:03.123456", "9999-12-31 23:59:59"]
+    rows = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", F.expr("cast(t as timestamp)").alias("at"))
+    got = rows.select(fhir._transform(F.col("at"), "toISOString", True).alias("new"), fhir._transform(F.col("at"), "toISOString").alias("old")).collect()
+    assert [r.new for r in got] == [r.old for r in got] and got[0].new == "1969-12-31T23:59:59.999Z" and got[-1].new is None
