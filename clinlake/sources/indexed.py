@@ -35,11 +35,18 @@ def write(rows: DataFrame, path: str, key: str, at: str, sort: Collection[str] =
     ranges.write.parquet(f"{path}/index")
     most = spark.read.parquet(f"{path}/index").agg(F.coalesce(F.max("rows"), F.lit(1))).first()[0]
     bits = -(-most * BITS // PIECE) * PIECE
-    each = kept.filter("key is not null").select("file", F.explode(F.array(*[_probe(F.col("key"), n, bits) for n in range(PROBES)])).alias("bit"))
-    pieces = each.groupBy("file", F.bitmap_bucket_number("bit").alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap"))
+    bitmaps = _bits(kept, bits).groupBy("at", F.bitmap_bucket_number("bit").alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bitmap"))
+    pieces = bitmaps.join(spark.read.parquet(f"{path}/index").select("file", F.xxhash64("file").alias("at")), "at").select("file", "piece", "bitmap")
     pieces.withColumn("bits", F.lit(bits)).repartitionByRange("piece").sortWithinPartitions("piece").write.parquet(f"{path}/filter")
 
 
+def _bits(kept: DataFrame, bits: int) -> DataFrame:
+    """The bits of every row as two numbers, as bitmaps are made by a sort: the file by its hash (files of equal hashes would share
+    their bits, which loses no key), and the bit."""
+    probes = F.array(*[_probe(F.col("key"), n, bits) for n in range(PROBES)])
+    return kept.filter("key is not null").select(F.xxhash64("file").alias("at"), F.explode(probes).alias("bit"))
+
+
 def _data(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(spark.read.parquet(f"{path}/schema").schema).parquet(f"{path}/data")
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from clinlake.functions import fhir
 from clinlake.operators import identity, versions
 from clinlake.plans import queries as plans
-from clinlake.sources import colocated
+from clinlake.sources import colocated, indexed
 
 DATA = "/root/testdata/sf0.001"
 
@@ -59,3 +59,16 @@ def test_times_of_resources(spark):
     rows = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", F.expr("cast(t as timestamp)").alias("at"))
     got = rows.select(fhir._transform(F.col("at"), "toISOString", True).alias("new"), fhir._transform(F.col("at"), "toISOString").alias("old")).collect()
     assert [r.new for r in got] == [r.old for r in got] and got[0].new == "1969-12-31T23:59:59.999Z" and got[-1].new is None
+
+
+def test_bitmaps_are_made_from_numbers(spark, tmp_path):
+    rows = spark.range(3_000).select(F.col("id").alias("k"), F.expr("timestamp'2024-01-01' + make_dt_interval(id % 90)").alias("at"))
+    path = str(tmp_path / ("long-name-" * 15))
+    indexed.write(rows, path, "k", "at", files=7)
+    kept = spark.read.parquet(f"{path}/data").selectExpr("_metadata.file_path as file", "k as key")
+    bits = indexed._bits(kept, 32_768)
+    assert [f.dataType.simpleString() for f in bits.schema] == ["bigint", "bigint"] and bits.count() == 3_000 * indexed.PROBES
+    of = {r.key: r.file for r in kept.collect()}
+    for k in range(0, 3_000, 97):
+        assert of[k] in indexed.candidates(spark, path, k) and indexed.lookup(spark, path, "k", k).count() == 1
+    assert {r.file for r in spark.read.parquet(f"{path}/filter").collect()} == set(of.values())
