@@ -85,9 +85,12 @@ def shingles(words: np.ndarray, width: int = WORDS) -> np.ndarray:
 def _ranks(count: int) -> np.ndarray:
     """The second permutation, continued circularly, as slices of `count` coordinates by place."""
     if count not in _table:
-        ranks = np.random.Generator(np.random.PCG64(23)).permutation(POSITIONS).astype(np.uint32)
+        # Made in place: each worker of an executor makes it at the same time, and a copy in 64 bits is four times as large.
+        ranks = np.arange(POSITIONS + count - 1, dtype=np.uint32)
+        np.random.Generator(np.random.PCG64(23)).shuffle(ranks[:POSITIONS])
+        ranks[POSITIONS:] = ranks[: count - 1]
         _table.clear()
-        _table[count] = sliding_window_view(np.concatenate([ranks, ranks[: count - 1]]), count)
+        _table[count] = sliding_window_view(ranks, count)
     return _table[count]
 
 

@@ -1,8 +1,12 @@
 """What is shuffled, kept and made grows with the input, not with its squares or its widest rows."""
 
+import tracemalloc
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from clinlake.functions import fhir
+from clinlake.llm import near_dedup
 from clinlake.operators import identity, versions
 from clinlake.plans import queries as plans
 from clinlake.sources import colocated, indexed
@@ -72,3 +76,14 @@ def test_bitmaps_are_made_from_numbers(spark, tmp_path):
     for k in range(0, 3_000, 97):
         assert of[k] in indexed.candidates(spark, path, k) and indexed.lookup(spark, path, "k", k).count() == 1
     assert {r.file for r in spark.read.parquet(f"{path}/filter").collect()} == set(of.values())
+
+
+def test_ranks_are_made_in_place():
+    near_dedup._table.clear()
+    tracemalloc.start()
+    got = near_dedup._ranks(200)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = np.random.Generator(np.random.PCG64(23)).permutation(near_dedup.POSITIONS).astype(np.uint32)
+    assert (got[:, 0] == np.concatenate([want, want[:199]])[: len(got)]).all() and (got[-1] == np.concatenate([want, want[:199]])[-200:]).all()
+    assert most < 1.5 * want.nbytes
