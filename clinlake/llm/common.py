@@ -204,15 +204,25 @@ def bloom_of(keys: DataFrame, bits: int = FILTER_BITS) -> Bloom:
     return out
 
 
+def held(bloom: Bloom, digests: pa.Array) -> pa.Array:
+    """Whether the filter may hold these values. Nulls are not held."""
+    found = digests.to_pylist()
+    return pa.array(bloom.may_hold(halves([d or b"" for d in found])) & np.array([d is not None for d in found], bool))
+
+
+def shared(bloom: Bloom):
+    """The filter as a broadcast variable, of FILTER_BITS at most."""
+    return SparkSession.getActiveSession().sparkContext.broadcast(bloom)
+
+
 def maybe_in(bloom: Bloom):
     """A function of a binary column: whether the filter may hold its values. Nulls are not held."""
 
     @F.arrow_udf("boolean")
     def maybe(digests: pa.Array) -> pa.Array:
-        found = digests.to_pylist()
-        return pa.array(shared.value.may_hold(halves([d or b"" for d in found])) & np.array([d is not None for d in found], bool))
+        return held(known.value, digests)
 
-    shared = SparkSession.getActiveSession().sparkContext.broadcast(bloom)  # FILTER_BITS at most
+    known = shared(bloom)
     return maybe
 
 

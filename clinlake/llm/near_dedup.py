@@ -112,8 +112,11 @@ def bands(low: np.ndarray, count: int, rows: int) -> np.ndarray:
     return total.view(np.int64)
 
 
-def _sets(batches, more):
+def _sets(batches, more, held=None):
+    """held: a filter of the digests in the fourth column; rows that it does not hold are left out before their texts are cut."""
     for batch in batches:
+        if held is not None:
+            batch = batch.filter(common.held(held.value, batch.column(3)))
         rows = []
         for text in common.byte_rows(batch.column(1)):
             found = shingles(common.words(text))
@@ -122,9 +125,13 @@ def _sets(batches, more):
         yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(extra, pa.list_(pa.int64())), batch.column(2)], names=["doc_id", "n", "set_id", "extra", "text_hash"])
 
 
-def _with_sets(docs: DataFrame, more) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), text_hash().alias("text_hash"))
-    return rows.mapInArrow(lambda batches: _sets(batches, more), "doc_id bigint, n bigint, set_id binary, extra array<bigint>, text_hash bigint")
+def _with_sets(docs: DataFrame, more, held=None) -> DataFrame:
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), text_hash().alias("text_hash"), *([] if held is None else [_id_digest(F.col("doc_id").cast("bigint"))]))
+    return rows.mapInArrow(lambda batches: _sets(batches, more, held), "doc_id bigint, n bigint, set_id binary, extra array<bigint>, text_hash bigint")
+
+
+def _id_digest(doc_id: Column) -> Column:
+    return F.unhex(F.md5(doc_id.cast("string").cast("binary")))
 
 
 def text_hash() -> Column:
@@ -138,9 +145,11 @@ def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return _with_sets(docs, lambda found: bands(signature(found, count * rows), count, rows) if len(found) else None)
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n, set_id, extra, text_hash: as sketches, with the set itself in extra."""
-    return _with_sets(docs, lambda found: found.view(np.int64))
+def shingle_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id, n, set_id, extra, text_hash: as sketches, with the set itself in extra, for all rows with one of these ids (doc_id) and
+    perhaps a few others. A filter of fixed size tells them in the worker that makes the sets, so no text is shuffled, and a task has one worker."""
+    shared = common.shared(common.bloom_of(ids.select(_id_digest(F.col("doc_id")))))
+    return _with_sets(docs, lambda found: found.view(np.int64), shared)
 
 
 def _close(a, b, percent: int) -> Column:
@@ -203,7 +212,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFr
     weight = members.groupBy(F.col("node").alias("w_node")).agg(F.sum("c").alias("weight"))
     members = common.materialize(members.join(weight, F.col("node") == F.col("w_node")).select("node", "n", "band", "weight", "c"), "members")
     wanted = common.materialize(classes.join(members.select("node").distinct(), "node", "left_semi").select("doc_id", F.col("set_id").alias("c_set"), F.col("node").alias("c_node")), "wanted")
-    found = shingle_sets(of_ids(docs, wanted.select("doc_id").distinct()))
+    found = shingle_sets(docs, wanted.select("doc_id").distinct())
     sets = found.join(wanted.drop("doc_id"), F.col("set_id") == F.col("c_set")).select(F.col("c_node").alias("node"), "n", "extra").dropDuplicates(["node"])
     sets = common.materialize(sets, "sets")
     found, tried, comp = None, None, None
@@ -238,15 +247,6 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFr
     return comp
 
 
-def of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of docs with one of these ids. A filter of fixed size lets most other rows go before the texts are shuffled."""
-    key = lambda c: F.unhex(F.md5(F.col(c).cast("string").cast("binary")))
-    maybe = common.maybe_in(common.bloom_of(ids.select(key("doc_id"))))
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    ids = ids.select(F.col("doc_id").alias("i_id"))
-    return docs.filter(maybe(key("doc_id"))).join(ids, F.col("doc_id") == F.col("i_id"), "left_semi")
-
-
 def _components(docs: DataFrame, percent: int) -> DataFrame:
     """doc_id, n, text_hash, component_id for every row."""
     common.tune(docs.sparkSession)

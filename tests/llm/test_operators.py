@@ -361,3 +361,15 @@ def test_pipeline(spark, tmp_path, rows):
     kept = [r.text or "" for r in spark.read.parquet(str(tmp_path / "near_dedup")).collect()]
     assert len({lower(t) for t in kept}) == len(kept) and sizes[1] <= sizes[0] <= len(rows)
     assert docs.filter(~F.col("round_trip")).count() == 0 and sizes[4] == sizes[3]
+
+
+def test_sets_of_candidates_take_one_worker_a_task_and_shuffle_no_text(spark, docs, rows):
+    """The filter by id and the sets are one step in Python: two would be two workers at once in each task."""
+    some = [r[0] for r in rows if r[0] is not None and r[0] % 3 == 0]
+    got = near_dedup.shingle_sets(docs, spark.createDataFrame([(i,) for i in some], "doc_id bigint").distinct())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ArrowEvalPython" not in plan and "hashpartitioning" not in plan and "Join" not in plan
+    found = got.select("doc_id", "n").collect()
+    assert {r.doc_id for r in found} >= set(some) and None not in {r.doc_id for r in found} and len(found) < len(rows)
+    known = {(r.doc_id, r.n) for r in near_dedup.sketches(docs).collect()}
+    assert {tuple(r) for r in found} <= known
