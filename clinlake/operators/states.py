@@ -76,7 +76,8 @@ class Rollups:
         block = self.table.marks.get("base", 0) + 1
         held = rows.cache()
         try:
-            add, drop, marks = {"base": (held, F.lit(str(block)))}, set(), {"base": block}
+            # A block is one bucket, and so are the states of a roll-up: neither may go to one task.
+            add, drop, marks = {"base": (held, F.lit(str(block)), None, True, {("base", str(block)): held.count()})}, set(), {"base": block}
             for name in self.rollups if only is None else only:
                 if self.table.marks.get(name, 0) == block - 1:
                     add[f"rollup/{name}"], gone = self._added(name, self.rollups[name].states(held))
@@ -89,10 +90,11 @@ class Rollups:
 
     def _added(self, name: str, states: DataFrame) -> tuple[tuple, set[str]]:
         runs = [(path, rows) for _, _, path, rows in self.table.runs(f"rollup/{name}")]
-        gone = to_merge(runs, states.count(), FANOUT)
+        count = states.count()
+        gone = to_merge(runs, count, FANOUT)
         if gone:
             states = self.rollups[name].merged(self.table.read_runs(gone).unionByName(states))
-        return (states, F.lit("all")), gone
+        return (states, F.lit("all"), None, True, None if gone else {(f"rollup/{name}", "all"): count}), gone
 
     def _late(self, name: str) -> DataFrame | None:
         """Base rows of blocks that a roll-up does not hold."""

@@ -196,3 +196,20 @@ def test_many_topics_are_subscribed(spark):
     reader = Reader()
     assert apply.kafka(SimpleNamespace(readStream=reader), "h:1", ["b", "a", "b"]).collect()[0].value == "{}"
     assert reader.kind == "kafka" and reader.options["subscribe"] == "a,b" and reader.options["kafka.isolation.level"] == "read_committed" and reader.options["maxOffsetsPerTrigger"] == 500
+
+
+def test_a_block_and_its_states_are_written_by_several_tasks(spark, tmp_path):
+    held = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small as they are, states would be put into one task
+    try:
+        kept = Rollups(Table(spark, str(tmp_path)), [Rollup("by_g", {"g": "g"}, {"n": "1L"}, {"ids": "id"})])
+        for _ in range(3):
+            kept.append(spark.range(0, 4_000, 1, 4).select("id", (F.col("id") % 100).alias("g")))
+            for part in ("base", "rollup/by_g"):
+                for _, _, path, rows in kept.table.runs(part):
+                    files = [f for f in (tmp_path / path).glob("*.parquet")]
+                    assert len(files) > 1 and rows == spark.read.parquet(str(tmp_path / path)).count()
+        got = kept.report(["g"], ["n", "ids"]).collect()
+        assert len(got) == 100 and all(r.n == 120 and r.ids == 40 for r in got)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", held)
