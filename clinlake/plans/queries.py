@@ -353,7 +353,8 @@ def stream_clicks_once(s, d):
         rows = s.readStream.schema(clicks.schema).parquet(f"{base}/in")
         whole = F.unhex(F.sha2(F.to_json(F.struct(*clicks.columns), {"ignoreNullFields": "false"}), 256))
         first = dedup.first_only(rows.withColumn("row", whole), ["row"]).drop("row")
-        query = first.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").option("path", f"{base}/out").trigger(availableNow=True).start()
+        with dedup.few_visits(s):
+            query = first.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").option("path", f"{base}/out").trigger(availableNow=True).start()
         query.awaitTermination()
     out = s.read.schema(clicks.schema).parquet(f"{base}/out")
     return out.select("click_id", "client_id", "kind", second("ts").alias("ts"), F.sha2("props", 256).alias("props"))

@@ -186,6 +186,17 @@ def test_keys_are_forgotten_after_their_time(spark, tmp_path):
     assert run([("a", "2024-01-05 01:00:00")], 2) == ["a", "a", "b", "c"]
 
 
+def test_clicks_have_one_batch_for_each_delivery(spark, tmp_path, monkeypatch):
+    """No batch opens the state only to forget keys, and the settings for that do not stay."""
+    monkeypatch.setattr(plans, "scratch", lambda s, name: str(tmp_path))
+    kept = {k: spark.conf.get(k, None) for k in ("spark.sql.streaming.noDataMicroBatches.enabled", "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows")}
+    rows = plans.stream_clicks_once(spark, DATA)
+    want = spark.read.parquet(f"{DATA}/clicks.parquet").filter("arrived_at is not null").distinct()
+    assert rows.count() == want.count() and rows.select("click_id").exceptAll(want.select("click_id")).isEmpty()
+    assert sorted(p.name for p in (tmp_path / "checkpoint/commits").iterdir() if p.name.isdigit()) == ["0", "1", "2"]
+    assert {k: spark.conf.get(k, None) for k in kept} == kept
+
+
 def test_masks_of_the_settings_reach_the_stream(spark, tmp_path):
     fields = {"s": {"patients": ["phone"]}, "lis": {"x": ["v"]}}
     rows = [("s", "his", table, "INSERT", {"id": "1"}, None, {"phone": "5", "v": "1"}, "f", pos, 0, None, None, None) for pos, table in enumerate(["patients", "visits"])]
