@@ -85,15 +85,16 @@ def _split(spark: SparkSession, sizes: Mapping[tuple[str, str], int], part: Colu
     return F.pmod(F.xxhash64(key, F.lit(1)), F.coalesce(F.try_element_at(known, F.concat_ws("|", part, bucket)), F.lit(1)))
 
 
-def _changed(table: Table, fresh: DataFrame, buckets: int, fanout: int, task_rows: int) -> tuple[tuple, set[str]]:
-    """What a commit adds to the state for changes, and the runs that it drops for that."""
+def _changed(table: Table, fresh: DataFrame, buckets: int, fanout: int, task_rows: int) -> tuple[tuple, set[str], DataFrame]:
+    """What a commit adds to the state for changes, the runs that it drops for that, and what is cached until then. Changes may repeat."""
     # Deleted keys stay as tombstones, so that a change that comes late does not revive them.
-    last = versions.latest(fresh.select(*KEY, "op_type", *POSITION, F.coalesce("after", "before").alias("image")), KEY, POSITION)
+    last = versions.latest(fresh.select(*KEY, "op_type", *POSITION, F.coalesce("after", "before").alias("image")), KEY, POSITION).cache()
+    made = last  # counted first, then written
     counts = {(f"state/{r.t}", r.b): r["count"] for r in last.groupBy(target().alias("t"), bucket_of(buckets).alias("b")).count().collect()}  # targets and buckets of a batch
     old, sizes = _merging(table, "state", counts, fanout)
     if old:
         last = versions.latest(table.read_runs(old).unionByName(last), KEY, POSITION)
-    return (last, bucket_of(buckets), target(), _split(table.spark, sizes, F.concat(F.lit("state/"), target()), bucket_of(buckets), F.col("pk"), task_rows), None if old else sizes), old
+    return (last, bucket_of(buckets), target(), _split(table.spark, sizes, F.concat(F.lit("state/"), target()), bucket_of(buckets), F.col("pk"), task_rows), None if old else sizes), old, made
 
 
 def apply_once(table: Table, events: DataFrame, name: str, batch: int, buckets: int = BUCKETS, deltas: int = FANOUT, task_rows: int = TASK_ROWS) -> bool:
@@ -108,8 +109,11 @@ def apply_once(table: Table, events: DataFrame, name: str, batch: int, buckets:
         if rows.isEmpty():
             table.commit(marks={name: batch})
         else:
-            state, old = _changed(table, rows, buckets, deltas, task_rows)
-            table.commit({"state": state}, marks={name: batch}, drop=old)
+            state, old, made = _changed(table, rows, buckets, deltas, task_rows)
+            try:
+                table.commit({"state": state}, marks={name: batch}, drop=old)
+            finally:
+                made.unpersist()
         return True
     finally:
         rows.unpersist()
@@ -121,21 +125,25 @@ def apply_batch(table: Table, events: DataFrame, retention_hours: int | None = N
     retention_hours: ledger days that ended so long before the latest change are forgotten. Changes without a time are never forgotten.
     """
     rows = keyed(events).withColumn("day", F.date_format("source_timestamp", "yyyyMMdd")).cache()
+    kept = [rows]
     try:
         first, last, untimed = rows.agg(F.min("day"), F.max("day"), F.count_if(F.col("day").isNull()) > 0).first()
         runs = table.runs("ledger")
         ledger = table.read_runs([path for _, b, path, _ in runs if _meets(b, first, last, untimed)])
-        fresh = (rows.dropDuplicates(["idempotency_key"]) if ledger is None else versions.unseen(rows, ledger)).cache()
-        counts = {r.timed: r["count"] for r in fresh.groupBy(F.col("day").isNotNull().alias("timed")).count().collect()}  # two rows
+        fresh = rows if ledger is None else rows.join(ledger.select("idempotency_key"), "idempotency_key", "left_anti").cache()
+        # Repeats within the batch go from the ledger's rows only, which are narrow; in the state the last of a key is one anyway.
+        seen = fresh.groupBy("idempotency_key").agg(F.min("source_timestamp").alias("applied_at")).cache()
+        kept += [fresh, seen]
+        counts = {r.timed: r["count"] for r in seen.groupBy(F.col("applied_at").isNotNull().alias("timed")).count().collect()}  # two rows
         if not counts:
             return 0
-        state, drop = _changed(table, fresh, buckets, deltas, task_rows)
+        state, drop, made = _changed(table, fresh, buckets, deltas, task_rows)
+        kept.append(made)
         since = None
         if retention_hours is not None and last is not None:
             newest = fresh.agg(F.max("source_timestamp") - F.make_dt_interval(F.lit(0), F.lit(retention_hours)))
             since = newest.select(F.date_format(newest.columns[0], "yyyyMMdd")).first()[0]
         forgotten = {path for _, b, path, _ in runs if since and b != NO_DAY and b.partition("-")[2] < since}
-        seen = fresh.select("idempotency_key", F.col("source_timestamp").alias("applied_at"))
         sizes, label, known = {}, NO_DAY, set()
         for timed, n in counts.items():
             held = [(path, rows) for _, b, path, rows in runs if (b != NO_DAY) == timed and path not in forgotten]
@@ -153,10 +161,10 @@ def apply_batch(table: Table, events: DataFrame, retention_hours: int | None = N
         bucket = F.when(day.isNull(), NO_DAY).otherwise(F.lit(label))
         ledger_rows = (seen, bucket, None, _split(table.spark, sizes, F.lit("ledger"), bucket, F.col("idempotency_key"), task_rows), sizes)
         table.commit({"state": state, "ledger": ledger_rows}, drop=drop | known | forgotten)
-        fresh.unpersist()
         return sum(counts.values())
     finally:
-        rows.unpersist()
+        for df in kept:
+            df.unpersist()
 
 
 def current(table: Table, name: str | None = None) -> DataFrame | None:

@@ -98,6 +98,23 @@ def test_large_runs_are_written_by_several_tasks(spark, tmp_path):
         assert rows < 60 or len(files) > 1, part
 
 
+def test_a_batch_is_brought_to_its_last_changes_once(spark, tmp_path):
+    """What is counted is what is written, and images are not carried through a search for repeats."""
+    table, seen, commit = Table(spark, str(tmp_path / "t")), [], Table.commit
+
+    def kept(add, **more):
+        state = add["state"][0]
+        seen.append((state.storageLevel.useMemory, "first(after" in state._jdf.queryExecution().executedPlan().toString()))
+        return commit(table, add, **more)
+
+    table.commit = kept
+    one = [event("t", "INSERT", str(k % 3), f"v{k}", k) for k in range(6)]
+    assert apply.apply_batch(table, spark.createDataFrame(one + one[4:], SCHEMA)) == 6
+    assert apply.apply_batch(table, spark.createDataFrame([event("u", "INSERT", "1", "w", 9), *one], SCHEMA)) == 1
+    assert seen == [(True, False)] * 2
+    assert sorted(values(table).values()) == ["v3", "v4", "v5", "w"] and table.read("ledger").count() == 7
+
+
 def test_ledger_runs_of_other_days_are_not_read(spark, tmp_path):
     table = Table(spark, str(tmp_path / "t"))
     at = lambda day: spark.createDataFrame([event("t", "INSERT", str(day), "v", day)], SCHEMA).withColumn("source_timestamp", F.lit(f"2024-01-{day:02d} 05:00:00").cast("timestamp"))
