@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -47,6 +48,34 @@ def scratch(s, name: str) -> str:
     return path
 
 
+@contextlib.contextmanager
+def shuffles_dropped(s):
+    """What is shuffled for tables that are written meanwhile is deleted as each is written, not when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = s.conf.get(key, None)
+    s.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if was is None:
+            s.conf.unset(key)
+        else:
+            s.conf.set(key, was)
+
+
+def staged(s, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """A table that is written to a scratch folder and read back, and the folder: the disk holds the shuffles before or after it, not both."""
+    path = scratch(s, name)
+    with shuffles_dropped(s):
+        df.write.option("compression", "zstd").parquet(path)
+    return s.read.schema(df.schema).parquet(path), path
+
+
+def _delete(s, path: str) -> None:
+    where = s._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(s._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def release() -> None:
     """Delete the scratch folders and tables so far; results that read them must have been written before. Called at exit too."""
     while _tables:
@@ -56,10 +85,8 @@ def release() -> None:
         except Exception:  # the session may have ended
             break
     while _made:
-        s, path = _made.pop()
         try:
-            where = s._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(s._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(*_made.pop())
         except Exception:  # the session may have ended
             return
 
@@ -72,8 +99,11 @@ def _patients(s, d):
     return src.patients(s, d).filter(F.col("patient_id").cast("bigint") % 10 != 0)
 
 
-def _orders(s, d, columns=None, drugs=True):
-    return versions.latest(src.medication_versions(s, d, drugs), ["order_id"], ORDER_TIES, columns=columns)
+def _orders(s, d, columns, drugs=True):
+    """Last versions of medication orders. They are shuffled by the numbers of which their ids are made, as these are narrower."""
+    ids = {"order_id": src.order_id(), "visit_id": F.col("l_orderkey").cast("string")}
+    last = versions.latest(src.medication_versions(s, d, drugs), ["l_orderkey", "l_linenumber"], ORDER_TIES, columns=[c for c in columns if c not in ids])
+    return last.select(*[ids[c].alias(c) if c in ids else c for c in ("order_id", *columns)])
 
 
 def _keyed(s, d):
@@ -626,17 +656,40 @@ def _bundles(s, d):
 KINDS = (("Patient", "patient_id"), ("Encounter", "visit_id"), ("MedicationRequest", "order_id"), ("DiagnosticReport", "result_id"))
 
 
+def _staged_orders(s, d):
+    """_fhir_orders() of visits that the tables hold, and its scratch folder. The last versions are chosen before drugs have names, so that what
+    is widest is shuffled once and what is shuffled for the names is narrow; each step's shuffles are gone before the next."""
+    keys, shown = ["l_orderkey", "l_linenumber"], ["drug_name", "order_time", "status"]
+    last, chosen = staged(s, versions.latest(src.medication_versions(s, d, drugs=False), keys, ORDER_TIES, columns=["l_partkey", "order_time", "status"]), "orders")
+    drugs, named = staged(s, src.table(s, d, "part").groupBy(F.col("p_partkey").alias("l_partkey")).agg(F.max("p_name").alias("drug_name")), "drugs")
+    visits = src.table(s, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").cast("string").alias("patient_id"))
+    placed = last.join(visits, "l_orderkey").join(drugs.withColumn("known", F.lit(True)), "l_partkey", "left").select("patient_id", *keys, *shown, "known")
+    held, path = staged(s, placed, "orders")
+    _delete(s, chosen)
+    _delete(s, named)
+    lost = held.filter("known is null")
+    held = held.filter("known").drop("known")
+    if not lost.isEmpty():
+        # Versions with unknown drugs do not count; where the last is one, the choice is made again among the others.
+        whose = lost.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("n")).distinct()
+        others = src.medication_versions(s, d).join(whose, (F.col("l_orderkey") == F.col("k")) & F.col("l_linenumber").eqNullSafe(F.col("n")), "left_semi")
+        held = held.unionByName(versions.latest(others, keys, ORDER_TIES, columns=shown).join(visits, "l_orderkey"))
+    return held.select("patient_id", src.order_id().alias("order_id"), F.col("l_orderkey").cast("string").alias("visit_id"), *shown), path
+
+
 def _unmapped_entries(s, d):
     """What the resources of all kinds are made from, a row each: patient_id, rank of the kind, id, and in the kind's own column the other
-    fields that its rules read. Much narrower than the resources, so this is what is shuffled, sorted and stored. Also the names of
-    the fields of each kind, and of those that are timestamps."""
+    fields that its rules read. Much narrower than the resources, so this is what is shuffled, sorted and stored. Entries of patients that
+    the tables lack are among them, and _positioned() leaves them out. Also the names of the fields of each kind, of those that are
+    timestamps, and the scratch folder that the rows are read from."""
     out, fields, timed = None, {}, {}
-    for rank, ((kind, key), df) in enumerate(zip(KINDS, (_fhir_patients(s, d), _fhir_visits(s, d), _fhir_orders(s, d), src.lab_results(s, d)))):
+    orders, path = _staged_orders(s, d)
+    for rank, ((kind, key), df) in enumerate(zip(KINDS, (_fhir_patients(s, d), _fhir_visits(s, d), orders, src.lab_results(s, d)))):
         fields[kind], timed[kind] = fhir.used(df, kind), fhir.timestamps(df)
         own = F.struct(*[c for c in fields[kind] if c not in ("patient_id", key)]).alias(kind)
         rows = df.select(F.col("patient_id").cast("string").alias("patient_id"), F.lit(rank).alias("rank"), F.col(key).cast("string").alias("id"), own)
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
-    return out.join(src.patients(s, d).select(F.col("patient_id").cast("string").alias("patient_id")), "patient_id", "left_semi"), fields, timed
+    return out.filter(F.col("patient_id").isNotNull()), fields, timed, path
 
 
 def _mapped(entry, fields: dict, timed: dict) -> Column:
@@ -650,10 +703,11 @@ def _mapped(entry, fields: dict, timed: dict) -> Column:
 
 
 def _positioned(entries: DataFrame) -> DataFrame:
-    """Entries with their position in the patient's bundle, and its total, from one pass."""
-    position = F.row_number().over(Window.partitionBy("patient_id").orderBy("rank", "id"))
-    total = F.count("*").over(Window.partitionBy("patient_id"))
-    return entries.withColumns({"position": position, "total": total})
+    """Entries of known patients with their position in the patient's bundle, and its total, from one pass. A patient is known by an entry
+    of rank 0, so no join with the patients shuffles the entries once more."""
+    own = Window.partitionBy("patient_id")
+    made = entries.withColumns({"position": F.row_number().over(own.orderBy("rank", "id")), "total": F.count("*").over(own), "__first": F.min("rank").over(own)})
+    return made.filter(F.col("__first") == 0).drop("__first")
 
 
 def _search_mode(rank: Column) -> Column:
@@ -667,7 +721,7 @@ def _shown(positioned: DataFrame, fields: dict, timed: dict) -> DataFrame:
 
 def everything_entries(s, d):
     """Bundle entries of every patient, a row each: the patient as match, then the other resources as include."""
-    held, fields, timed = _unmapped_entries(s, d)
+    held, fields, timed, _ = _unmapped_entries(s, d)
     return _shown(_positioned(held), fields, timed)
 
 
@@ -676,17 +730,19 @@ def everything_colocated(s, d):
     from clinlake.sources import colocated
 
     name = f"entries_{uuid.uuid4().hex}"
-    held, fields, timed = _unmapped_entries(s, d)
-    rows = sum(src.table(s, d, t).count() for t in ("customer", "orders", "lineitem", "events"))  # from the files' footers
-    colocated.save(held, name, "patient_id", ["rank", "id"], colocated.buckets_for(rows))
+    held, fields, timed, path = _unmapped_entries(s, d)
+    with shuffles_dropped(s):
+        rows = sum(src.table(s, d, t).count() for t in ("customer", "orders", "lineitem", "events"))  # from the files' footers
+        colocated.save(held, name, "patient_id", ["rank", "id"], colocated.buckets_for(rows))
     _tables.append((s, name))
+    _delete(s, path)
     return _shown(_positioned(s.table(name)), fields, timed)
 
 
 def bundle_pages(s, d, size: int = 1_000, timestamp: str = "2024-02-01T00:00:00.000Z"):
     """Bundle objects of every patient as JSON: resourceType, type, total, timestamp, entry. A bundle has `size` entries at most; patients with more have several pages."""
     page = F.floor((F.col("position") - 1) / size).cast("int")
-    rows, fields, timed = _unmapped_entries(s, d)
+    rows, fields, timed, _ = _unmapped_entries(s, d)
     # A page is collected from what its resources are made from, and mapped then, so that no resource is sorted.
     held = _positioned(rows).select("patient_id", (page + 1).alias("page"), "total", F.struct("position", "rank", "id", *[k for k, _ in KINDS]).alias("e"))
     one = held.groupBy("patient_id", "page").agg(F.first("total").alias("total"), F.array_sort(F.collect_list("e")).alias("es"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -42,6 +42,11 @@ def visits(spark: SparkSession, sf_dir: str, key: int | None = None, since: str
     )
 
 
+def order_id() -> Column:
+    """The id of a medication order, from the numbers of its visit and line."""
+    return F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+
+
 def medication_versions(spark: SparkSession, sf_dir: str, drugs: bool = True) -> DataFrame:
     """Medication orders with all the versions that the table holds. drugs: with the names of drugs, which are in another table."""
     line = table(spark, sf_dir, "lineitem")
@@ -49,12 +54,12 @@ def medication_versions(spark: SparkSession, sf_dir: str, drugs: bool = True) ->
     if drugs:
         line = line.join(table(spark, sf_dir, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
     return line.select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("order_id"),
+        order_id().alias("order_id"),
         F.col("l_orderkey").cast("string").alias("visit_id"),
         *([F.col("p_name").alias("drug_name")] if drugs else []),
         F.col("l_shipdate").cast("timestamp").alias("order_time"),
         status.alias("status"),
-        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_orderkey", "l_linenumber",
     )
 
 

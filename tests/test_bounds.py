@@ -1,5 +1,8 @@
 """What is shuffled, kept and made grows with the input, not with its squares or its widest rows."""
 
+import json
+import os
+import time
 import tracemalloc
 
 import numpy as np
@@ -44,6 +47,58 @@ def test_resources_are_made_after_the_shuffle(spark):
     plans.release()
 
 
+def test_entries_meet_their_patient_in_one_shuffle(spark):
+    for made in (plans.everything_bundle, plans.bundle_pages):
+        text = made(spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftSemi" not in text and "lineitem" not in text and text.index("Window [") < text.index("Union")
+    plans.release()
+
+
+def test_disk_is_free_when_the_table_in_buckets_is_written(spark):
+    folders = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    shuffled = lambda: {f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+    before, made = shuffled(), len(plans._made)
+    entries = plans.everything_colocated(spark, DATA)
+    for _ in range(50):  # files go in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before and len(plans._made) > made and not [p for _, p in plans._made[made:] if os.path.exists(p)]
+    assert entries.count() == plans.everything_bundle(spark, DATA).count()
+    plans.release()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_entries_of_unknown_patients_visits_and_drugs(spark, tmp_path):
+    line = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_shipdate timestamp_ntz, l_returnflag string"
+    rows = {
+        "customer": ([(1, "a", "X"), (2, "b", "X"), (None, "n", "X")], "c_custkey bigint, c_name string, c_mktsegment string"),
+        "orders": ([(10, 1), (11, 9), (12, None), (14, 2)], "o_orderkey bigint, o_custkey bigint"),
+        "part": ([(1, "p1"), (2, "p2"), (2, "p0"), (3, None), (None, "none")], "p_partkey bigint, p_name string"),
+        "lineitem": (
+            [(10, 1, 1, "2024-01-01", "A"), (10, 1, 2, "2024-01-02", "R"), (10, 1, 99, "2024-01-03", "N"), (10, 2, 3, "2024-01-01", "A"), (10, 3, 99, "2024-01-01", "A"), (10, 4, None, "2024-01-01", "A")]
+            + [(11, 1, 1, "2024-01-01", "A"), (12, 1, 1, "2024-01-01", "A"), (13, 1, 1, "2024-01-01", "A"), (None, 1, 1, "2024-01-01", "A")]
+            + [(14, None, 99, "2024-01-02", "A"), (14, None, 1, "2024-01-01", "N"), (14, 7, 1, None, "A"), (14, 7, 2, "2024-01-01", "N")],
+            line,
+        ),
+        "events": ([(100, 2), (101, 9), (102, None)], "event_id bigint, user_id bigint"),
+    }
+    more = {
+        "orders": {"o_orderpriority": "'1-URGENT'", "o_orderstatus": "'O'", "o_orderdate": "timestamp_ntz'2024-01-01'"}, "events": {"event_type": "'view'", "value": "60d", "ts": "timestamp_ntz'2024-01-01'"},
+        "lineitem": {**{c: "1d" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")}, "l_suppkey": "1L", "l_shipdate": "cast(l_shipdate as timestamp_ntz)"},
+    }
+    for name, (held, schema) in rows.items():
+        df = spark.createDataFrame(held, schema.replace("timestamp_ntz", "string"))
+        df.withColumns({c: F.expr(e) for c, e in more.get(name, {}).items()}).write.parquet(str(tmp_path / f"{name}.parquet"))
+    want = {("1", 1, "1"): 4, ("1", 2, "10"): 4, ("1", 3, "10-1"): 4, ("1", 4, "10-2"): 4, ("2", 1, "2"): 5, ("2", 2, "14"): 5, ("2", 3, "14"): 5, ("2", 4, "14-7"): 5, ("2", 5, "100"): 5}
+    for made in (plans.everything_bundle, plans.everything_colocated):
+        got = made(spark, str(tmp_path)).collect()
+        assert {(r.patient_id, r.position, r.id): r.total for r in got} == want and len(got) == len(want)
+        meds = {r.id: json.loads(r.resource) for r in got if r.kind == "MedicationRequest"}
+        assert {k: (m.get("medicationCodeableConcept", {}).get("text"), m["status"]) for k, m in meds.items()} == {"10-1": ("p2", "cancelled"), "10-2": (None, "completed"), "14": ("p1", "active"), "14-7": ("p2", "active")}
+    plans.release()
+
+
 def test_buckets_grow_with_the_rows():
     assert colocated.buckets_for(0) == colocated.BUCKETS
     assert [colocated.buckets_for(n * 1_000_000_000) for n in (1, 2, 4)] == [500, 1000, 2000]
